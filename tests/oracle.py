@@ -6,6 +6,7 @@ From the shell: python tests/oracle.py <sf> [name ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -78,8 +79,10 @@ def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str
 
 
 def main(argv: list[str]) -> int:
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from __spark_entry__ import oracle_sql, queries
 
+
     sf_dir = f"/root/testdata/sf{argv[0]}"
     spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
