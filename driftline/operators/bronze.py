@@ -6,11 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BATCH_LOG = T.StructType.fromDDL(
-    "batch_id BIGINT, committed_at TIMESTAMP, operation STRING, rows_added BIGINT, total_rows BIGINT"
-)
 
 
 def stamp(changes: DataFrame, run_ts: Column | None = None, migration_ts: bool = False) -> DataFrame:

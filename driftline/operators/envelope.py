@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions import object_id
+from driftline.functions.once import with_computed_once
 from driftline.schemas import (
     DELETE,
     DOCUMENT_ENVELOPE,
@@ -40,7 +41,8 @@ def parse_relational(records: DataFrame, row: T.StructType) -> DataFrame:
     Records are parsed once and classified in the same pass, so accepted and rejected
     changes can be written together.
     """
-    parsed = records.withColumn("data", F.from_json(F.col("value").cast("string"), relational_envelope(row)))
+    text = F.col("value").cast("string")
+    parsed = with_computed_once(records, "data", F.from_json(text, relational_envelope(row)))
     payload = F.col("data.payload")
     reason = _reject_reason(F.col("value"), payload, payload["after"].isNull(), payload["before"].isNull())
     return parsed.select(
@@ -62,9 +64,9 @@ def parse_documents(records: DataFrame, document: T.StructType) -> DataFrame:
 
     Deletes carry no document, so the key comes from the record key in their place.
     """
-    parsed = records.withColumn("data", F.from_json(F.col("value").cast("string"), DOCUMENT_ENVELOPE))
+    parsed = with_computed_once(records, "data", F.from_json(F.col("value").cast("string"), DOCUMENT_ENVELOPE))
     payload = F.col("data.payload")
-    parsed = parsed.withColumn("doc", F.from_json(payload["after"], document))
+    parsed = with_computed_once(parsed, "doc", F.from_json(payload["after"], document))
     key_text = F.get_json_object(F.col("key").cast("string"), "$.id")
     parsed = parsed.withColumn("mongo_id", object_id(F.coalesce(F.col("doc._id"), key_text)))
     no_document = payload["after"].isNull() | F.col("doc").isNull() | F.col("doc._id").isNull()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions import frame_body, frame_magic, frame_schema_id
+from driftline.functions.once import with_computed_once
 
 Decoder = Callable[[Column], Column]
 
@@ -71,9 +72,10 @@ def decode_frames(frames: DataFrame, decoders: Mapping[int, Decoder], latest_onl
         )
     names = {i: f"_decoded_{i}" for i in decoders}
     usable = F.col("reject_reason").isNull()
-    decoded = frames.withColumns(
-        {names[i]: F.when(usable & (F.col("schema_id") == i), d(F.col("body"))) for i, d in decoders.items()}
-    )
+    decoded = frames
+    for i, decode in decoders.items():
+        mine = F.when(usable & (F.col("schema_id") == i), decode(F.col("body")))
+        decoded = with_computed_once(decoded, names[i], mine)
     types = {i: decoded.schema[names[i]].dataType for i in decoders}
     merged = T.StructType([])
     for i in sorted(types):

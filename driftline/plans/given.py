@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from driftline.operators.envelope import parse_documents, parse_relational
 from driftline.operators.wire import json_decoder
-from driftline.schemas import CUSTOMER_ROW, EVENT_DOCUMENT, INVENTORY_DOCUMENT
+from driftline.schemas import CUSTOMER_ROW, EVENT_DOCUMENT, INT, INVENTORY_DOCUMENT, LONG, TEXT, row_type
 
 TOPIC = "shop.public.customers"
 DOCUMENT_TOPIC = "docs.shop.customer_events"
@@ -199,15 +199,12 @@ def parsed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_documents(inventory_records(spark, sf_dir), INVENTORY_DOCUMENT)
 
 
-VALUE_21 = T.StructType.fromDDL("customer_id INT, email STRING")
-VALUE_22 = T.StructType.fromDDL("customer_id INT, email STRING, phone STRING")
+VALUE_21 = row_type(customer_id=INT, email=TEXT)
+VALUE_22 = row_type(customer_id=INT, email=TEXT, phone=TEXT)
 
 
 def _body(value: T.StructType) -> T.StructType:
-    return T.StructType([
-        T.StructField("before", value), T.StructField("after", value),
-        T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType()),
-    ])
+    return row_type(before=value, after=value, op=TEXT, ts_ms=LONG)
 
 
 # Two versions of one schema, the later with a column more.

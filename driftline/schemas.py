@@ -13,57 +13,50 @@ KAFKA_RECORD = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-CUSTOMER_ROW = T.StructType.fromDDL(
-    "customer_id INT, email STRING, full_name STRING, phone STRING, created_at BIGINT, updated_at BIGINT"
+INT, LONG, TEXT, DOUBLE, FLAG, TIME = (
+    T.IntegerType(), T.LongType(), T.StringType(), T.DoubleType(), T.BooleanType(), T.TimestampType()
 )
-ORDER_ROW = T.StructType.fromDDL(
-    "order_id INT, customer_id INT, total_amount DECIMAL(10,2), status STRING, "
-    "payment_method STRING, created_at BIGINT, updated_at BIGINT"
+MONEY = T.DecimalType(10, 2)
+
+
+def row_type(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+CUSTOMER_ROW = row_type(
+    customer_id=INT, email=TEXT, full_name=TEXT, phone=TEXT, created_at=LONG, updated_at=LONG
+)
+ORDER_ROW = row_type(
+    order_id=INT, customer_id=INT, total_amount=MONEY, status=TEXT, payment_method=TEXT, created_at=LONG, updated_at=LONG
 )
-ORDER_ITEM_ROW = T.StructType.fromDDL(
-    "item_id INT, order_id INT, product_name STRING, quantity INT, price DECIMAL(10,2), created_at BIGINT"
+ORDER_ITEM_ROW = row_type(
+    item_id=INT, order_id=INT, product_name=TEXT, quantity=INT, price=MONEY, created_at=LONG
 )
-EVENT_DOCUMENT = T.StructType.fromDDL(
-    "_id STRING, event_id STRING, customer_id INT, event_type STRING, timestamp STRING, "
-    "metadata STRUCT<page: STRING, device: STRING, session_id: STRING, ip_address: STRING, "
-    "updated_at: STRING, processed: BOOLEAN>"
+EVENT_DOCUMENT = row_type(
+    _id=TEXT, event_id=TEXT, customer_id=INT, event_type=TEXT, timestamp=TEXT,
+    metadata=row_type(page=TEXT, device=TEXT, session_id=TEXT, ip_address=TEXT, updated_at=TEXT, processed=FLAG),
 )
-INVENTORY_DOCUMENT = T.StructType.fromDDL(
-    "_id STRING, product_id STRING, warehouse STRING, quantity INT, reorder_point INT, "
-    "unit_cost DOUBLE, last_updated STRING, status STRING"
+INVENTORY_DOCUMENT = row_type(
+    _id=TEXT, product_id=TEXT, warehouse=TEXT, quantity=INT, reorder_point=INT, unit_cost=DOUBLE,
+    last_updated=TEXT, status=TEXT,
 )
 
-RELATIONAL_SOURCE = T.StructType.fromDDL(
-    "version STRING, connector STRING, name STRING, ts_ms BIGINT, db STRING, `schema` STRING, "
-    "`table` STRING, lsn BIGINT"
+RELATIONAL_SOURCE = row_type(
+    version=TEXT, connector=TEXT, name=TEXT, ts_ms=LONG, db=TEXT, schema=TEXT, table=TEXT, lsn=LONG
 )
-DOCUMENT_SOURCE = T.StructType.fromDDL("connector STRING, name STRING, db STRING, collection STRING")
+DOCUMENT_SOURCE = row_type(connector=TEXT, name=TEXT, db=TEXT, collection=TEXT)
 
 
 def relational_envelope(row: T.StructType) -> T.StructType:
     """Envelope of a relational change whose images have the given row type."""
-    payload = T.StructType([
-        T.StructField("op", T.StringType()),
-        T.StructField("ts_ms", T.LongType()),
-        T.StructField("source", RELATIONAL_SOURCE),
-        T.StructField("before", row),
-        T.StructField("after", row),
-    ])
-    return T.StructType([T.StructField("payload", payload)])
+    return row_type(payload=row_type(op=TEXT, ts_ms=LONG, source=RELATIONAL_SOURCE, before=row, after=row))
 
 
-DOCUMENT_ENVELOPE = T.StructType([
-    T.StructField("payload", T.StructType([
-        T.StructField("op", T.StringType()),
-        T.StructField("ts_ms", T.LongType()),
-        T.StructField("source", DOCUMENT_SOURCE),
-        T.StructField("after", T.StringType()),
-    ])),
-])
+DOCUMENT_ENVELOPE = row_type(payload=row_type(op=TEXT, ts_ms=LONG, source=DOCUMENT_SOURCE, after=TEXT))
 
-TRACKING = T.StructType.fromDDL(
-    "source_table STRING, target_table STRING, kafka_topic STRING, total_records_migrated BIGINT, "
-    "last_migrated_at TIMESTAMP, migration_status STRING, last_kafka_offset BIGINT"
+TRACKING = row_type(
+    source_table=TEXT, target_table=TEXT, kafka_topic=TEXT, total_records_migrated=LONG,
+    last_migrated_at=TIME, migration_status=TEXT, last_kafka_offset=LONG,
 )
 
 # Operation codes, status sets and event types of the two sides.
