@@ -42,7 +42,7 @@ def write_batch(changes: DataFrame, path: str, batch_id: int, rebalance: bool =
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import from_millis
@@ -61,6 +61,15 @@ def _literal(changes: DataFrame, keys: Sequence[str], order: Sequence[str], poli
     )
 
 
+def write_history(history: DataFrame, path: str) -> None:
+    """Store a history by currentness, so that current rows are read without the past."""
+    history.write.mode("overwrite").partitionBy("is_current").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("is_current", F.col("is_current").cast("boolean"))
+
+
 def _attributes(changes: DataFrame, order: Sequence[str]) -> list[str]:
     return [c for c in changes.columns if c not in (*order, "operation")]
 
