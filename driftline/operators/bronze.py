@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -51,6 +51,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def completed(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path whose write has finished."""
+    if not table_exists(spark, path):
+        return []
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    return [n for n in names if table_exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
 def unseen(changes: DataFrame, bronze: DataFrame, identity: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
     """Changes the table does not hold yet, each once.
 
@@ -65,16 +75,16 @@ def unseen(changes: DataFrame, bronze: DataFrame, identity: Sequence[str] = ("to
 def batch_log(bronze: DataFrame) -> DataFrame:
     """One row per batch: when, what, how many rows, and the table's size after it.
 
-    Grouping by batch comes first, so the running total only sees one row per batch.
+    Grouping by batch comes first, so the running total's single group is one row per batch.
     """
-    from driftline.operators.keyed import over_key
-
     per_batch = bronze.groupBy("batch_id").agg(
         F.max("ingestion_time").alias("committed_at"), F.count("*").alias("rows_added")
     )
-    ranked = per_batch.withColumn("_table", F.lit(0))
-    totals = over_key(ranked, ["_table"], ["batch_id"], running={"total_rows": F.col("rows_added")})
-    return totals.select("batch_id", "committed_at", F.lit("append").alias("operation"), "rows_added", "total_rows")
+    so_far = Window.partitionBy(F.lit(0)).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per_batch.select(
+        "batch_id", "committed_at", F.lit("append").alias("operation"), "rows_added",
+        F.sum("rows_added").over(so_far).alias("total_rows"),
+    )
 
 
 def operation_counts(changes: DataFrame, *by: str) -> DataFrame:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import clamp_at_zero, document_time, from_micros, map_values
-from driftline.operators.bronze import table_exists
+from driftline.operators.bronze import completed
 from driftline.operators.keyed import latest_per_key
 from driftline.schemas import (
     DELETE,
@@ -23,8 +24,11 @@ from driftline.schemas import (
     RELATIONAL_SYSTEM,
     TRACKING,
 )
+from driftline.session import estimated_bytes
 
 ORDER = ("cdc_timestamp_ms", "offset")
+# A broadcast holds keys and order of the changes only, and never more than the changes' size.
+BROADCAST_BYTES = 64 << 20
 
 
 def _now(run_ts: Column | None) -> Column:
@@ -87,15 +91,38 @@ def insert_or_ignore(target: DataFrame | None, rows: DataFrame, keys: Sequence[s
 
 
 def apply_changes(
-    state: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER
+    state: DataFrame | None,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = ORDER,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """State after the changes: the newest row per key wins, wherever it came from.
 
-    Deletes stay as rows, so that an older change that arrives later cannot bring the key back.
-    The result does not depend on arrival order, and applying a batch again changes nothing.
+    `state` has one row per key. Deletes stay as rows, so that an older change that arrives
+    later cannot bring the key back. The result does not depend on arrival order, and applying
+    a batch again changes nothing.
+
+    Changes of a checked small size are joined in by broadcasting their keys, so the state is
+    read without a shuffle. Beyond that size both are ranked together by key.
     """
-    rows = changes if state is None else state.unionByName(changes)
-    return latest_per_key(rows, keys, order)
+    if state is None:
+        return latest_per_key(changes, keys, order)
+    size = estimated_bytes(changes)
+    if size is None or size > broadcast_bytes:
+        return latest_per_key(state.unionByName(changes), keys, order)
+
+    newest = latest_per_key(changes, keys, order)
+    columns = [*keys, *[c for c in order if c not in keys]]
+    marks = F.broadcast(newest.select(*[F.col(c).alias(f"_c_{c}") for c in columns]))
+    same_key = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"_c_{k}")), keys, F.lit(True))
+    held, offered = F.struct(*order), F.struct(*[F.col(f"_c_{c}").alias(c) for c in order])
+    kept = state.join(marks, same_key & (offered > held), "left_anti")
+    outdated = state.select(*columns).join(marks, same_key & (offered <= held)).select(
+        *[F.col(f"_c_{k}").alias(f"_o_{k}") for k in keys]
+    )
+    is_outdated = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"_o_{k}")), keys, F.lit(True))
+    return kept.unionByName(newest.join(outdated, is_outdated, "left_anti"))
 
 
 def live(state: DataFrame) -> DataFrame:
@@ -105,10 +132,12 @@ def live(state: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TargetTable:
-    """A keyed table under `path`: `base/v=<batch>` folded up to that batch, `delta/b=<batch>` since.
+    """A keyed table under `path`: a base, and in `delta` the batches since.
 
-    A base counts once Spark has marked it complete, so a failed compaction leaves no trace,
-    and a repeated batch overwrites its own folder.
+    `base/v=<n>` is complete once Spark has marked it so, and `folded/v=<n>` names the batches
+    it contains, so a failed compaction leaves no trace. A repeated batch overwrites its own
+    folder. Batches are named by stream and number: a stream that starts over under another
+    name never collides with the batches of its predecessor.
     """
 
     spark: SparkSession
@@ -116,22 +145,19 @@ class TargetTable:
     keys: tuple[str, ...]
     order: tuple[str, ...] = ORDER
 
-    def apply_batch(self, changes: DataFrame, batch_id: int) -> None:
+    def apply_batch(self, changes: DataFrame, batch_id: int, stream: str = "batch") -> None:
         """Record a batch, reduced to one row per key."""
-        latest_per_key(changes, self.keys, self.order).write.mode("overwrite").parquet(
-            f"{self.path}/delta/b={batch_id}"
-        )
+        reduced = latest_per_key(changes, self.keys, self.order)
+        reduced.write.mode("overwrite").parquet(f"{self.path}/delta/{stream}-{batch_id}")
 
     def state(self) -> DataFrame | None:
         """Newest row per key, deletes included; None before the first batch."""
-        base = self._versions("base", "v")
-        since = base[-1] if base else None
-        deltas = [b for b in self._versions("delta", "b") if since is None or b > since]
-        paths = ([f"{self.path}/base/v={since}"] if base else []) + [f"{self.path}/delta/b={b}" for b in deltas]
-        if not paths:
-            return None
-        rows = self.spark.read.parquet(*paths)
-        return rows if len(paths) == 1 else latest_per_key(rows, self.keys, self.order)
+        base, version = self._base()
+        pending = self._pending(version)
+        if not pending:
+            return base
+        deltas = self.spark.read.parquet(*[f"{self.path}/delta/{name}" for name in pending])
+        return apply_changes(base, deltas, self.keys, self.order)
 
     def read(self) -> DataFrame | None:
         state = self.state()
@@ -139,20 +165,28 @@ class TargetTable:
 
     def compact(self) -> None:
         """Fold all batches so far into a new base. Older files stay for readers that still use them."""
-        batches = self._versions("delta", "b")
-        if batches and batches[-1] not in self._versions("base", "v"):
-            self.state().write.mode("overwrite").parquet(f"{self.path}/base/v={batches[-1]}")
-
-    def _versions(self, part: str, label: str) -> list[int]:
-        root = f"{self.path}/{part}"
-        if not table_exists(self.spark, root):
-            return []
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(root)
-        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        found = [int(n.split("=")[1]) for n in names if n.startswith(f"{label}=")]
-        return sorted(v for v in found if table_exists(self.spark, f"{root}/{label}={v}/_SUCCESS"))
+        _, version = self._base()
+        pending = self._pending(version)
+        if not pending:
+            return
+        names = [(name,) for name in sorted({*pending, *self._folded(version)})]
+        self.spark.createDataFrame(names, "name string").write.mode("overwrite").parquet(
+            f"{self.path}/folded/v={version + 1}"
+        )
+        self.state().write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}")
+
+    def _base(self) -> tuple[DataFrame | None, int]:
+        versions = [int(n.split("=")[1]) for n in completed(self.spark, f"{self.path}/base")]
+        if not versions:
+            return None, 0
+        return self.spark.read.parquet(f"{self.path}/base/v={max(versions)}"), max(versions)
+
+    def _folded(self, version: int) -> set[str]:
+        # One short name per batch.
+        return {r[0] for r in self.spark.read.parquet(f"{self.path}/folded/v={version}").collect()} if version else set()
+
+    def _pending(self, version: int) -> list[str]:
+        return sorted(set(completed(self.spark, f"{self.path}/delta")) - self._folded(version))
 
 
 # Which target each source feeds.

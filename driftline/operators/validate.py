@@ -129,21 +129,18 @@ def quiet_stretches(
 
 
 def ready_to_cut_over(
-    samples: DataFrame, keys: Sequence[str], time: str, tie: str, lag: Column, hold_seconds: int = 60
+    samples: DataFrame, keys: Sequence[str], time: str, lag: Column, hold_seconds: int = 60
 ) -> DataFrame:
-    """Per key, whether the lag is zero at the last sample and has been for long enough."""
-    # Ordered pairs compare by time first; the newest lagging sample bounds the current stretch.
-    at = F.struct(F.col(time), F.col(tie))
-    ends = samples.groupBy(*keys).agg(
-        F.max(at).alias("_last"), F.max(F.when(lag > 0, at)).alias("_busy"), F.max(time).alias("last_sample")
-    )
-    latest_busy = ends.select(*keys, "_busy", "last_sample")
-    joined = samples.join(latest_busy, list(keys))
-    after = joined.filter(F.col("_busy").isNull() | (at > F.col("_busy")))
+    """Per key, whether the lag has been zero for long enough up to the last sample.
+
+    Zero counts from the first sample after the last second with lag. Only fixed-size values
+    are aggregated, so each pass is a hash aggregation combined before its shuffle.
+    """
+    ends = samples.groupBy(*keys).agg(F.max(F.when(lag > 0, F.col(time))).alias("_busy"), F.max(time).alias("last_sample"))
+    after = samples.select(*keys, time).join(ends, list(keys)).filter(F.col("_busy").isNull() | (F.col(time) > F.col("_busy")))
     held = after.groupBy(*keys).agg(F.min(time).alias("zero_since"))
-    result = ends.select(*keys, "last_sample").join(held, list(keys), "left")
-    seconds = F.coalesce(F.col("last_sample") - F.col("zero_since"), F.lit(0))
-    return result.select(*keys, "last_sample", "zero_since", (F.col("zero_since").isNotNull() & (seconds >= hold_seconds)).alias("ready"))
+    long_enough = F.coalesce(F.col("last_sample") - F.col("zero_since") >= hold_seconds, F.lit(False))
+    return ends.join(held, list(keys), "left").select(*keys, "last_sample", "zero_since", long_enough.alias("ready"))
 
 
 def cutover_gate(**conditions: DataFrame) -> DataFrame:

@@ -146,14 +146,14 @@ def quiet_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stretches.filter(F.col("quiet_seconds") >= 86400)
 
 
-_READY_SQL = """busy AS (SELECT user_id, max((second, event_id)) FILTER (lag > 0) AS b, max(second) AS last_sample FROM samples GROUP BY user_id),
-  since AS (SELECT s.user_id, min(second) AS zero_since FROM samples s JOIN busy USING (user_id) WHERE b IS NULL OR (s.second, s.event_id) > b GROUP BY s.user_id),
+_READY_SQL = """busy AS (SELECT user_id, max(second) FILTER (lag > 0) AS b, max(second) AS last_sample FROM samples GROUP BY user_id),
+  since AS (SELECT s.user_id, min(second) AS zero_since FROM samples s JOIN busy USING (user_id) WHERE b IS NULL OR s.second > b GROUP BY s.user_id),
   ready AS (SELECT busy.user_id, last_sample, zero_since, zero_since IS NOT NULL AND last_sample - zero_since >= 60 AS ready FROM busy LEFT JOIN since USING (user_id))"""
 
 
 @CATALOG.add("m3_ready_per_source", f"WITH {_SAMPLES_SQL}, {_READY_SQL} SELECT * FROM ready")
 def ready_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.ready_to_cut_over(_samples(spark, sf_dir), ["user_id"], "second", "event_id", F.col("lag"))
+    return v.ready_to_cut_over(_samples(spark, sf_dir), ["user_id"], "second", F.col("lag"))
 
 
 @CATALOG.add("m4_cutover_gate", f"""WITH {_SAMPLES_SQL}, {_READY_SQL}, {_TARGET_SQL}, g AS (SELECT
@@ -162,7 +162,7 @@ def ready_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT *, lag_is_zero AND counts_match AND checksums_match AS ready_to_cut_over FROM g""")
 def cutover_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, target = given.table(spark, sf_dir, "orders"), _target_orders(spark, sf_dir)
-    ready = v.ready_to_cut_over(_samples(spark, sf_dir), ["user_id"], "second", "event_id", F.col("lag"))
+    ready = v.ready_to_cut_over(_samples(spark, sf_dir), ["user_id"], "second", F.col("lag"))
     counts = v.compare_counts({"orders": orders}, {"orders": target})
     sums = v.compare_checksums(orders, target, ["o_orderkey", *_COLUMNS])
     return v.cutover_gate(
@@ -185,7 +185,7 @@ def gate_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("unix_micros(cast(o_orderdate as timestamp)) div 1000000").alias("second"), F.col("o_orderkey").alias("end"), F.col("o_orderkey").alias("done"),
         F.lit("orders").alias("topic"),
     )
-    ready = v.ready_to_cut_over(samples, ["topic"], "second", "end", lag)
+    ready = v.ready_to_cut_over(samples, ["topic"], "second", lag)
     counts = v.compare_counts({"orders": orders}, {"orders": target})
     sums = v.compare_checksums(orders, target, orders.columns)
     return v.cutover_gate(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -23,8 +24,11 @@ def target_writer(
     repeated batches leave the same table.
     """
 
+    # A stream is its checkpoint: batch numbers start over with a new one.
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target.apply_batch(shape(batch) if shape else batch, batch_id)
+        target.apply_batch(shape(batch) if shape else batch, batch_id, stream)
         if compact_every and (batch_id + 1) % compact_every == 0:
             target.compact()
 
