@@ -41,16 +41,10 @@ def latest_schema_id(frames: DataFrame) -> DataFrame:
 
 
 def avro_decoder(schema_json: str) -> Decoder:
-    """Decoder for an Avro writer schema. Needs the spark-avro package on the session."""
+    """Decoder for an Avro writer schema. Spark says so if its spark-avro package is missing."""
     from pyspark.sql.avro.functions import from_avro
 
-    def decode(body: Column) -> Column:
-        try:
-            return from_avro(body, schema_json)
-        except Exception as error:
-            raise RuntimeError("decoding Avro needs the spark-avro package (--packages)") from error
-
-    return decode
+    return lambda body: from_avro(body, schema_json)
 
 
 def json_decoder(schema: T.StructType) -> Decoder:

@@ -45,7 +45,6 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where the plan cannot be asked."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
