@@ -65,19 +65,11 @@ def find_cuts(
     pieces = _piece_count(df, policy)
     wanted = pieces * policy.rows_per_piece
     rows = df.select(F.xxhash64(*keys).alias(_HASH), *order)
-    draw = F.xxhash64(_HASH, *order, F.lit("cut"))
-    if size is not None:
-        likely_rows = max(1, size // max(8, 8 * len(df.columns)))
-        rate = min(1.0, 4.0 * wanted / likely_rows)
-        if rate < 1.0:
-            rows = rows.filter(F.pmod(draw, F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)) + 1))
-    # The limit makes every group collected below a part of a bounded sample.
-    sample = rows.orderBy(draw, _HASH, *order).limit(wanted)
-    drawn = (
-        sample.groupBy(_HASH)
-        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("points"))
-        .collect()
-    )
+    likely_rows = rows.count() if size is None else max(1, size // (8 * len(df.columns)))
+    drawn = _draw(rows, order, wanted, likely_rows)
+    if size is not None and sum(len(r["points"]) for r in drawn) < wanted // 4:
+        # The estimate was far too high, as it can be after joins.
+        drawn = _draw(rows, order, wanted, rows.count())
     step = max(1, sum(len(r["points"]) for r in drawn) // pieces)
     cut = []
     for r in drawn:
@@ -99,6 +91,16 @@ def find_cuts(
     return df.sparkSession.createDataFrame(cut, schema)
 
 
+def _draw(rows: DataFrame, order: Sequence[str], wanted: int, likely_rows: int) -> list:
+    """Sampled order values per key hash, sorted. The limit bounds every group collected here."""
+    draw = F.xxhash64(_HASH, *order, F.lit("cut"))
+    rate = 4.0 * wanted / max(1, likely_rows)
+    if rate < 1.0:
+        rows = rows.filter(F.pmod(draw, F.lit(1 << 40)) < int(rate * (1 << 40)) + 1)
+    sample = rows.orderBy(draw, _HASH, *order).limit(wanted)
+    return sample.groupBy(_HASH).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("points")).collect()
+
+
 def _place(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
     """Add the piece number; null marks the keys that are not cut."""
     here = F.struct(*order)

@@ -43,8 +43,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where the plan cannot be asked."""
+    """The optimizer's size estimate, or None where there is none."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
+    # Spark's default for a relation of unknown size is the largest long.
+    return size if size < (1 << 63) - 1 else None
