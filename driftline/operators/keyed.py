@@ -76,7 +76,7 @@ def find_cuts(
         points = [tuple(p) for p in r["points"]]
         if len(points) > 2 * step:
             # Two levels, so that a row is placed with about 2 * sqrt(n) comparisons.
-            chosen = sorted(set(points[step::step]))
+            chosen = list(dict.fromkeys(points[step::step]))
             width = max(1, int(len(chosen) ** 0.5))
             blocks = [chosen[i : i + width] for i in range(0, len(chosen), width)]
             cut.append((r[_HASH], [b[0] for b in blocks], blocks))
