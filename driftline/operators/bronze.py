@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,13 +37,22 @@ def write_batch(changes: DataFrame, path: str, batch_id: int, rebalance: bool =
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "event_date")
+        .partitionBy("event_date", "batch_id")
         .parquet(path)
     )
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+def read_bronze(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> DataFrame | None:
+    """The audit table, or only some days of it, whose folders alone are then listed.
+
+    None where there is nothing yet.
+    """
+    paths = [path] if days is None else [f"{path}/event_date={day}" for day in days]
+    paths = [p for p in paths if table_exists(spark, p)]
+    if not paths:
+        return None
+    stored = spark.read.option("basePath", path).parquet(*paths)
+    return stored.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -61,15 +71,19 @@ def completed(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if table_exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
-def unseen(changes: DataFrame, bronze: DataFrame, identity: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
-    """Changes the table does not hold yet, each once.
+def unseen(changes: DataFrame, path: str, batch_id: int, identity: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
+    """Changes of a batch that no other batch has stored, each once.
 
-    Only the days the batch touches are compared: the days are few and prune the table's
-    partitions. A message has one Kafka time, so a repeat lies in the same day.
+    Only the days the batch touches are compared. A message has one Kafka time, so its repeat
+    lies in the same day.
     """
-    days = [r[0] for r in changes.select("event_date").distinct().collect()]
-    seen = bronze.filter(F.col("event_date").isin(days)).select(*identity)
-    return changes.dropDuplicates(list(identity)).join(seen, list(identity), "left_anti")
+    once = changes.dropDuplicates(list(identity))
+    days = [r[0] for r in changes.select("event_date").distinct().collect() if r[0] is not None]
+    stored = read_bronze(changes.sparkSession, path, days)
+    if stored is None:
+        return once
+    others = stored.filter(F.col("batch_id") != batch_id).select(*identity)
+    return once.join(others, list(identity), "left_anti")
 
 
 def batch_log(bronze: DataFrame) -> DataFrame:

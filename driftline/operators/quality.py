@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from driftline.functions import email_is_valid
 from driftline.operators.keyed import DEFAULT_POLICY, SkewPolicy, over_key
 from driftline.operators.relations import orphans
+from driftline.schemas import TEXT, row_type
+from driftline.session import few_rows
 
 
 @dataclass(frozen=True)
@@ -125,7 +127,7 @@ def _duplicates(df: DataFrame, rule: UniqueRule) -> DataFrame:
 
 def rule_summary(df: DataFrame, key: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
     """Violations per rule and whether it holds, rules without violations included."""
-    names = df.sparkSession.createDataFrame([(r.name,) for r in rules], "rule string")
+    names = few_rows(df.sparkSession, row_type(rule=TEXT), [(r.name,) for r in rules])
     counted = violations(df, key, rules).groupBy("rule").agg(F.count("*").alias("violations"))
     return names.join(counted, "rule", "left").select(
         "rule",

@@ -22,9 +22,11 @@ from driftline.schemas import (
     DOCUMENT_SYSTEM,
     EVENT_TYPE_MAP,
     RELATIONAL_SYSTEM,
+    TEXT,
     TRACKING,
+    row_type,
 )
-from driftline.session import estimated_bytes
+from driftline.session import estimated_bytes, few_rows
 
 ORDER = ("cdc_timestamp_ms", "offset")
 # A broadcast holds keys and order of the changes only, and never more than the changes' size.
@@ -170,7 +172,7 @@ class TargetTable:
         if not pending:
             return
         names = [(name,) for name in sorted({*pending, *self._folded(version)})]
-        self.spark.createDataFrame(names, "name string").write.mode("overwrite").parquet(
+        few_rows(self.spark, row_type(name=TEXT), names).write.mode("overwrite").parquet(
             f"{self.path}/folded/v={version + 1}"
         )
         self.state().write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}")
@@ -203,7 +205,7 @@ def seed_tracking(spark: SparkSession, topics: dict[str, str] | None = None) ->
     """Tracking rows before anything has been migrated; `topics` gives the topic of a source."""
     topics = topics or {}
     rows = [(s, t, topics.get(s), 0, None, "in_progress", None) for s, t in TRACKED_PAIRS]
-    return spark.createDataFrame(rows, TRACKING)
+    return few_rows(spark, TRACKING, rows)
 
 
 def load_counts(rows: DataFrame, target_table: str | Column) -> DataFrame:

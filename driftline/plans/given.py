@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from driftline.operators.envelope import parse_documents, parse_relational
 from driftline.operators.wire import json_decoder
 from driftline.schemas import CUSTOMER_ROW, EVENT_DOCUMENT, INT, INVENTORY_DOCUMENT, LONG, TEXT, row_type
+from driftline.session import spread
 
 TOPIC = "shop.public.customers"
 DOCUMENT_TOPIC = "docs.shop.customer_events"
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to be turned into messages and parsed again, on all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def micros(ts: str | Column) -> Column:
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
@@ -106,7 +112,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broker records with JSON envelopes of customer changes."""
     value = F.to_json(F.struct(relational_payload().alias("payload")))
     key = F.struct(F.col("user_id").alias("customer_id"))
-    return table(spark, sf_dir, "events").select(*_record(value, key, TOPIC))
+    return spread_table(spark, sf_dir, "events").select(*_record(value, key, TOPIC))
 
 
 def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +132,7 @@ def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
     )
     key = F.struct(F.col("user_id").alias("customer_id"))
-    return table(spark, sf_dir, "events").select(*_record(value, key, TOPIC))
+    return spread_table(spark, sf_dir, "events").select(*_record(value, key, TOPIC))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +168,7 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.struct(F.lit("mongodb").alias("connector"), F.lit("docs").alias("name"), F.lit("shop").alias("db"), F.lit("customer_events").alias("collection"))
     payload = F.struct(op.alias("op"), millis("ts").alias("ts_ms"), source.alias("source"), F.when(op != "d", document).alias("after"))
     key = F.struct(F.to_json(F.struct(oid.alias("$oid"))).alias("id"))
-    return table(spark, sf_dir, "events").select(*_record(F.to_json(F.struct(payload.alias("payload"))), key, DOCUMENT_TOPIC))
+    return spread_table(spark, sf_dir, "events").select(*_record(F.to_json(F.struct(payload.alias("payload"))), key, DOCUMENT_TOPIC))
 
 
 def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +191,7 @@ def inventory_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = F.when(F.col("l_returnflag") == "R", "u").when(F.col("l_returnflag") == "A", "c").otherwise("r")
     source = F.struct(F.lit("mongodb").alias("connector"), F.lit("docs").alias("name"), F.lit("shop").alias("db"), F.lit("inventory_snapshots").alias("collection"))
     payload = F.struct(op.alias("op"), millis("l_shipdate").alias("ts_ms"), source.alias("source"), document.alias("after"))
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem").select(
         F.lit(None).cast("binary").alias("key"),
         F.to_json(F.struct(payload.alias("payload"))).cast("binary").alias("value"),
         F.lit("docs.shop.inventory_snapshots").alias("topic"),
@@ -232,7 +238,7 @@ def framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     value = F.when(newer, frame(F.lit(22), body([*base, phone]))).otherwise(frame(F.lit(21), body(base)))
     key = F.struct(F.col("user_id").alias("customer_id"))
-    return table(spark, sf_dir, "events").select(*_record(value, key, TOPIC))
+    return spread_table(spark, sf_dir, "events").select(*_record(value, key, TOPIC))
 
 
 # The same streams as common table expressions for the checking SQL.

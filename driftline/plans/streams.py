@@ -21,6 +21,7 @@ from driftline.streaming.ingest import bronze_writer, dedupe_within, run_availab
 from driftline.streaming.monitor import lag_windows
 
 CATALOG = Catalog()
+MICRO_BATCHES = 4
 
 
 def _landed(spark: SparkSession, sf_dir: str, repeats: bool = False) -> str:
@@ -35,14 +36,20 @@ def _landed(spark: SparkSession, sf_dir: str, repeats: bool = False) -> str:
     return path
 
 
+def _stream(spark: SparkSession, landing: str) -> DataFrame:
+    """The landing files as a stream of a few micro-batches, however many files there are."""
+    files = len(spark.read.parquet(landing).inputFiles())
+    return stream_landing(spark, landing, files_per_batch=-(-files // MICRO_BATCHES))
+
+
 @CATALOG.add("x1_stream_to_bronze", f"""WITH {CHANGES_SQL} SELECT "offset", operation, CAST(kafka_timestamp AS DATE) AS event_date,
   CASE WHEN operation <> 'd' THEN CAST(customer_id AS INTEGER) END AS customer_id FROM changes""")
 def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files to the audit table, some records landed twice and stored once."""
     path = shared_dir(spark, "bronze")
-    records = stream_landing(spark, _landed(spark, sf_dir, repeats=True), files_per_batch=1)
+    records = _stream(spark, _landed(spark, sf_dir, repeats=True))
     run_available(bronze_writer(
-        records, lambda batch: stamp(env.parse_relational(batch, CUSTOMER_ROW)), path, shared_dir(spark, "checkpoint")
+        records, lambda batch: stamp(env.parse_relational(batch, CUSTOMER_ROW)), path, shared_dir(spark, "checkpoint"), rebalance=True
     ))
     return read_bronze(spark, path).select("offset", "operation", "event_date", F.col("after.customer_id").alias("customer_id"))
 
@@ -51,7 +58,7 @@ def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_within_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeats dropped by bounded state; the delay exceeds the whole range, so nothing is late."""
     out = shared_dir(spark, "deduped")
-    records = stream_landing(spark, _landed(spark, sf_dir, repeats=True), files_per_batch=2)
+    records = _stream(spark, _landed(spark, sf_dir, repeats=True))
     kept = dedupe_within(records, "60 days").select("topic", "partition", "offset")
     run_available(kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_dir(spark, "checkpoint")))
     return spark.read.parquet(out).groupBy("partition").agg(F.count("*").alias("messages"))
@@ -62,7 +69,7 @@ def dedupe_within_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches that interleave in time, applied to a target that folds itself on the way."""
     target = TargetTable(spark, shared_dir(spark, "target"), ("customer_id",))
-    records = stream_landing(spark, _landed(spark, sf_dir), files_per_batch=1)
+    records = _stream(spark, _landed(spark, sf_dir))
 
     def shape(batch: DataFrame) -> DataFrame:
         flat = env.flatten_keyed(env.accepted(env.parse_relational(batch, CUSTOMER_ROW)), ["customer_id"])

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build_session(app: str = "driftline", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,3 +53,23 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
     # Spark's default for a relation of unknown size is the largest long.
     return size if size < (1 << 63) - 1 else None
+
+
+def spread(scan: DataFrame, bytes_per_task: int = 512 << 10) -> DataFrame:
+    """A scan of few large pieces, spread over the cores before costly work on each row.
+
+    Files that do not split leave most cores idle. A scan that already has as many pieces as
+    cores, or too little data for more tasks, is returned as it is.
+    """
+    size = estimated_bytes(scan)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    tasks = cores if size is None else min(cores, size // bytes_per_task)
+    return scan.repartition(tasks) if tasks >= 2 * scan.rdd.getNumPartitions() else scan
+
+
+def few_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[tuple]) -> DataFrame:
+    """A handful of fixed rows, built inside the JVM."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields, strict=True)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from driftline.operators.bronze import read_bronze, table_exists, unseen, write_batch
+from driftline.operators.bronze import unseen, write_batch
 
 IDENTITY = ("topic", "partition", "offset")
 
@@ -44,11 +43,7 @@ def bronze_writer(
     def store(batch: DataFrame, batch_id: int) -> None:
         changes = to_changes(batch)
         if exact:
-            if table_exists(batch.sparkSession, path):
-                earlier = read_bronze(batch.sparkSession, path).filter(F.col("batch_id") != batch_id)
-                changes = unseen(changes, earlier)
-            else:
-                changes = changes.dropDuplicates(list(IDENTITY))
+            changes = unseen(changes, path, batch_id)
         write_batch(changes, path, batch_id, rebalance)
 
     return records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

@@ -114,6 +114,9 @@ def test_bronze_batches(spark, tmp_path):
     assert bronze.count() == 9
     log = [tuple(r)[2:] for r in batch_log(bronze).orderBy("batch_id").collect()]
     assert log == [("append", 4, 4), ("append", 5, 9)]
-    assert unseen(changes.unionByName(changes), bronze.filter("batch_id = 0")).count() == 5
+    assert unseen(changes.unionByName(changes), path, 0).count() == 4
+    assert unseen(changes, path, 7).count() == 0
+    assert unseen(changes, str(tmp_path / "none"), 0).count() == 9
+    assert read_bronze(spark, path, []) is None
     plan = bronze.filter("event_date = '2024-01-02' and batch_id <= 0")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan or "event_date" in plan.split("PartitionFilters")[1][:200]
