@@ -42,6 +42,14 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Sorted cut points per large key, and the largest number of them."""
+
+    by_key: DataFrame
+    most: int
+
+
 def _piece_count(df: DataFrame, policy: SkewPolicy) -> int:
     pieces = policy.pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(2, min(pieces, policy.max_sample_rows // policy.rows_per_piece))
@@ -49,7 +57,7 @@ def _piece_count(df: DataFrame, policy: SkewPolicy) -> int:
 
 def find_cuts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame | None:
+) -> Cuts | None:
     """Cut points of the keys that are too large for one task, or None if there are none.
 
     The sample is the rows with the lowest hash, so it is uniform, repeatable and bounded by
@@ -71,24 +79,13 @@ def find_cuts(
         # The estimate was far too high, as it can be after joins.
         drawn = _draw(rows, order, wanted, rows.count())
     step = max(1, sum(len(r["points"]) for r in drawn) // pieces)
-    cut = []
-    for r in drawn:
-        points = [tuple(p) for p in r["points"]]
-        if len(points) > 2 * step:
-            # Two levels, so that a row is placed with about 2 * sqrt(n) comparisons.
-            chosen = list(dict.fromkeys(points[step::step]))
-            width = max(1, int(len(chosen) ** 0.5))
-            blocks = [chosen[i : i + width] for i in range(0, len(chosen), width)]
-            cut.append((r[_HASH], [b[0] for b in blocks], blocks))
+    # Few large keys come out: each holds more than two steps of the sample.
+    cut = [(r[_HASH], list(dict.fromkeys(r["points"][step::step]))) for r in drawn if len(r["points"]) > 2 * step]
     if not cut:
         return None
     point = T.StructType([T.StructField(n, df.schema[n].dataType) for n in order])
-    schema = T.StructType([
-        T.StructField(_HASH, T.LongType()),
-        T.StructField("coarse", T.ArrayType(point)),
-        T.StructField("fine", T.ArrayType(T.ArrayType(point))),
-    ])
-    return df.sparkSession.createDataFrame(cut, schema)
+    schema = T.StructType([T.StructField(_HASH, T.LongType()), T.StructField("points", T.ArrayType(point))])
+    return Cuts(df.sparkSession.createDataFrame(cut, schema), max(len(points) for _, points in cut))
 
 
 def _draw(rows: DataFrame, order: Sequence[str], wanted: int, likely_rows: int) -> list:
@@ -101,16 +98,18 @@ def _draw(rows: DataFrame, order: Sequence[str], wanted: int, likely_rows: int)
     return sample.groupBy(_HASH).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("points")).collect()
 
 
-def _place(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
-    """Add the piece number; null marks the keys that are not cut."""
-    here = F.struct(*order)
-    # At most one row per cut key, at most `pieces` keys.
-    joined = df.withColumn(_HASH, F.xxhash64(*keys)).join(F.broadcast(cuts), _HASH, "left")
-    joined = joined.withColumn(_CUT, F.col("coarse").isNotNull())
-    joined = joined.withColumn("_block", F.when(F.col(_CUT), F.size(F.filter("coarse", lambda p: p <= here))))
-    within = F.size(F.filter(F.get("fine", F.col("_block") - 1), lambda p: p <= here))
-    piece = F.when(F.col("_block") == 0, F.lit(0)).when(F.col(_CUT), F.col("_block") * 1_000_000 + within)
-    return joined.withColumn(_PIECE, piece).drop("coarse", "fine", "_block")
+def _place(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: Cuts) -> DataFrame:
+    """Add the piece a row lies in: how many of its key's cut points it has reached.
+
+    The points are searched by halving, spelled out as columns so that it stays compiled code.
+    """
+    # At most one row per cut key, and no more points than the policy's pieces.
+    placed = df.withColumn(_HASH, F.xxhash64(*keys)).join(F.broadcast(cuts.by_key), _HASH, "left")
+    placed = placed.withColumn(_PIECE, F.lit(0))
+    for step in (1 << i for i in reversed(range(cuts.most.bit_length()))):
+        reached = F.get("points", F.col(_PIECE) + F.lit(step - 1)) <= F.struct(*order)
+        placed = placed.withColumn(_PIECE, F.when(reached, F.col(_PIECE) + F.lit(step)).otherwise(F.col(_PIECE)))
+    return placed.withColumn(_CUT, F.col("points").isNotNull()).drop("points")
 
 
 def over_key(

@@ -106,7 +106,8 @@ def apply_changes(
     a batch again changes nothing.
 
     Changes of a checked small size are joined in by broadcasting their keys, so the state is
-    read without a shuffle. Beyond that size both are ranked together by key.
+    read without a shuffle, though twice: it should be a stored table. Beyond that size both
+    are ranked together by key.
     """
     if state is None:
         return latest_per_key(changes, keys, order)
@@ -124,7 +125,7 @@ def apply_changes(
         *[F.col(f"_c_{k}").alias(f"_o_{k}") for k in keys]
     )
     is_outdated = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"_o_{k}")), keys, F.lit(True))
-    return kept.unionByName(newest.join(outdated, is_outdated, "left_anti"))
+    return kept.unionByName(newest.join(F.broadcast(outdated), is_outdated, "left_anti"))
 
 
 def live(state: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def test_against_brute_force(skewed, descending, policy):
 def test_only_large_keys_are_cut(skewed):
     cuts = find_cuts(skewed, ["k"], ["t", "o"], CUT)
     hashes = {r[0] for r in skewed.filter("k = 7 or k is null").select(F.xxhash64("k")).distinct().collect()}
-    assert {r["_key_hash"] for r in cuts.collect()} == hashes
+    assert {r["_key_hash"] for r in cuts.by_key.collect()} == hashes
 
 
 def test_pieces_are_small(skewed):
