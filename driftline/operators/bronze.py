@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def stamp(changes: DataFrame, run_ts: Column | None = None, migration_ts: bool = False) -> DataFrame:
@@ -42,16 +43,19 @@ def write_batch(changes: DataFrame, path: str, batch_id: int, rebalance: bool =
     )
 
 
-def read_bronze(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> DataFrame | None:
+def read_bronze(
+    spark: SparkSession, path: str, days: Sequence[date] | None = None, columns: T.StructType | None = None
+) -> DataFrame | None:
     """The audit table, or only some days of it, whose folders alone are then listed.
 
-    None where there is nothing yet.
+    Giving the columns spares looking them up in the files. None where there is nothing yet.
     """
     paths = [path] if days is None else [f"{path}/event_date={day}" for day in days]
     paths = [p for p in paths if table_exists(spark, p)]
     if not paths:
         return None
-    stored = spark.read.option("basePath", path).parquet(*paths)
+    reader = spark.read.schema(columns) if columns else spark.read
+    stored = reader.option("basePath", path).parquet(*paths)
     return stored.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
@@ -79,7 +83,8 @@ def unseen(changes: DataFrame, path: str, batch_id: int, identity: Sequence[str]
     """
     once = changes.dropDuplicates(list(identity))
     days = [r[0] for r in changes.select("event_date").distinct().collect() if r[0] is not None]
-    stored = read_bronze(changes.sparkSession, path, days)
+    columns = T.StructType([changes.schema[c] for c in identity])
+    stored = read_bronze(changes.sparkSession, path, days, columns)
     if stored is None:
         return once
     others = stored.filter(F.col("batch_id") != batch_id).select(*identity)

@@ -108,13 +108,14 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.consumer_lag(records, done.groupBy("topic", "partition").agg(F.max("offset").alias("committed_offset")))
 
 
-@CATALOG.add("m1_hourly_lag", f"""WITH {CHANGES_SQL} SELECT date_trunc('hour', kafka_timestamp) AS hour,
-  max("offset" % 977) AS max_lag FROM changes GROUP BY ALL""")
-def hourly_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Highest lag per hour from samples derived from the offsets."""
-    lag = F.pmod("offset", F.lit(977))
+@CATALOG.add("m1_hourly_growth", f"""WITH {CHANGES_SQL} SELECT date_trunc('hour', kafka_timestamp) AS hour, "partition",
+  max("offset") - min("offset") + 1 AS grown_by, count(*) AS messages FROM changes GROUP BY ALL""")
+def hourly_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each partition's end moves per hour, which is what a stopped consumer would lag."""
     hour = F.date_trunc("hour", "kafka_timestamp")
-    return given.changes(spark, sf_dir).groupBy(hour.alias("hour")).agg(F.max(lag).alias("max_lag"))
+    return given.changes(spark, sf_dir).groupBy(hour.alias("hour"), "partition").agg(
+        (F.max("offset") - F.min("offset") + 1).alias("grown_by"), F.count("*").alias("messages")
+    )
 
 
 @CATALOG.add("m2_replication_lag", """SELECT event_id, CASE WHEN event_type <> 'error' THEN event_id * 8 - user_id END AS lag_bytes FROM events""")
@@ -170,10 +171,10 @@ def cutover_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@CATALOG.add("m4_gate_after_reload", f"""WITH last AS (SELECT max(epoch_us(o_orderdate) // 1000000) AS s FROM orders)
-SELECT true AS lag_is_zero, (SELECT count(*) FROM orders) = (SELECT count(DISTINCT o_orderkey) FROM orders) AS counts_match,
-  (SELECT {_ORDER_DIGEST} FROM orders) = (SELECT {_ORDER_DIGEST} FROM (SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders)) AS checksums_match,
-  s IS NOT NULL AS ready_to_cut_over FROM last""")
+@CATALOG.add("m4_gate_after_reload", f"""WITH g AS (SELECT
+  (SELECT max(epoch_us(o_orderdate)) - min(epoch_us(o_orderdate)) >= 60000000 FROM orders) AS lag_is_zero, (SELECT count(*) FROM orders) = (SELECT count(DISTINCT o_orderkey) FROM orders) AS counts_match,
+  (SELECT {_ORDER_DIGEST} FROM orders) = (SELECT {_ORDER_DIGEST} FROM (SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders)) AS checksums_match)
+SELECT *, lag_is_zero AND counts_match AND checksums_match AS ready_to_cut_over FROM g""")
 def gate_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders loaded into a target twice over and caught up: every condition holds."""
     orders = given.table(spark, sf_dir, "orders").select("o_orderkey", *_COLUMNS)

@@ -42,10 +42,10 @@ def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, path)
 
 
-@CATALOG.add("s6_append_batches", f"""WITH {CHANGES_SQL} SELECT {_BATCH} AS batch_id, CAST(kafka_timestamp AS DATE) AS event_date, count(*) AS n FROM changes GROUP BY ALL""")
+@CATALOG.add("s6_append_batches", f"""WITH {CHANGES_SQL} SELECT {_BATCH} AS batch_id, CAST(CAST(kafka_timestamp AS DATE) AS VARCHAR) AS event_date, count(*) AS n FROM changes GROUP BY ALL""")
 def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = stored_bronze(spark, sf_dir)
-    return bronze.groupBy("batch_id", "event_date").agg(F.count("*").alias("n"))
+    return bronze.groupBy("batch_id", F.col("event_date").cast("string").alias("event_date")).agg(F.count("*").alias("n"))
 
 
 @CATALOG.add("u7_batch_log", f"""WITH {CHANGES_SQL}, b AS (SELECT {_BATCH} AS batch_id, max(kafka_timestamp) AS committed_at, count(*) AS rows_added FROM changes GROUP BY ALL)

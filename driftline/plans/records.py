@@ -169,12 +169,13 @@ def operation_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.add("p9_stamped_changes", f"""WITH {CHANGES_SQL}
 SELECT "offset", topic AS source_topic, TIMESTAMP '2024-02-01 00:00:00' AS ingestion_time,
-  TIMESTAMP '2024-02-01 00:00:00' AS _migration_ts, CAST(kafka_timestamp AS DATE) AS event_date, 'postgres_local' AS source_system FROM changes""")
+  TIMESTAMP '2024-02-01 00:00:00' AS _migration_ts, CAST(CAST(kafka_timestamp AS DATE) AS VARCHAR) AS event_date, 'postgres_local' AS source_system FROM changes""")
 def stamped_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.lit("2024-02-01 00:00:00").cast("timestamp")
     stamped = stamp(given.changes(spark, sf_dir), run_ts=at, migration_ts=True)
     system = F.lit("postgres_local").alias("source_system")
-    return stamped.select("offset", "source_topic", "ingestion_time", "_migration_ts", "event_date", system)
+    day = F.col("event_date").cast("string").alias("event_date")
+    return stamped.select("offset", "source_topic", "ingestion_time", "_migration_ts", day, system)
 
 
 @CATALOG.add("p12_topic_rename", """SELECT 'data:shop.public.' || event_type AS topic, count(*) AS messages FROM events GROUP BY event_type""")
@@ -267,9 +268,10 @@ def operation_topic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operation_counts(stamp(given.changes(spark, sf_dir)), "source_topic")
 
 
-@CATALOG.add("a8_daily_mix", f"WITH {CHANGES_SQL} SELECT operation, CAST(kafka_timestamp AS DATE) AS event_date, count(*) AS change_count FROM changes GROUP BY ALL")
+@CATALOG.add("a8_daily_mix", f"WITH {CHANGES_SQL} SELECT operation, CAST(CAST(kafka_timestamp AS DATE) AS VARCHAR) AS event_date, count(*) AS change_count FROM changes GROUP BY ALL")
 def daily_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return operation_counts(stamp(given.changes(spark, sf_dir)), "event_date")
+    counts = operation_counts(stamp(given.changes(spark, sf_dir)), "event_date")
+    return counts.withColumn("event_date", F.col("event_date").cast("string"))
 
 
 @CATALOG.add("f3_object_ids", """SELECT event_id, 'e' || event_id AS id FROM events""")

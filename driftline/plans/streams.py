@@ -42,7 +42,7 @@ def _stream(spark: SparkSession, landing: str) -> DataFrame:
     return stream_landing(spark, landing, files_per_batch=-(-files // MICRO_BATCHES))
 
 
-@CATALOG.add("x1_stream_to_bronze", f"""WITH {CHANGES_SQL} SELECT "offset", operation, CAST(kafka_timestamp AS DATE) AS event_date,
+@CATALOG.add("x1_stream_to_bronze", f"""WITH {CHANGES_SQL} SELECT "offset", operation, CAST(CAST(kafka_timestamp AS DATE) AS VARCHAR) AS event_date,
   CASE WHEN operation <> 'd' THEN CAST(customer_id AS INTEGER) END AS customer_id FROM changes""")
 def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files to the audit table, some records landed twice and stored once."""
@@ -51,7 +51,9 @@ def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_available(bronze_writer(
         records, lambda batch: stamp(env.parse_relational(batch, CUSTOMER_ROW)), path, shared_dir(spark, "checkpoint"), rebalance=True
     ))
-    return read_bronze(spark, path).select("offset", "operation", "event_date", F.col("after.customer_id").alias("customer_id"))
+    return read_bronze(spark, path).select(
+        "offset", "operation", F.col("event_date").cast("string").alias("event_date"), F.col("after.customer_id").alias("customer_id")
+    )
 
 
 @CATALOG.add("x1_dedupe_within_delay", f"""WITH {CHANGES_SQL} SELECT "partition", count(*) AS messages FROM changes GROUP BY ALL""")

@@ -42,7 +42,7 @@ def classify_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     name = (
         F.when(kind == "view", F.concat(F.lit("target_"), "user_id")).when(kind == "error", F.concat(F.lit("targetX"), "user_id"))
-        .when(kind == "signup", "migration_status").otherwise(F.concat(F.lit("target"), F.lit("")))
+        .when(kind == "signup", "migration_status").otherwise("target")
     )
     named = given.table(spark, sf_dir, "events").select(name.alias("table_name"))
     return rel.classify_tables(named).groupBy("role").agg(F.count("*").alias("mentions"))

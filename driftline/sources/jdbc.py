@@ -64,11 +64,16 @@ def write_staging(df: DataFrame, conn: Connection, table: str) -> str:
 
 
 def insert_from_staging_sql(
-    table: str, staging: str, columns: Sequence[str], key: Sequence[str], json_columns: Sequence[str] = ()
+    table: str, staging: str, columns: Sequence[str], key: Sequence[str], json_columns: Sequence[str] = (), update: bool = False
 ) -> str:
-    """Statement that moves staged rows into the table and leaves existing keys alone."""
+    """Statement that moves staged rows into the table.
+
+    Rows with an existing key are left alone, or overwritten with `update`.
+    """
     picked = ", ".join(f"{c}::jsonb" if c in json_columns else c for c in columns)
+    changed = ", ".join(f"{c} = EXCLUDED.{c}" for c in columns if c not in key)
+    action = f"UPDATE SET {changed}" if update else "NOTHING"
     return (
         f"INSERT INTO {table} ({', '.join(columns)}) SELECT {picked} FROM {staging} "
-        f"ON CONFLICT ({', '.join(key)}) DO NOTHING"
+        f"ON CONFLICT ({', '.join(key)}) DO {action}"
     )

@@ -36,6 +36,8 @@ def test_jdbc_addresses():
         jdbc.connection("mysql://u:p@h/db")
     sql = jdbc.insert_from_staging_sql("target", "temp", ["id", "data"], ["id"], ["data"])
     assert sql == "INSERT INTO target (id, data) SELECT id, data::jsonb FROM temp ON CONFLICT (id) DO NOTHING"
+    sql = jdbc.insert_from_staging_sql("target", "temp", ["id", "a", "b"], ["id"], update=True)
+    assert sql.endswith("ON CONFLICT (id) DO UPDATE SET a = EXCLUDED.a, b = EXCLUDED.b")
 
 
 def test_catalog_tables(spark):
