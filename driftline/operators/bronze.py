@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -65,14 +65,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def completed(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders below a path whose write has finished."""
+def completed(spark: SparkSession, path: str, skip: Collection[str] = ()) -> list[str]:
+    """Names of the folders below a path, but for those to skip, whose write has finished."""
     if not table_exists(spark, path):
         return []
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-    return [n for n in names if table_exists(spark, f"{path}/{n}/_SUCCESS")]
+    return [n for n in names if n not in skip and table_exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
 def unseen(changes: DataFrame, path: str, batch_id: int, identity: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:

@@ -189,7 +189,7 @@ class TargetTable:
         return {r[0] for r in self.spark.read.parquet(f"{self.path}/folded/v={version}").collect()} if version else set()
 
     def _pending(self, version: int) -> list[str]:
-        return sorted(set(completed(self.spark, f"{self.path}/delta")) - self._folded(version))
+        return sorted(completed(self.spark, f"{self.path}/delta", skip=self._folded(version)))
 
 
 # Which target each source feeds.
@@ -219,6 +219,20 @@ def load_counts(rows: DataFrame, target_table: str | Column) -> DataFrame:
     )
 
 
+def record_loads(counts: DataFrame, path: str, batch_id: int) -> None:
+    """Keep what a batch added under its number; recording it again replaces it."""
+    counts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def recorded_loads(spark: SparkSession, path: str) -> DataFrame:
+    """All recorded batches together, per target."""
+    return spark.read.parquet(path).groupBy("target_table").agg(
+        F.sum("rows_added").alias("rows_added"),
+        F.max("batch_migrated_at").alias("batch_migrated_at"),
+        F.max("batch_offset").alias("batch_offset"),
+    )
+
+
 def update_tracking(tracking: DataFrame, counts: DataFrame) -> DataFrame:
     """Tracking rows after a batch. Targets the batch did not touch keep their figures."""
     joined = tracking.join(counts, "target_table", "left")
