@@ -59,18 +59,26 @@ def read_bronze(
     return stored.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
+def _located(spark: SparkSession, path: str) -> tuple:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    fs, folder = _located(spark, path)
+    return fs.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, folder = _located(spark, path)
+    fs.delete(folder, True)
 
 
 def completed(spark: SparkSession, path: str, skip: Collection[str] = ()) -> list[str]:
     """Names of the folders below a path, but for those to skip, whose write has finished."""
     if not table_exists(spark, path):
         return []
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, folder = _located(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
     return [n for n in names if n not in skip and table_exists(spark, f"{path}/{n}/_SUCCESS")]
 

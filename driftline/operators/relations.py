@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.operators.keyed import DEFAULT_POLICY, SkewPolicy, over_key
+from driftline.session import BROADCAST_BYTES, estimated_bytes
 
 
 def parents_without_children(parents: DataFrame, key: str, children: DataFrame, child_key: str) -> DataFrame:
@@ -17,14 +18,24 @@ def parents_without_children(parents: DataFrame, key: str, children: DataFrame,
     return parents.join(used, F.col(key) == F.col("_used"), "left_anti")
 
 
-def orphans(children: DataFrame, child_key: str, parents: DataFrame, key: str) -> DataFrame:
+def orphans(
+    children: DataFrame, child_key: str, parents: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Children whose non-null reference names no parent.
 
-    The children are the streamed side, which adaptive execution may split when one reference
-    is very frequent.
+    Parent keys of a checked small size are broadcast. Beyond it, the distinct references are
+    checked first: they are reduced before the shuffle, however often one repeats, and the
+    children themselves then only meet the references found lost, of which there are few in
+    any table worth checking. Spark broadcasts those if they are small and shuffles otherwise.
     """
     known = parents.select(F.col(key).alias("_known"))
-    return children.filter(F.col(child_key).isNotNull()).join(known, F.col(child_key) == F.col("_known"), "left_anti")
+    refers = F.col(child_key) == F.col("_known")
+    present = children.filter(F.col(child_key).isNotNull())
+    size = estimated_bytes(known)
+    if size is not None and size <= broadcast_bytes:
+        return present.join(F.broadcast(known), refers, "left_anti")
+    lost = present.select(F.col(child_key).alias("_lost")).distinct().join(known, F.col("_lost") == F.col("_known"), "left_anti")
+    return present.join(lost, F.col(child_key) == F.col("_lost"), "left_semi")
 
 
 def cascade_delete(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import clamp_at_zero, document_time, from_micros, map_values
-from driftline.operators.bronze import completed
+from driftline.operators.bronze import completed, remove
 from driftline.operators.keyed import latest_per_key
 from driftline.schemas import (
     DELETE,
@@ -26,11 +26,9 @@ from driftline.schemas import (
     TRACKING,
     row_type,
 )
-from driftline.session import estimated_bytes, few_rows
+from driftline.session import BROADCAST_BYTES, estimated_bytes, few_rows
 
 ORDER = ("cdc_timestamp_ms", "offset")
-# A broadcast holds keys and order of the changes only, and never more than the changes' size.
-BROADCAST_BYTES = 64 << 20
 
 
 def _now(run_ts: Column | None) -> Column:
@@ -149,9 +147,16 @@ class TargetTable:
     order: tuple[str, ...] = ORDER
 
     def apply_batch(self, changes: DataFrame, batch_id: int, stream: str = "batch") -> None:
-        """Record a batch, reduced to one row per key."""
-        reduced = latest_per_key(changes, self.keys, self.order)
-        reduced.write.mode("overwrite").parquet(f"{self.path}/delta/{stream}-{batch_id}")
+        """Record a batch, reduced to one row per key.
+
+        A number that the base already contains is recorded anew: applying the same changes
+        again alters nothing, and other changes under a used number are not lost.
+        """
+        _, version = self._base()
+        name = f"{stream}-{batch_id}"
+        if name in self._folded(version):
+            name += f"-v{version}"
+        latest_per_key(changes, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}/delta/{name}")
 
     def state(self) -> DataFrame | None:
         """Newest row per key, deletes included; None before the first batch."""
@@ -178,6 +183,18 @@ class TargetTable:
         )
         self.state().write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}")
 
+    def expire(self) -> None:
+        """Delete what the current base has replaced: older bases and the batches folded into it.
+
+        Readers that began before the last `compact` must have finished.
+        """
+        _, version = self._base()
+        old = [f"base/{n}" for n in completed(self.spark, f"{self.path}/base") if n != f"v={version}"]
+        old += [f"folded/{n}" for n in completed(self.spark, f"{self.path}/folded") if int(n[2:]) < version]
+        old += [f"delta/{n}" for n in self._folded(version)]
+        for name in old:
+            remove(self.spark, f"{self.path}/{name}")
+
     def _base(self) -> tuple[DataFrame | None, int]:
         versions = [int(n.split("=")[1]) for n in completed(self.spark, f"{self.path}/base")]
         if not versions:

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What may be broadcast, by the optimizer's estimate; checked wherever data of the caller's is.
+BROADCAST_BYTES = 64 << 20
+
 
 def build_session(app: str = "driftline", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators assume.

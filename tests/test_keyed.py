@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.operators.keyed import SkewPolicy, find_cuts, latest_per_key, over_key
-from driftline.operators.history import scd2
+from driftline.operators.history import scd2, with_previous_image
+from driftline.operators.quality import status_changes
+from driftline.operators.relations import running_adjustments
+from driftline.operators.validate import quiet_stretches
 
 CUT = SkewPolicy(small_bytes=0, pieces=16)
 
@@ -97,6 +100,32 @@ def test_history_is_the_same_when_keys_are_cut(skewed, semantics):
     assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
 
 
+def same(a, b):
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_users_of_ordered_keys_agree_when_keys_are_cut(skewed):
+    steps = dict(keys=["k"], order=["t", "o"])
+    lag = F.when(F.col("v") > 5, 1).otherwise(0)
+    cases = [
+        lambda p: status_changes(skewed, status="operation", transitions=[("r", "u"), ("u", "d")], policy=p, **steps),
+        lambda p: quiet_stretches(skewed, ["k"], "t", "o", lag, policy=p),
+        lambda p: running_adjustments(skewed, amounts={"level": F.col("v")}, policy=p, **steps),
+        lambda p: with_previous_image(skewed, ["k"], "operation", ["t", "o"], policy=p),
+    ]
+    for case in cases:
+        same(case(SkewPolicy(small_bytes=1 << 62)), case(CUT))
+
+
+def test_a_plain_history_needs_one_shuffle(spark, skewed, tmp_path):
+    skewed.write.parquet(str(tmp_path / "c"))
+    changes = spark.read.parquet(str(tmp_path / "c")).select(F.col("k").alias("id"), "v", "operation", F.col("t").alias("cdc_timestamp_ms"), F.col("o").alias("offset"))
+    plan = scd2(changes, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Python" not in plan
+    pruned = scd2(changes, ["id"]).filter("id = 3").select("version")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(k,3)" in pruned and "ReadSchema: struct<k:bigint,t:bigint,o:bigint,operation:string>" in pruned
+
+
 def test_latest_keeps_one_row_per_key_before_the_shuffle(skewed):
     latest = latest_per_key(skewed, ["k"], ["t", "o"])
     plan = latest._jdf.queryExecution().executedPlan().toString()

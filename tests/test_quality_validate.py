@@ -28,6 +28,8 @@ def test_keys_and_references(spark):
     assert found(df, ["id"], q.primary_key("id")) == [("primary key id", "1", "2"), ("primary key id", "null", "1")]
     assert found(df, ["id"], q.unique("ref")) == [("unique ref", "10", "2")]
     assert found(df, ["id"], q.references("ref", parents, "p")) == [("ref references p", "3", "99")]
+    for limit in (-1, 1 << 62):
+        assert rel.orphans(df, "ref", parents, "p", broadcast_bytes=limit).collect() == [(3, 99)]
     summary = {r["rule"]: (r["violations"], r["passed"]) for r in q.rule_summary(df, ["id"], [q.not_null("ref"), q.at_least("ref", 0)]).collect()}
     assert summary == {"ref not null": (1, False), "ref >= 0": (0, True)}
 

@@ -57,6 +57,16 @@ def test_target_table(spark, tmp_path):
     assert names(table.read()) == {1: "b", 3: "other"}
     table.compact()
     assert names(table.read()) == {1: "b", 3: "other"}
+    table.expire()
+    assert names(table.read()) == {1: "b", 3: "other"}
+    assert sorted(p.name for p in (tmp_path / "target" / "base").iterdir()) == ["v=2"]
+    assert list((tmp_path / "target" / "delta").iterdir()) == []
+    table.apply_batch(rows(spark, (3, None, "d", 9, 9)), 1, "s2")
+    assert names(table.read()) == {1: "b"}
+    # A number used before, with other changes.
+    table.apply_batch(rows(spark, (8, "h", "c", 9, 9)), 0, "s1")
+    table.compact()
+    assert names(table.read()) == {1: "b", 8: "h"}
 
 
 def test_insert_or_ignore(spark):
