@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.operators.keyed import DEFAULT_POLICY, SkewPolicy, over_key
-from driftline.session import BROADCAST_BYTES, estimated_bytes
+from driftline.session import BROADCAST_BYTES, estimated_bytes, if_small, stored
 
 
 def parents_without_children(parents: DataFrame, key: str, children: DataFrame, child_key: str) -> DataFrame:
@@ -24,18 +24,18 @@ def orphans(
     """Children whose non-null reference names no parent.
 
     Parent keys of a checked small size are broadcast. Beyond it, the distinct references are
-    checked first: they are reduced before the shuffle, however often one repeats, and the
-    children themselves then only meet the references found lost, of which there are few in
-    any table worth checking. Spark broadcasts those if they are small and shuffles otherwise.
+    checked first: they are reduced before the shuffle, however often one repeats. The lost
+    ones, few in any table worth checking, are stored, and the children then meet them
+    without being shuffled unless the lost ones are many.
     """
     known = parents.select(F.col(key).alias("_known"))
-    refers = F.col(child_key) == F.col("_known")
     present = children.filter(F.col(child_key).isNotNull())
     size = estimated_bytes(known)
     if size is not None and size <= broadcast_bytes:
-        return present.join(F.broadcast(known), refers, "left_anti")
-    lost = present.select(F.col(child_key).alias("_lost")).distinct().join(known, F.col("_lost") == F.col("_known"), "left_anti")
-    return present.join(lost, F.col(child_key) == F.col("_lost"), "left_semi")
+        return present.join(F.broadcast(known), F.col(child_key) == F.col("_known"), "left_anti")
+    references = present.select(F.col(child_key).alias("_lost")).distinct()
+    lost = stored(references.join(known, F.col("_lost") == F.col("_known"), "left_anti"), "lost")
+    return present.join(if_small(lost), F.col(child_key) == F.col("_lost"), "left_semi")
 
 
 def cascade_delete(

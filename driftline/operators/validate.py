@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from driftline.functions import row_digest
 from driftline.operators.keyed import DEFAULT_POLICY, SkewPolicy, over_key
 from driftline.operators.relations import tagged_counts
+from driftline.session import if_small, stored
 
 
 def compare_counts(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
@@ -51,14 +52,36 @@ def compare_checksums(source: DataFrame, target: DataFrame, columns: Sequence[st
 def diff_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Rows that differ: `missing` in the target, `extra` there, or `mismatch` with the columns named.
 
-    Equal rows cancel out in an aggregation that combines before the shuffle, so only the
-    differences are brought together by key, and a key repeated on both sides makes no pairs.
+    First the keys whose rows differ are found from 128-bit fingerprints, so whole rows are not
+    shuffled. Equal fingerprints cancel out in an aggregation that combines before the shuffle, and
+    a key repeated on both sides makes no pairs. The rows of those keys are then compared in full.
+
     Nulls equal nulls. Repeated keys are reported with their row counts; the columns are
     named where each side has one row left.
     """
-    names = [*keys, *columns]
-    sides = source.select(*names, F.lit(1).alias("_side")).unionByName(target.select(*names, F.lit(-1).alias("_side")))
-    left_over = sides.groupBy(*names).agg(F.sum("_side").alias("_n")).filter("_n != 0")
+    marks = _fingerprint(columns)
+    sides = source.select(*keys, *marks, F.lit(1).alias("_side")).unionByName(
+        target.select(*keys, *marks, F.lit(-1).alias("_side"))
+    )
+    unbalanced = sides.groupBy(*keys, "_f1", "_f2").agg(F.sum("_side").alias("_n")).filter("_n != 0")
+    # Stored, so that its size is known before the full rows are read: few differences are
+    # broadcast and then nothing but differing rows is shuffled.
+    wanted = if_small(stored(unbalanced.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct(), "differing"))
+    hit = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"_k_{k}")), keys, F.lit(True))
+    rows = source.select(*keys, *columns, F.lit(1).alias("_side")).unionByName(
+        target.select(*keys, *columns, F.lit(-1).alias("_side"))
+    )
+    return _differences(rows.join(wanted, hit, "left_semi"), keys, columns)
+
+
+def _fingerprint(columns: Sequence[str]) -> list[Column]:
+    # The hash passes over nulls, so where they are is hashed as well.
+    parts = [part for c in columns for part in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(*parts).alias("_f1"), F.xxhash64(F.lit("second"), *parts).alias("_f2")]
+
+
+def _differences(sides: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    left_over = sides.groupBy(*keys, *columns).agg(F.sum("_side").alias("_n")).filter("_n != 0")
     on_source, on_target = F.col("_n") > 0, F.col("_n") < 0
     by_key = left_over.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(on_source, F.col("_n"))), F.lit(0)).alias("source_rows"),

@@ -58,6 +58,19 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return size if size < (1 << 63) - 1 else None
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to a shared folder and read back: computed once, and of known size."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame marked for broadcast if its size is known to be small, else as it is."""
+    size = estimated_bytes(df)
+    return F.broadcast(df) if size is not None and size <= limit else df
+
+
 def spread(scan: DataFrame, bytes_per_task: int = 512 << 10) -> DataFrame:
     """A scan of few large pieces, spread over the cores before costly work on each row.
 

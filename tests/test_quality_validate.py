@@ -49,6 +49,22 @@ def test_differences(spark):
     assert v.diff_rows(source, source.repartition(3), ["k"], ["a", "b"]).count() == 0
 
 
+def test_differences_in_where_the_null_is(spark):
+    source = spark.createDataFrame([(1, None, "a"), (None, "x", "y")], "k int, a string, b string")
+    target = spark.createDataFrame([(1, "a", None), (None, "x", "z")], "k int, a string, b string")
+    got = {r["k"]: (r["status"], r["columns"]) for r in v.diff_rows(source, target, ["k"], ["a", "b"]).collect()}
+    assert got == {1: ("mismatch", "a,b"), None: ("mismatch", "b")}
+
+
+def test_differences_among_very_many_copies_of_one_key(spark):
+    """A third of all rows under one key on each side: no pairs are formed."""
+    rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), (F.col("id") % 7).alias("a"))
+    target = rows.filter("NOT (k = -1 AND a = 4)").unionByName(rows.filter("k = 1"))
+    got = {r["k"]: (r["status"], r["source_rows"], r["target_rows"]) for r in v.diff_rows(rows, target, ["k"], ["a"]).collect()}
+    copies = rows.filter("k = -1 AND a = 4").count()
+    assert got == {-1: ("missing", copies, 0), 1: ("extra", 0, 1)}
+
+
 def test_checksums(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k int, t string")
     assert v.compare_checksums(df, df.orderBy(F.desc("k")), ["k", "t"]).first()["matches"]
