@@ -142,6 +142,11 @@ def route_topic(event_json: Column, default: str = "debezium.cdc.events") -> Col
     return F.coalesce(F.when(explicit != "", explicit), F.when(source.isNotNull(), named), F.lit(default))
 
 
+def write_by_topic(events: DataFrame, event_json: Column, path: str) -> None:
+    """Append events to one folder per topic they belong to."""
+    events.withColumn("topic", route_topic(event_json)).write.mode("append").partitionBy("topic").parquet(path)
+
+
 def rename_topic(topic: Column, pattern: str = "^.*$", replacement: str = "data:$0") -> Column:
     return F.regexp_replace(topic, pattern, replacement)
 

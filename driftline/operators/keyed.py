@@ -64,12 +64,12 @@ def find_cuts(
     its limit; the rate filter before it keeps tasks from sorting rows the limit would drop.
     Collected rows are bounded by the sample, hence independent of the data size.
     """
-    size = estimated_bytes(df)
-    if size is not None and size <= policy.small_bytes:
-        return None
     for name in order:
         if not isinstance(df.schema[name].dataType, _ORDERABLE):
             raise TypeError(f"order column {name} must be an integer, a string or a date")
+    size = estimated_bytes(df)
+    if size is not None and size <= policy.small_bytes:
+        return None
     pieces = _piece_count(df, policy)
     wanted = pieces * policy.rows_per_piece
     rows = df.select(F.xxhash64(*keys).alias(_HASH), *order)

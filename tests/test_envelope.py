@@ -89,7 +89,7 @@ def test_documents(spark):
     assert INVENTORY_DOCUMENT["unit_cost"].dataType.typeName() == "double"
 
 
-def test_topic_routing(spark):
+def test_topic_routing(spark, tmp_path):
     cases = {
         '{"topic": "own", "payload": {"source": {"name": "n"}}}': "own",
         '{"topic": "", "payload": {"source": {"name": "n", "schema": "s", "table": "t"}}}': "n.s.t",
@@ -99,6 +99,9 @@ def test_topic_routing(spark):
     }
     df = spark.createDataFrame([(c,) for c in cases], "e string")
     assert {r["e"]: r["t"] for r in df.select("e", env.route_topic(F.col("e")).alias("t")).collect()} == cases
+    env.write_by_topic(df, F.col("e"), str(tmp_path / "routed"))
+    counts = spark.read.parquet(str(tmp_path / "routed")).groupBy("topic").count().collect()
+    assert {r["topic"]: r["count"] for r in counts} == {"own": 1, "n.s.t": 1, "unknown.public.unknown": 1, "debezium.cdc.events": 2}
     renamed = df.limit(1).select(env.rename_topic(F.lit("a.b")).alias("t"))
     assert renamed.first()["t"] == "data:a.b"
 

@@ -88,7 +88,7 @@ def test_inputs_of_unknown_size_are_sampled(spark, skewed):
 
 def test_order_must_compare_exactly(skewed):
     with pytest.raises(TypeError):
-        find_cuts(skewed.withColumn("x", F.col("t").cast("double")), ["k"], ["x"], CUT)
+        over_key(skewed.withColumn("x", F.col("t").cast("double")), ["k"], ["x"], running={"n": F.lit(1)})
 
 
 @pytest.mark.parametrize("semantics", ["documented", "literal"])
