@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Catalog:
-    def __init__(self) -> None:
-        self.queries: dict[str, Query] = {}
-        self.sql: dict[str, str] = {}
+    def __init__(self, queries: dict[str, Query] | None = None, sql: dict[str, str] | None = None) -> None:
+        self.queries: dict[str, Query] = dict(queries or {})
+        self.sql: dict[str, str] = dict(sql or {})
 
     def add(self, name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def keep(query: Query) -> Query:
