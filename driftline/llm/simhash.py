@@ -165,7 +165,7 @@ class Anchors:
 
 
 def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, occupied: bytes | None = None) -> DataFrame:
-    """Rows `anchor`, `k`, `fp`; with `occupied` (a bitmap by anchor index), only at anchors set there.
+    """Rows `anchor`, `k`, `fp`, `root`; with `occupied` (a bitmap by anchor index), only at anchors set there.
 
     Fingerprints of different `k` never meet: their anchors are numbered apart.
     """
@@ -179,13 +179,15 @@ def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, occupied: byte
                 values = batch.column("fp").slice(begin, 4096).to_numpy(zero_copy_only=False)
                 rows, index = anchors.of(values.view(np.uint64), threshold, tables)
                 kinds = batch.column("k").slice(begin, 4096).to_numpy(zero_copy_only=False).astype(np.int64)[rows]
+                roots = batch.column("root").slice(begin, 4096).to_numpy(zero_copy_only=False)
                 index = index | (kinds << anchors.index_bits)
                 if bitmap is not None:
                     near = (bitmap[index >> 3] >> (index & 7).astype(np.uint8)) & 1 == 1
                     rows, index, kinds = rows[near], index[near], kinds[near]
-                yield pa.RecordBatch.from_arrays([pa.array(index), pa.array(kinds.astype(np.int32)), pa.array(values[rows])], names=["anchor", "k", "fp"])
+                columns = [pa.array(index), pa.array(kinds.astype(np.int32)), pa.array(values[rows]), pa.array(roots[rows])]
+                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "k", "fp", "root"])
 
-    return fps.select("k", "fp").mapInArrow(work, "anchor long, k int, fp long")
+    return fps.select("k", "fp", "root").mapInArrow(work, "anchor long, k int, fp long, root long")
 
 
 def _occupied(homes: DataFrame, index_bits: int) -> bytes:
@@ -207,7 +209,10 @@ def near_pairs(fps: DataFrame, threshold: int = 2, anchors: Anchors | None = Non
     radius plus the threshold. If a and b are near, b is among the copies at a's home. Copies are made
     only for anchors that are somebody's home, told by a bitmap of 16 MB at most. Pairs that
     are too far apart are dropped within the join; skewed anchors are for adaptive execution to split.
+    With a column `root`, pairs of equal roots are left out: they are known to belong together.
     """
+    if "root" not in fps.columns:
+        fps = fps.withColumn("root", F.col("fp"))
     if anchors is None:
         # Past about 2^26 fingerprints, homes get crowded: a third part gives 2^35 anchors.
         anchors = Anchors((GOLAY, GOLAY) if fps.count() < 1 << 26 else (GOLAY, GOLAY, HAMMING))
@@ -216,9 +221,9 @@ def near_pairs(fps: DataFrame, threshold: int = 2, anchors: Anchors | None = Non
     bitmap = _occupied(homes, bits) if bits <= 27 else None
     copies = _at_anchors(fps, anchors, threshold, bitmap)
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
-    return homes.withColumnRenamed("fp", "a").join(
-        copies.select("anchor", F.col("fp").alias("b")), "anchor"
-    ).filter((F.col("a") < F.col("b")) & near).select("k", "a", "b")
+    return homes.withColumnsRenamed({"fp": "a", "root": "root_a"}).join(
+        copies.select("anchor", F.col("fp").alias("b"), F.col("root").alias("root_b")), "anchor"
+    ).filter((F.col("a") < F.col("b")) & near & (F.col("root_a") != F.col("root_b"))).select("k", "a", "b")
 
 
 def near_groups(
@@ -304,9 +309,10 @@ def similar_texts(texts: DataFrame, threshold: int = 2, most_differing: int = JU
     """Links `a`, `b` between `mark`s of texts judged to share 0.8 of their shingles of five words.
 
     Candidates agree in a search fingerprint up to `threshold` bits, found at anchors. Of texts with an
-    equal fingerprint each is linked to the first, and of near fingerprints the first texts are linked, so
-    a large group makes no pairs. Candidates stay if their 512 judging bits differ in `most_differing` at most.
-    Two sets sharing 0.8 differ in 15 % of those bits on average, and the default of 18 % allows for spread.
+    equal fingerprint each is linked to the first. What these links join is known by its root, and of near
+    fingerprints only the first texts of different roots are looked at, so a large group makes no pairs.
+    Candidates stay if their 512 judging bits differ in `most_differing` at most: two sets sharing 0.8
+    differ in 15 % of those bits on average, and the default of 18 % allows for spread.
     """
     each = stored(_featured(texts), "features")
     total = each.count()
@@ -318,12 +324,19 @@ def similar_texts(texts: DataFrame, threshold: int = 2, most_differing: int = JU
     to_first = attach(spread, groups, ["k", "fp"], "members", SEARCHES * total).select(
         F.col("first.mark").alias("a"), F.col("mark").alias("b"), F.col("first.judge").alias("x"), F.col("judge").alias("y")
     )
+    linked = to_first.filter((F.col("a") != F.col("b")) & (apart <= most_differing)).select("a", "b").distinct()
+    roots = components(stored(linked, "equal"))
+    rooted = groups.select("k", "fp", F.col("first.mark").alias("mark"), F.col("first.judge").alias("judge")).join(
+        roots, F.col("mark") == roots["node"], "left"
+    )
+    rooted = stored(rooted.select("k", "fp", "mark", "judge", F.coalesce("root", "mark").alias("root")), "rooted")
     one, other = (
-        groups.select("k", F.col("fp").alias(c), F.col("first.mark").alias(f"mark_{c}"), F.col("first.judge").alias(f"judge_{c}")) for c in "ab"
+        rooted.select("k", F.col("fp").alias(c), F.col("root").alias(f"root_{c}"), F.col("judge").alias(f"judge_{c}")) for c in "ab"
     )
-    pairs = stored(near_pairs(groups, threshold), "pairs").join(one, ["k", "a"]).join(other, ["k", "b"])
-    between = pairs.select(F.col("mark_a").alias("a"), F.col("mark_b").alias("b"), F.col("judge_a").alias("x"), F.col("judge_b").alias("y"))
-    return to_first.unionByName(between).filter(F.col("a") != F.col("b")).filter(apart <= most_differing).select("a", "b")
+    pairs = stored(near_pairs(rooted, threshold), "pairs").join(one, ["k", "a"]).join(other, ["k", "b"])
+    between = pairs.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"), F.col("judge_a").alias("x"), F.col("judge_b").alias("y"))
+    known = roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    return known.unionByName(between.filter(apart <= most_differing).select("a", "b").distinct())
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: int = 2) -> DataFrame:
