@@ -12,6 +12,8 @@ from driftline.llm.common import WORD, text_or_empty
 from driftline.session import stored
 
 MOST_REPEATS = 3
+# A source is summed up in 256 pieces at least, so that a large one is spread from the start.
+LEAST_PIECE_BITS = 8
 BASE_WEIGHTS = (1, 2, 3)
 # Change of a source's weight over training, by its rank: falling, steady, rising.
 SLOPES = (-1.0, 0.0, 1.0)
@@ -84,7 +86,7 @@ def mix(
     )
     sizes = stored(base.select("_source", "_size", "_order"), "sizes")
     rows = sizes.count()
-    bits = max(4, min(20, ceil(rows / rows_per_piece).bit_length()))
+    bits = max(LEAST_PIECE_BITS, min(20, ceil(rows / rows_per_piece).bit_length()))
     piece = F.shiftrightunsigned("_order", 64 - bits).alias("_piece")
     pieces = stored(sizes.groupBy("_source", piece).agg(F.sum("_size").alias("_words")), "pieces")
     # One row per source from here: a source has at most 2^20 pieces.
