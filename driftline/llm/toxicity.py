@@ -23,6 +23,8 @@ TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 STEM = range(3, 9)
 REACH = 3  # words that a negation reaches
 PATTERNS = ("insult", "insult_target", "threat", "threat_target", "negated", "reported")
+HOSTILE = PATTERNS[:4]
+FEATURES = len(PATTERNS) + 2
 CACHED = 200_000
 
 
@@ -42,11 +44,10 @@ class Lexicon:
         return Lexicon({w: (symbol, 1.0) for symbol, words in symbols.items() for w in words})
 
     def read(self, word: str) -> tuple[str, float] | None:
-        found = self.words.get(word)
-        if found and found[0] == "insult":
-            return found
+        if word in self.words:
+            return self.words[word]
         best = max((self.stems[word[:k]] for k in STEM if word[:k] in self.stems), default=0.0)
-        return ("insult", best) if best else found
+        return ("insult", best) if best else None
 
 
 def match_clause(symbols: list[tuple[str, float] | None]) -> list[tuple[str, float]]:
@@ -88,7 +89,10 @@ class Grammar:
             return self.seen.setdefault(word, self.lexicon.read(word))
 
     def features(self, text: str | None) -> np.ndarray:
-        """Per pattern the logarithm of its summed weights, and that of the number of matched clauses."""
+        """Logarithms of each pattern's summed weights, of all hostile ones together, and of the number of matched clauses.
+
+        The sum over all lets a pattern count that the labelled texts happen not to have.
+        """
         sums, clauses = dict.fromkeys(PATTERNS, 0.0), 0
         text = (text or "").lower()
         hostile = {w for w in set(TOKEN.findall(text)) if (s := self.symbol(w)) and s[0] in ("insult", "threat")}
@@ -98,7 +102,7 @@ class Grammar:
                 clauses += bool(found)
                 for pattern, weight in found:
                     sums[pattern] += weight
-        return np.log1p(np.array([*sums.values(), float(clauses)]))
+        return np.log1p(np.array([*sums.values(), sum(sums[p] for p in HOSTILE), float(clauses)]))
 
 
 @dataclass
@@ -157,7 +161,9 @@ def learn_lexicon(labelled: DataFrame, *, least_share: float = 0.01, least_texts
             odds[part] = float(np.log(ratio))
     for part, weight in odds.items():
         if part.startswith("="):
-            lexicon.words[part[1:]] = ("insult", weight)
+            # What a word does in the grammar goes before what it seems to say.
+            if lexicon.words.get(part[1:], ("insult",))[0] == "insult":
+                lexicon.words[part[1:]] = ("insult", weight)
         elif not any(part[:k] in odds and odds[part[:k]] >= weight - 0.5 for k in STEM if k < len(part)):
             lexicon.stems[part] = weight
     return lexicon
@@ -211,7 +217,7 @@ def learn(labelled: DataFrame, *, most_rows: int = 20_000) -> Model:
         rows.unpersist()
     labels = np.array([r["toxic"] for r in found], np.float64)
     if len(set(labels)) < 2:
-        return Model(lexicon, np.full(len(PATTERNS) + 1, 1.0), -2.0)
+        return Model(lexicon, np.full(FEATURES, 0.5), -1.5)
     weights, bias = _fit(np.array([r["features"] for r in found]), labels)
     return Model(lexicon, weights, bias)
 
