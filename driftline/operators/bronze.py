@@ -26,37 +26,57 @@ def stamp(changes: DataFrame, run_ts: Column | None = None, migration_ts: bool =
     return changes.withColumns(columns)
 
 
-def write_batch(changes: DataFrame, path: str, batch_id: int, rebalance: bool = False) -> None:
-    """Write one batch; writing the same batch again replaces it and nothing else.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def write_batch(changes: DataFrame, path: str, batch_id: int, rebalance: bool = False, stream: str = "batch") -> None:
+    """Write one batch; writing the same batch of the same stream again replaces it and nothing else.
+
+    Batches are numbered within their `stream`, so another stream's batch of the same number is another batch.
+    Days that an earlier attempt wrote and this one does not have are removed after it.
 
     A landing area in time order gives each task few days, so no shuffle is made by default.
     `rebalance` evens out files where a batch mixes many days, splitting days that are large.
     """
-    out = changes.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    out = changes.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")})
+    earlier = _day_folders(changes.sparkSession, path, stream, batch_id)
     if rebalance:
         out = out.hint("rebalance", "event_date")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
+        .partitionBy("event_date", "stream", "batch_id")
         .parquet(path)
     )
+    if earlier:
+        days = {r[0] for r in changes.select(F.col("event_date").cast("string")).distinct().collect()}
+        now = {f"event_date={NO_DAY if day is None else day}" for day in days}
+        for day in earlier - now:
+            remove(changes.sparkSession, f"{path}/{day}/stream={stream}/batch_id={batch_id}")
+
+
+def _day_folders(spark: SparkSession, path: str, stream: str, batch_id: int) -> set[str]:
+    """Names of the day folders that hold the batch."""
+    fs, folder = _located(spark, f"{path}/event_date=*/stream={stream}/batch_id={batch_id}")
+    return {s.getPath().getParent().getParent().getName() for s in fs.globStatus(folder) or ()}
 
 
 def read_bronze(
-    spark: SparkSession, path: str, days: Sequence[date] | None = None, columns: T.StructType | None = None
+    spark: SparkSession, path: str, days: Sequence[date | None] | None = None, columns: T.StructType | None = None,
+    with_stream: bool = False,
 ) -> DataFrame | None:
     """The audit table, or only some days of it, whose folders alone are then listed.
 
     Giving the columns spares looking them up in the files. None where there is nothing yet.
     """
-    paths = [path] if days is None else [f"{path}/event_date={day}" for day in days]
+    paths = [path] if days is None else [f"{path}/event_date={NO_DAY if day is None else day}" for day in days]
     paths = [p for p in paths if table_exists(spark, p)]
     if not paths:
         return None
     reader = spark.read.schema(columns) if columns else spark.read
     stored = reader.option("basePath", path).parquet(*paths)
-    return stored.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    stored = stored.withColumns({"batch_id": F.col("batch_id").cast("bigint"), "stream": F.col("stream").cast("string")})
+    return stored if with_stream else stored.drop("stream")
 
 
 def _located(spark: SparkSession, path: str) -> tuple:
@@ -83,19 +103,21 @@ def completed(spark: SparkSession, path: str, skip: Collection[str] = ()) -> lis
     return [n for n in names if n not in skip and table_exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
-def unseen(changes: DataFrame, path: str, batch_id: int, identity: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
+def unseen(
+    changes: DataFrame, path: str, batch_id: int, identity: Sequence[str] = ("topic", "partition", "offset"), stream: str = "batch"
+) -> DataFrame:
     """Changes of a batch that no other batch has stored, each once.
 
     Only the days the batch touches are compared. A message has one Kafka time, so its repeat
     lies in the same day.
     """
     once = changes.dropDuplicates(list(identity))
-    days = [r[0] for r in changes.select("event_date").distinct().collect() if r[0] is not None]
+    days = [r[0] for r in changes.select("event_date").distinct().collect()]
     columns = T.StructType([changes.schema[c] for c in identity])
-    stored = read_bronze(changes.sparkSession, path, days, columns)
+    stored = read_bronze(changes.sparkSession, path, days, columns, with_stream=True)
     if stored is None:
         return once
-    others = stored.filter(F.col("batch_id") != batch_id).select(*identity)
+    others = stored.filter((F.col("batch_id") != batch_id) | (F.col("stream") != stream)).select(*identity)
     return once.join(others, list(identity), "left_anti")
 
 

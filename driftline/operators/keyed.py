@@ -156,7 +156,11 @@ def over_key(
     # One row per piece, and pieces are bounded by the policy.
     joined = stepped.join(F.broadcast(carry), same_piece, "left")
     out = [stepped[c] for c in df.columns]
-    out += [(stepped[n] + F.coalesce(carry[f"r_{n}"], F.lit(0))).alias(n) for n in running]
+    # As the plain window: null only while the key has had no value, and of the same type.
+    kinds = {n: df.agg(F.sum(c).alias("total")).schema["total"].dataType for n, c in running.items()}
+    out += [
+        F.coalesce(stepped[n] + carry[f"r_{n}"], stepped[n], carry[f"r_{n}"]).cast(kinds[n]).alias(n) for n in running
+    ]
     out += [F.when(stepped["_last"], carry[f"n_{n}"]).otherwise(stepped[n]).alias(n) for n in lead]
     out += [F.when(stepped["_first"], carry[f"p_{n}"]).otherwise(stepped[n]).alias(n) for n in lag]
     return joined.select(*out)
@@ -166,7 +170,7 @@ def _carries(placed, keys, order, running, lead, lag, descending) -> DataFrame:
     """What each piece takes over from its neighbours; cold keys have no piece and no row here."""
     first, last = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)
     at = F.struct(*order)
-    aggs = [F.coalesce(F.sum(c), F.lit(0)).alias(f"t_{n}") for n, c in running.items()]
+    aggs = [F.sum(c).alias(f"t_{n}") for n, c in running.items()]
     aggs += [first(F.struct(c.alias("v")), at).alias(f"f_{n}") for n, c in lead.items()]
     aggs += [last(F.struct(c.alias("v")), at).alias(f"l_{n}") for n, c in lag.items()]
     pieces = placed.filter(_CUT).groupBy(*keys, _PIECE).agg(F.count("*").alias("n"), *aggs)

@@ -104,7 +104,8 @@ def violations(df: DataFrame, key: Sequence[str], rules: Sequence[Rule]) -> Data
             parts.append(
                 lost.select(F.lit(r.name).alias("rule"), _key_text(key).alias("key"), F.col(r.column).cast("string").alias("value"))
             )
-    out = parts[0]
+    nothing = F.lit(None).cast("string").alias("value")
+    out = parts[0] if parts else df.select(F.lit("").alias("rule"), _key_text(key).alias("key"), nothing).limit(0)
     for p in parts[1:]:
         out = out.unionByName(p)
     return out

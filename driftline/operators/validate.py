@@ -146,11 +146,13 @@ def quiet_stretches(
 ) -> DataFrame:
     """Stretches of consecutive samples without lag, with their length.
 
-    Counting the lagging samples so far numbers the stretches. `time` is in seconds.
+    Counting the lagging samples so far numbers the stretches. `time` is in seconds. An unknown
+    lag counts as lag.
     """
-    busy = F.when(lag > 0, F.lit(1)).otherwise(F.lit(0))
+    lagging = F.coalesce(lag > 0, F.lit(True))
+    busy = F.when(lagging, F.lit(1)).otherwise(F.lit(0))
     numbered = over_key(samples, keys, [time, tie], running={"_stretch": busy}, policy=policy)
-    quiet = numbered.filter(~(lag > 0))
+    quiet = numbered.filter(~lagging)
     return quiet.groupBy(*keys, "_stretch").agg(
         F.min(time).alias("quiet_from"), F.max(time).alias("quiet_to"), F.count("*").alias("samples")
     ).select(*keys, "quiet_from", "quiet_to", "samples", (F.col("quiet_to") - F.col("quiet_from")).alias("quiet_seconds"))
@@ -161,10 +163,10 @@ def ready_to_cut_over(
 ) -> DataFrame:
     """Per key, whether the lag has been zero for long enough up to the last sample.
 
-    Zero counts from the first sample after the last second with lag. Only fixed-size values
+    Zero counts from the first sample after the last second with lag, and an unknown lag is lag. Only fixed-size values
     are aggregated, so each pass is a hash aggregation combined before its shuffle.
     """
-    ends = samples.groupBy(*keys).agg(F.max(F.when(lag > 0, F.col(time))).alias("_busy"), F.max(time).alias("last_sample"))
+    ends = samples.groupBy(*keys).agg(F.max(F.when(F.coalesce(lag > 0, F.lit(True)), F.col(time))).alias("_busy"), F.max(time).alias("last_sample"))
     after = samples.select(*keys, time).join(ends, list(keys)).filter(F.col("_busy").isNull() | (F.col(time) > F.col("_busy")))
     held = after.groupBy(*keys).agg(F.min(time).alias("zero_since"))
     long_enough = F.coalesce(F.col("last_sample") - F.col("zero_since") >= hold_seconds, F.lit(False))
@@ -173,9 +175,9 @@ def ready_to_cut_over(
 
 def cutover_gate(**conditions: DataFrame) -> DataFrame:
     """One row that says whether every condition holds. Each condition is a frame with one
-    boolean column; it holds when all its rows are true, and an empty one does not hold."""
+    boolean column; it holds when all its rows are true; a null is not true, and an empty one does not hold."""
     parts = [
-        d.agg(F.coalesce(F.every(F.col(d.columns[0])), F.lit(False)).alias(name)).withColumn("_one", F.lit(1))
+        d.agg(F.coalesce(F.every(F.coalesce(F.col(d.columns[0]), F.lit(False))), F.lit(False)).alias(name)).withColumn("_one", F.lit(1))
         for name, d in conditions.items()
     ]
     joined = reduce(lambda a, b: a.join(b, "_one"), parts)

@@ -37,7 +37,8 @@ def schema_census(frames: DataFrame) -> DataFrame:
 
 
 def latest_schema_id(frames: DataFrame) -> DataFrame:
-    return frames.agg(F.max("schema_id").alias("latest_schema_id"))
+    """The highest id among usable frames: a damaged frame's id means nothing."""
+    return frames.filter("reject_reason IS NULL").agg(F.max("schema_id").alias("latest_schema_id"))
 
 
 def avro_decoder(schema_json: str) -> Decoder:

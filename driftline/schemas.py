@@ -74,6 +74,6 @@ STATUS_TRANSITIONS = (
 )
 TARGET_EVENT_TYPES = ("login", "logout", "purchase", "view", "cart_add", "cart_remove")
 EVENT_TYPE_MAP = {"page_view": "view", "add_to_cart": "cart_add", "remove_from_cart": "cart_remove"}
-EMAIL_PATTERN = r"(?i)^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
+EMAIL_PATTERN = r"(?i)^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\z"
 RELATIONAL_SYSTEM = "postgres_local"
 DOCUMENT_SYSTEM = "mongodb_atlas"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -34,16 +35,20 @@ def bronze_writer(
     exact: bool = True,
     rebalance: bool = False,
 ) -> DataStreamWriter:
-    """Writer that parses each micro-batch and stores it under its batch id.
+    """Writer that parses each micro-batch and stores it under its stream and batch id.
+
+    The stream is known by its checkpoint, which numbers its batches.
 
     A repeated micro-batch replaces its own partitions. `exact` also leaves out records an
     earlier batch already stored, for landing areas that may hold a record twice.
     """
 
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
     def store(batch: DataFrame, batch_id: int) -> None:
         changes = to_changes(batch)
         if exact:
-            changes = unseen(changes, path, batch_id)
-        write_batch(changes, path, batch_id, rebalance)
+            changes = unseen(changes, path, batch_id, stream=stream)
+        write_batch(changes, path, batch_id, rebalance, stream)
 
     return records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

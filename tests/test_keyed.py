@@ -135,3 +135,25 @@ def test_latest_keeps_one_row_per_key_before_the_shuffle(skewed):
         if r["k"] not in best or (r["t"], r["o"]) > best[r["k"]]:
             best[r["k"]] = (r["t"], r["o"])
     assert {r["k"]: (r["t"], r["o"]) for r in latest.collect()} == best
+
+
+def test_cut_sums_equal_plain_ones_with_nulls_and_decimals(spark):
+    rows = [(1, i, i, None if i < 150 or i % 3 == 0 else i % 7) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, t long, o long, v long").withColumn("v", F.col("v").cast("decimal(10,2)")).repartition(4)
+    for descending in (False, True):
+        plain, cut = (
+            over_key(df, ["k"], ["t", "o"], running={"total": F.col("v")}, descending=descending, policy=p)
+            for p in (SkewPolicy(), SkewPolicy(small_bytes=0, pieces=4))
+        )
+        assert plain.schema == cut.schema
+        assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
+
+
+def test_unknown_lag_is_lag(spark):
+    from driftline.operators.validate import cutover_gate, ready_to_cut_over
+
+    df = spark.createDataFrame([("a", 0, None), ("a", 100, None), ("b", 0, 0), ("b", 100, 0)], "k string, t long, lag long")
+    assert {r["k"]: r["ready"] for r in ready_to_cut_over(df, ["k"], "t", F.col("lag")).collect()} == {"a": False, "b": True}
+    assert [r["k"] for r in quiet_stretches(df.withColumn("o", F.col("t")), ["k"], "t", "o", F.col("lag")).collect()] == ["b"]
+    unknown = spark.createDataFrame([(True,), (None,)], "ok boolean")
+    assert not cutover_gate(lag=unknown).first()["ready_to_cut_over"]

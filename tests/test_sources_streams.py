@@ -87,6 +87,15 @@ def test_stream_restart_and_late_repeats(spark, tmp_path):
     assert sorted(r["offset"] for r in stored.collect()) == [0, 1, 2, 3]
 
 
+def test_two_streams_share_an_audit_table(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    for name, offsets in (("one", (1, 2, 3)), ("two", (4, 5))):
+        land(spark, str(tmp_path / name), *offsets)
+        records = kafka.stream_landing(spark, str(tmp_path / name), 1)
+        run_available(bronze_writer(records, as_changes, bronze, str(tmp_path / f"checkpoint-{name}")))
+    assert sorted(r["offset"] for r in read_bronze(spark, bronze).collect()) == [1, 2, 3, 4, 5]
+
+
 def test_stream_upsert_with_repeats(spark, tmp_path):
     landing = str(tmp_path / "landing")
     schema = "id int, name string, operation string, cdc_timestamp_ms long, offset long"

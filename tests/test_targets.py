@@ -130,3 +130,19 @@ def test_bronze_batches(spark, tmp_path):
     assert read_bronze(spark, path, []) is None
     plan = bronze.filter("event_date = '2024-01-02' and batch_id <= 0")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan or "event_date" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_replaced_batch_leaves_no_stale_days(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    raw = spark.createDataFrame(
+        [("t", 0, i, datetime(2024, 1, 1 + i) if i < 3 else None, "c") for i in range(4)],
+        "topic string, partition int, offset long, kafka_timestamp timestamp, operation string",
+    )
+    changes = stamp(raw, run_ts=F.lit("2024-02-01").cast("timestamp"))
+    write_batch(changes, path, 0)
+    assert unseen(changes, path, 1).count() == 0  # a record without a day is found too
+    write_batch(changes.filter("offset = 9"), path, 0, stream="other")
+    write_batch(changes.filter("offset = 2"), path, 0, stream="other")
+    write_batch(changes.filter("offset < 2"), path, 0)
+    assert sorted(r["offset"] for r in read_bronze(spark, path).collect()) == [0, 1, 2]
+    assert unseen(changes, path, 0, stream="other").count() == 2
