@@ -26,7 +26,8 @@ class Encoder:
     def __init__(self) -> None:
         self.letters = _letters()
         self.keys = np.zeros(0, np.int64)
-        self.table = np.zeros((0, SIZE), np.float32)
+        self.places = np.zeros(0, np.int64)
+        self.table = np.empty((TABLE_ROWS, SIZE), np.float32)
         self.points: dict[int, np.ndarray] = {}
 
     def letter(self, point: int) -> np.ndarray:
@@ -62,13 +63,16 @@ class Encoder:
         if not known.all():
             fresh = keys[~known]
             if len(self.keys) + len(fresh) > TABLE_ROWS:
-                self.keys, self.table, fresh = np.zeros(0, np.int64), np.zeros((0, SIZE), np.float32), keys
+                self.keys, self.places, fresh = np.zeros(0, np.int64), np.zeros(0, np.int64), keys
+            used = len(self.keys)
+            for i, key in enumerate(fresh.tolist()):
+                self.table[used + i] = self.bound(key)
             merged = np.concatenate((self.keys, fresh))
             order = np.argsort(merged)
-            self.table = np.concatenate((self.table, np.array([self.bound(int(k)) for k in fresh], np.float32).reshape(-1, SIZE)))[order]
             self.keys = merged[order]
+            self.places = np.concatenate((self.places, np.arange(used, used + len(fresh))))[order]
             at = np.searchsorted(self.keys, keys)
-        return self.table[at]
+        return self.table[self.places[at]]
 
     def __call__(self, text: str | None) -> np.ndarray | None:
         """The text's sequences bundled, each weighing its count; None without a letter."""
