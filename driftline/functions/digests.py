@@ -12,8 +12,15 @@ SEPARATOR = "\x1f"
 
 
 def row_text(columns: Sequence[Column]) -> Column:
-    """Columns as one text. Nulls get a marker, else they would vanish from the text."""
-    return F.concat_ws(SEPARATOR, *[F.coalesce(c.cast("string"), F.lit(NULL_TEXT)) for c in columns])
+    """Columns as one text. Nulls get a marker, else they would vanish from the text.
+
+    Backslashes are doubled and separators within values escaped, so that no value reads like a marker or like two.
+    """
+    return F.concat_ws(SEPARATOR, *[F.coalesce(_escaped(c.cast("string")), F.lit(NULL_TEXT)) for c in columns])
+
+
+def _escaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\s"))
 
 
 def row_digest(columns: Sequence[Column]) -> Column:

@@ -23,28 +23,44 @@ from driftline.schemas import (
 RECORD_COLUMNS = ("topic", "partition", "offset")
 
 
-def _reject_reason(value: Column, payload: Column, image_missing: Column, key_missing: Column) -> Column:
+# Where the JSON parser leaves the text of a record of which some value did not fit its type.
+_DAMAGED = "_corrupt_record"
+
+
+def _reject_reason(value: Column, payload: Column, image_missing: Column, key_missing: Column, damaged: Column) -> Column:
     op = payload["op"]
     return (
         F.when(value.isNull(), "null_value")
         .when(payload.isNull() | (op.isNull() & payload["ts_ms"].isNull()), "unparsable")
         .when(op.isNull() | ~op.isin(*OPERATIONS), "unknown_op")
         .when(op.isin(*UPSERTS) & image_missing, "missing_after")
-        .when((op == DELETE) & key_missing, "missing_key")
+        .when(damaged, "bad_field")
+        .when(key_missing, "missing_key")
     )
 
 
-def parse_relational(records: DataFrame, row: T.StructType) -> DataFrame:
+def _noting_damage(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_DAMAGED, T.StringType())])
+
+
+def parse_relational(records: DataFrame, row: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
     """Kafka records to one row per change with both images and a reject reason.
 
     A record is bad when `reject_reason` is set; the parser itself only yields nulls for it.
+    `bad_field` means that a value does not fit its type and would be lost. With `keys`, upserts need
+    them in the after image and deletes in the before image; without, a delete needs a before image.
     Records are parsed once and classified in the same pass, so accepted and rejected
     changes can be written together.
     """
     text = F.col("value").cast("string")
-    parsed = with_computed_once(records, "data", F.from_json(text, relational_envelope(row)))
+    parsed = with_computed_once(records, "data", F.from_json(text, _noting_damage(relational_envelope(row))))
     payload = F.col("data.payload")
-    reason = _reject_reason(F.col("value"), payload, payload["after"].isNull(), payload["before"].isNull())
+    is_delete = payload["op"] == DELETE
+    key_missing = is_delete & payload["before"].isNull()
+    for key in keys:
+        key_missing = key_missing | F.when(is_delete, payload["before"][key]).otherwise(payload["after"][key]).isNull()
+    damaged = F.col(f"data.{_DAMAGED}").isNotNull()
+    reason = _reject_reason(F.col("value"), payload, payload["after"].isNull(), key_missing, damaged)
     return parsed.select(
         *RECORD_COLUMNS,
         F.col("timestamp").alias("kafka_timestamp"),
@@ -62,15 +78,17 @@ def parse_relational(records: DataFrame, row: T.StructType) -> DataFrame:
 def parse_documents(records: DataFrame, document: T.StructType) -> DataFrame:
     """Kafka records of a document source: the document is JSON text inside the JSON envelope.
 
-    Deletes carry no document, so the key comes from the record key in their place.
+    Deletes carry no document, so the key comes from the record key in their place. Reject reasons are
+    those of `parse_relational`; a document without an id counts as missing.
     """
-    parsed = with_computed_once(records, "data", F.from_json(F.col("value").cast("string"), DOCUMENT_ENVELOPE))
+    parsed = with_computed_once(records, "data", F.from_json(F.col("value").cast("string"), _noting_damage(DOCUMENT_ENVELOPE)))
     payload = F.col("data.payload")
-    parsed = with_computed_once(parsed, "doc", F.from_json(payload["after"], document))
+    parsed = with_computed_once(parsed, "doc", F.from_json(payload["after"], _noting_damage(document)))
     key_text = F.get_json_object(F.col("key").cast("string"), "$.id")
     parsed = parsed.withColumn("mongo_id", object_id(F.coalesce(F.col("doc._id"), key_text)))
     no_document = payload["after"].isNull() | F.col("doc").isNull() | F.col("doc._id").isNull()
-    reason = _reject_reason(F.col("value"), payload, no_document, F.col("mongo_id").isNull())
+    damaged = F.col(f"data.{_DAMAGED}").isNotNull() | F.coalesce(F.col(f"doc.{_DAMAGED}").isNotNull(), F.lit(False))
+    reason = _reject_reason(F.col("value"), payload, no_document, F.col("mongo_id").isNull(), damaged)
     return parsed.select(
         *RECORD_COLUMNS,
         F.col("timestamp").alias("kafka_timestamp"),
@@ -78,7 +96,7 @@ def parse_documents(records: DataFrame, document: T.StructType) -> DataFrame:
         payload["ts_ms"].alias("cdc_timestamp_ms"),
         payload["source"]["collection"].alias("source_collection"),
         "mongo_id",
-        "doc",
+        F.col("doc").dropFields(_DAMAGED).alias("doc"),
         reason.alias("reject_reason"),
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from driftline.functions import from_millis
 from driftline.operators.keyed import DEFAULT_POLICY, SkewPolicy, latest_per_key, over_key
 from driftline.schemas import DELETE, UPSERTS
+from driftline.session import if_small
 
 ORDER = ("cdc_timestamp_ms", "offset")
 
@@ -86,7 +87,7 @@ def refresh_scd2(
 
     `changes` holds every change including the batch. Other keys' versions pass through.
     """
-    touched = batch.select(*keys).distinct()
+    touched = if_small(batch.select(*keys).distinct())
     untouched = _null_safe_join(history, touched, keys, "left_anti")
     again = _null_safe_join(changes, touched, keys, "left_semi")
     return untouched.unionByName(scd2(again, keys, order, policy=policy))

@@ -22,9 +22,7 @@ from driftline.schemas import (
     DOCUMENT_SYSTEM,
     EVENT_TYPE_MAP,
     RELATIONAL_SYSTEM,
-    TEXT,
     TRACKING,
-    row_type,
 )
 from driftline.session import BROADCAST_BYTES, estimated_bytes, few_rows
 
@@ -75,11 +73,14 @@ def shape_inventory(flat: DataFrame, run_ts: Column | None = None) -> DataFrame:
     )
 
 
-def insert_or_ignore(target: DataFrame | None, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def insert_or_ignore(
+    target: DataFrame | None, rows: DataFrame, keys: Sequence[str], order: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """The rows an insert that skips existing keys would add: the first of each key not in the target.
 
     `order` says which of several rows with one key comes first. The first is found before the
-    shuffle, and the target only contributes its keys.
+    shuffle, and the target only contributes its keys. Rows of a checked small size broadcast their keys, so
+    that the target is read without a shuffle and yields just those keys of theirs that it has.
     """
     from pyspark.sql import Window
 
@@ -87,7 +88,12 @@ def insert_or_ignore(target: DataFrame | None, rows: DataFrame, keys: Sequence[s
     first = rows.withColumn("_rank", F.row_number().over(earliest)).filter("_rank = 1").drop("_rank")
     if target is None:
         return first
-    return first.join(target.select(*keys), list(keys), "left_anti")
+    present = target.select(*keys)
+    size = estimated_bytes(rows)
+    if size is not None and size <= broadcast_bytes:
+        # No more keys than the rows have.
+        present = F.broadcast(present.join(F.broadcast(rows.select(*keys).distinct()), list(keys), "left_semi").distinct())
+    return first.join(present, list(keys), "left_anti")
 
 
 def apply_changes(
@@ -101,7 +107,8 @@ def apply_changes(
 
     `state` has one row per key. Deletes stay as rows, so that an older change that arrives
     later cannot bring the key back. The result does not depend on arrival order, and applying
-    a batch again changes nothing.
+    a batch again changes nothing. Of rows with one key and equal order the state's stays. A column that only one
+    side has is null in the other's rows.
 
     Changes of a checked small size are joined in by broadcasting their keys, so the state is
     read without a shuffle, though twice: it should be a stored table. Beyond that size both
@@ -111,7 +118,8 @@ def apply_changes(
         return latest_per_key(changes, keys, order)
     size = estimated_bytes(changes)
     if size is None or size > broadcast_bytes:
-        return latest_per_key(state.unionByName(changes), keys, order)
+        both = state.withColumn("_held", F.lit(1)).unionByName(changes.withColumn("_held", F.lit(0)), allowMissingColumns=True)
+        return latest_per_key(both, keys, [*order, "_held"]).drop("_held")
 
     newest = latest_per_key(changes, keys, order)
     columns = [*keys, *[c for c in order if c not in keys]]
@@ -123,7 +131,7 @@ def apply_changes(
         *[F.col(f"_c_{k}").alias(f"_o_{k}") for k in keys]
     )
     is_outdated = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"_o_{k}")), keys, F.lit(True))
-    return kept.unionByName(newest.join(F.broadcast(outdated), is_outdated, "left_anti"))
+    return kept.unionByName(newest.join(F.broadcast(outdated), is_outdated, "left_anti"), allowMissingColumns=True)
 
 
 def live(state: DataFrame) -> DataFrame:
@@ -164,24 +172,33 @@ class TargetTable:
         pending = self._pending(version)
         if not pending:
             return base
-        deltas = self.spark.read.parquet(*[f"{self.path}/delta/{name}" for name in pending])
+        # Batches may differ in columns, since a source gains some over time.
+        deltas = self.spark.read.option("mergeSchema", True).parquet(*[f"{self.path}/delta/{name}" for name in pending])
         return apply_changes(base, deltas, self.keys, self.order)
 
     def read(self) -> DataFrame | None:
         state = self.state()
         return None if state is None else live(state)
 
-    def compact(self) -> None:
-        """Fold all batches so far into a new base. Older files stay for readers that still use them."""
+    def compact(self, forget_before: int | None = None) -> None:
+        """Fold all batches so far into a new base. Older files stay for readers that still use them.
+
+        Marks of keys deleted before `forget_before` (by the first order column) are dropped: give it where no
+        older change can arrive any more. Names of batches that `expire` has removed are dropped too.
+        """
         _, version = self._base()
         pending = self._pending(version)
         if not pending:
             return
-        names = [(name,) for name in sorted({*pending, *self._folded(version)})]
-        few_rows(self.spark, row_type(name=TEXT), names).write.mode("overwrite").parquet(
-            f"{self.path}/folded/v={version + 1}"
-        )
-        self.state().write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}")
+        there = set(completed(self.spark, f"{self.path}/delta"))
+        names = "\n".join(sorted({*pending, *(self._folded(version) & there)}))
+        listed = self.spark.range(1).select(F.explode(F.split(F.lit(names), "\n")).alias("name"))
+        listed.write.mode("overwrite").parquet(f"{self.path}/folded/v={version + 1}")
+        state = self.state()
+        if forget_before is not None:
+            forgotten = (F.col("operation") == DELETE) & (F.col(self.order[0]) < forget_before)
+            state = state.filter(~F.coalesce(forgotten, F.lit(False)))
+        state.write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}")
 
     def expire(self) -> None:
         """Delete what the current base has replaced: older bases and the batches folded into it.
@@ -236,9 +253,9 @@ def load_counts(rows: DataFrame, target_table: str | Column) -> DataFrame:
     )
 
 
-def record_loads(counts: DataFrame, path: str, batch_id: int) -> None:
-    """Keep what a batch added under its number; recording it again replaces it."""
-    counts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def record_loads(counts: DataFrame, path: str, batch_id: int, stream: str = "batch") -> None:
+    """Keep what a stream's batch added under its number; recording it again replaces it."""
+    counts.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch={batch_id}")
 
 
 def recorded_loads(spark: SparkSession, path: str) -> DataFrame:

@@ -57,7 +57,7 @@ def decode_frames(frames: DataFrame, decoders: Mapping[int, Decoder], latest_onl
     """Decode each message under its own schema id, in one pass over the messages.
 
     The results share one struct holding every field of every schema; a message leaves null
-    what its schema lacks. `latest_only` keeps just the highest id among the messages.
+    what its schema lacks. A field that schemas type differently takes the wider type. `latest_only` keeps just the highest id among the messages.
     Ids without a decoder keep their row, with `reject_reason` set.
     """
     if latest_only:
@@ -95,9 +95,31 @@ def flatten_frames(decoded: DataFrame) -> DataFrame:
     )
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds every value of both, text if nothing else does; casting to it never fails."""
+    if a == b:
+        return a
+    if isinstance(a, _INTEGRAL) and isinstance(b, _INTEGRAL):
+        return max(a, b, key=lambda t: _INTEGRAL.index(type(t)))
+    exact = [t if isinstance(t, T.DecimalType) else T.DecimalType(_DIGITS[type(t)], 0) for t in (a, b) if isinstance(t, (T.DecimalType, *_INTEGRAL))]
+    if len(exact) == 2:
+        scale = max(t.scale for t in exact)
+        digits = max(t.precision - t.scale for t in exact) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else T.StringType()
+    if all(isinstance(t, T.NumericType) for t in (a, b)):
+        return T.DoubleType()
+    if {type(a), type(b)} == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    return T.StringType()
+
+
 def _merge(a: T.DataType, b: T.DataType) -> T.DataType:
     if not (isinstance(a, T.StructType) and isinstance(b, T.StructType)):
-        return a
+        return _wider(a, b)
     fields = {f.name: f.dataType for f in a.fields}
     for f in b.fields:
         fields[f.name] = _merge(fields[f.name], f.dataType) if f.name in fields else f.dataType

@@ -56,7 +56,11 @@ def _digest_sql(columns: str) -> str:
     return f"sum(('0x' || substr(md5(concat_ws(chr(31), {columns})), 1, 15))::BIGINT)::VARCHAR"
 
 
-_LINE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_quantity::BIGINT, round(l_extendedprice * 100)::BIGINT, coalesce(l_returnflag, '\\N'), epoch_us(l_shipdate)"
+def _text_sql(column: str) -> str:
+    return f"coalesce(replace(replace({column}, '\\', '\\\\'), chr(31), '\\s'), '\\N')"
+
+
+_LINE_COLUMNS = f"l_orderkey, l_linenumber, l_partkey, l_quantity::BIGINT, round(l_extendedprice * 100)::BIGINT, {_text_sql('l_returnflag')}, epoch_us(l_shipdate)"
 
 
 @CATALOG.add("v2_table_checksum", f"SELECT count(*) AS row_count, {_digest_sql(_LINE_COLUMNS)} AS checksum FROM lineitem")
@@ -77,7 +81,7 @@ def _line_columns() -> list[str | Column]:
     ]
 
 
-_ORDER_DIGEST = _digest_sql("o_orderkey, o_custkey, coalesce(o_orderstatus, '\\N'), coalesce(o_orderpriority, '\\N')")
+_ORDER_DIGEST = _digest_sql(f"o_orderkey, o_custkey, {_text_sql('o_orderstatus')}, {_text_sql('o_orderpriority')}")
 
 
 @CATALOG.add("v2_checksum_comparison", f"""WITH {_TARGET_SQL}, s AS (SELECT count(*) AS source_rows, {_ORDER_DIGEST} AS source_checksum FROM orders),

@@ -116,15 +116,23 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As `records`, with one record in seven made unusable in one of five ways."""
+    """As `records`, with one record in seven made unusable in one of nine ways."""
     good = F.struct(relational_payload().alias("payload"))
     text = F.to_json(good)
     bare = F.to_json(F.struct(F.struct(F.lit("u").alias("op"), millis("ts").alias("ts_ms")).alias("payload")))
     odd = F.to_json(F.struct(F.struct(F.lit("x").alias("op"), millis("ts").alias("ts_ms")).alias("payload")))
     keyless = F.to_json(F.struct(F.struct(F.lit("d").alias("op"), millis("ts").alias("ts_ms")).alias("payload")))
-    case = F.pmod("event_id", F.lit(35))
+    after_of = lambda **fields: F.to_json(F.struct(F.struct(F.lit("c").alias("op"), millis("ts").alias("ts_ms"), F.struct(
+        F.lit("a@b.example").alias("email"), *[v.alias(n) for n, v in fields.items()]).alias("after")).alias("payload")))
+    nameless = F.to_json(F.struct(F.struct(F.lit("d").alias("op"), millis("ts").alias("ts_ms"), F.struct(
+        F.lit("a@b.example").alias("email")).alias("before")).alias("payload")))
+    case = F.pmod("event_id", F.lit(63))
     value = (
         F.when(case == 0, F.lit(None).cast("string"))
+        .when(case == 35, after_of())
+        .when(case == 42, after_of(customer_id=F.lit("abc")))
+        .when(case == 49, after_of(customer_id=F.lit(3_000_000_000)))
+        .when(case == 56, nameless)
         .when(case == 7, F.lit("{bad"))
         .when(case == 14, odd)
         .when(case == 21, bare)
@@ -136,7 +144,7 @@ def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_relational(records(spark, sf_dir), CUSTOMER_ROW)
+    return parse_relational(records(spark, sf_dir), CUSTOMER_ROW, ["customer_id"])
 
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:

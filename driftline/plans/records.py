@@ -224,19 +224,20 @@ def snapshot_then_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return env.snapshot_then_changes(snapshot, changes)
 
 
-_REJECT_SQL = """CASE event_id % 35 WHEN 0 THEN 'null_value' WHEN 7 THEN 'unparsable' WHEN 14 THEN 'unknown_op'
-  WHEN 21 THEN 'missing_after' WHEN 28 THEN 'missing_key' END"""
+_REJECT_SQL = """CASE event_id % 63 WHEN 0 THEN 'null_value' WHEN 7 THEN 'unparsable' WHEN 14 THEN 'unknown_op'
+  WHEN 21 THEN 'missing_after' WHEN 28 THEN 'missing_key'
+  WHEN 35 THEN 'missing_key' WHEN 42 THEN 'bad_field' WHEN 49 THEN 'bad_field' WHEN 56 THEN 'missing_key' END"""
 
 
 @CATALOG.add("q8_rejected_records", f"SELECT event_id AS \"offset\", {_REJECT_SQL} AS reject_reason FROM events WHERE event_id % 7 = 0")
 def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = env.parse_relational(given.damaged_records(spark, sf_dir), CUSTOMER_ROW)
+    parsed = env.parse_relational(given.damaged_records(spark, sf_dir), CUSTOMER_ROW, ["customer_id"])
     return env.rejected(parsed).select("offset", "reject_reason")
 
 
 @CATALOG.add("q8_record_conformance", f"SELECT coalesce({_REJECT_SQL}, 'accepted') AS outcome, count(*) AS messages FROM events GROUP BY ALL")
 def record_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = env.parse_relational(given.damaged_records(spark, sf_dir), CUSTOMER_ROW)
+    parsed = env.parse_relational(given.damaged_records(spark, sf_dir), CUSTOMER_ROW, ["customer_id"])
     outcome = F.coalesce("reject_reason", F.lit("accepted"))
     return parsed.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("messages"))
 

@@ -49,7 +49,7 @@ def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "bronze")
     records = _stream(spark, _landed(spark, sf_dir, repeats=True))
     run_available(bronze_writer(
-        records, lambda batch: stamp(env.parse_relational(batch, CUSTOMER_ROW)), path, shared_dir(spark, "checkpoint"), rebalance=True
+        records, lambda batch: stamp(env.parse_relational(batch, CUSTOMER_ROW, ["customer_id"])), path, shared_dir(spark, "checkpoint"), rebalance=True
     ))
     return read_bronze(spark, path).select(
         "offset", "operation", F.col("event_date").cast("string").alias("event_date"), F.col("after.customer_id").alias("customer_id")
@@ -74,7 +74,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _stream(spark, _landed(spark, sf_dir))
 
     def shape(batch: DataFrame) -> DataFrame:
-        flat = env.flatten_keyed(env.accepted(env.parse_relational(batch, CUSTOMER_ROW)), ["customer_id"])
+        flat = env.flatten_keyed(env.accepted(env.parse_relational(batch, CUSTOMER_ROW, ["customer_id"])), ["customer_id"])
         return flat.select(*CUSTOMER_ROW.fieldNames(), "operation", "cdc_timestamp_ms", "offset")
 
     run_available(target_writer(records, target, shared_dir(spark, "checkpoint"), shape, compact_every=2))

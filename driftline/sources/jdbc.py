@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed value: the form of a connection address.
-_ADDRESS = re.compile(r"postgresql://([^:]+):([^@]+)@(.+)")
-
-
 @dataclass(frozen=True)
 class Connection:
     url: str
@@ -28,12 +24,16 @@ class Connection:
 
 
 def connection(address: str, keep_query: bool = True) -> Connection:
-    """Connection of `postgresql://user:password@host/db`; `keep_query` keeps what follows a `?`."""
-    match = _ADDRESS.fullmatch(address)
-    if not match:
+    """Connection of `postgresql://user:password@host/db`; `keep_query` keeps what follows a `?`.
+
+    User and password may be percent-encoded.
+    """
+    parts = urlsplit(address)
+    host = parts.netloc.rpartition("@")[2]
+    if parts.scheme != "postgresql" or not parts.username or not parts.password or not host:
         raise ValueError("expected postgresql://user:password@host:port/database")
-    user, password, host = match.groups()
-    return Connection(f"jdbc:postgresql://{host if keep_query else host.split('?')[0]}", user, password)
+    query = f"?{parts.query}" if keep_query and parts.query else ""
+    return Connection(f"jdbc:postgresql://{host}{parts.path}{query}", unquote(parts.username), unquote(parts.password))
 
 
 def read_table(
@@ -51,18 +51,47 @@ def read_table(
     return reader.load()
 
 
-def append_table(df: DataFrame, conn: Connection, table: str, batch_size: int = 100) -> None:
-    """Append rows. Running it again appends them again."""
-    df.write.format("jdbc").options(**conn.options(), dbtable=table, batchsize=str(batch_size)).mode("append").save()
+def append_table(df: DataFrame, conn: Connection, table: str, batch_size: int = 1000, connections: int = 16) -> None:
+    """Append rows over `connections` connections at most. Running it again appends them again."""
+    options = {"dbtable": table, "batchsize": str(batch_size), "numPartitions": str(connections)}
+    df.write.format("jdbc").options(**conn.options(), **options).mode("append").save()
+
 
+def staging_name(table: str) -> str:
+    return f"temp_{table}_{uuid.uuid4().hex[:12]}"
 
-def write_staging(df: DataFrame, conn: Connection, table: str) -> str:
+
+def write_staging(df: DataFrame, conn: Connection, table: str, staging: str | None = None) -> str:
     """Write rows to a new staging table and return its name."""
-    staging = f"temp_{table}_{uuid.uuid4().hex[:12]}"
+    staging = staging or staging_name(table)
     df.write.format("jdbc").options(**conn.options(), dbtable=staging).mode("overwrite").save()
     return staging
 
 
+def load_through_staging(
+    df: DataFrame, conn: Connection, table: str, key: Sequence[str], json_columns: Sequence[str] = (), update: bool = False
+) -> int:
+    """Stage the rows, move them by `insert_from_staging_sql`, drop the staging table in any case; the rows moved.
+
+    Runs again without harm, since existing keys are skipped or overwritten.
+    """
+    staging = staging_name(table)
+    try:
+        write_staging(df, conn, table, staging)
+        return _execute(df.sparkSession, conn, insert_from_staging_sql(table, staging, df.columns, key, json_columns, update))
+    finally:
+        _execute(df.sparkSession, conn, f"DROP TABLE IF EXISTS {staging}")
+
+
+def _execute(spark: SparkSession, conn: Connection, statement: str) -> int:
+    """One statement from the driver, where the JDBC driver must be on the class path; rows it changed."""
+    link = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(conn.url, conn.user, conn.password)
+    try:
+        return link.createStatement().executeUpdate(statement)
+    finally:
+        link.close()
+
+
 def insert_from_staging_sql(
     table: str, staging: str, columns: Sequence[str], key: Sequence[str], json_columns: Sequence[str] = (), update: bool = False
 ) -> str:

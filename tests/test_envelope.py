@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftline import functions as fn
 from driftline.operators import envelope as env
@@ -43,6 +44,36 @@ def test_reject_reasons(spark):
     assert env.accepted(parsed).count() == 2 and env.rejected(parsed).count() == 7
 
 
+def test_lost_values_and_keys_are_rejected(spark):
+    good, key = {"customer_id": 1}, ["customer_id"]
+    values = [
+        envelope("c", after={"email": "a"}), envelope("c", after={"customer_id": "abc"}), envelope("u", after={"customer_id": 3_000_000_000}),
+        envelope("d", before={"email": "a"}), envelope("u", after={**good, "created_at": "soon"}), envelope("u", before={"customer_id": "x"}, after=good),
+        envelope("c", after=good), envelope("d", before=good), envelope("c", after={**good, "unknown": {"a": 1}, "phone": None}),
+    ]
+    parsed = env.parse_relational(records(spark, *values), CUSTOMER_ROW, key)
+    assert reasons(parsed) == {
+        0: "missing_key", 1: "bad_field", 2: "bad_field", 3: "missing_key", 4: "bad_field", 5: "bad_field", 6: None, 7: None, 8: None,
+    }
+    assert env.accepted(parsed).count() + env.rejected(parsed).count() == len(values)
+    document = json.dumps({"_id": "a", "quantity": "many"})
+    wrapped = json.dumps({"payload": {"op": "c", "ts_ms": 5, "source": {"collection": "i"}, "after": document}})
+    assert reasons(env.parse_documents(records(spark, wrapped), INVENTORY_DOCUMENT)) == {0: "bad_field"}
+
+
+def test_widened_fields_are_decoded(spark):
+    old = row_type(after=row_type(a=INT, b=T.DecimalType(10, 2), c=INT), op=TEXT)
+    new = row_type(after=row_type(a=LONG, b=T.DoubleType(), c=TEXT), op=TEXT)
+    raw = records(spark, frame(21, b'{"op": "c", "after": {"a": 1, "b": 1.25, "c": 7}}'), frame(22, b'{"op": "c", "after": {"a": 5000000000, "b": 0.1, "c": "x"}}'))
+    for decoders in ({21: old, 22: new}, {21: new, 22: old}):
+        decoded = wire.decode_frames(wire.split_frames(raw), {i: wire.json_decoder(s) for i, s in decoders.items()})
+        assert [f.dataType for f in decoded.schema["cdc_event"].dataType["after"].dataType] == [LONG, T.DoubleType(), TEXT]
+        assert decoded.count() == 2
+    decoded = wire.decode_frames(wire.split_frames(raw), {21: wire.json_decoder(old), 22: wire.json_decoder(new)})
+    got = {r["schema_id"]: tuple(r["cdc_event"]["after"]) for r in decoded.collect()}
+    assert got == {21: (1, 1.25, "7"), 22: (5000000000, 0.1, "x")}
+
+
 def test_records_are_parsed_once(spark):
     flat = env.flatten_image(env.accepted(env.parse_relational(records(spark, envelope("c", after={"customer_id": 1})), CUSTOMER_ROW)))
     assert flat._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1

@@ -20,9 +20,12 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest", "endingOffsets": "latest",
     }
     assert "endingOffsets" not in kafka.topic_options("h:1", "t", ending=None)
+    more = kafka.topic_options("h:1", "t", min_partitions=64, max_offsets_per_trigger=1000, fail_on_data_loss=False)
+    assert (more["minPartitions"], more["maxOffsetsPerTrigger"], more["failOnDataLoss"]) == ("64", "1000", "false")
 
 
-def test_unreachable_source_is_reported(spark):
+def test_missing_source_is_reported(spark):
+    # The session has no broker source, so this fails on loading; an unreachable broker is not tried here.
     attempt = kafka.try_read_topic(spark, "localhost:1", "t")
     assert attempt.records is None and attempt.error is not None
 
@@ -32,6 +35,8 @@ def test_jdbc_addresses():
     assert (conn.url, conn.user, conn.password) == ("jdbc:postgresql://host:5432/db?sslmode=require", "me.project", "secret")
     assert jdbc.connection("postgresql://u:p@h/db?x=1", keep_query=False).url == "jdbc:postgresql://h/db"
     assert "secret" not in repr(conn)
+    encoded = jdbc.connection("postgresql://us%40er:p%40s%25%2F@h:1/db")
+    assert (encoded.url, encoded.user, encoded.password) == ("jdbc:postgresql://h:1/db", "us@er", "p@s%/")
     with pytest.raises(ValueError):
         jdbc.connection("mysql://u:p@h/db")
     sql = jdbc.insert_from_staging_sql("target", "temp", ["id", "data"], ["id"], ["data"])

@@ -69,10 +69,45 @@ def test_target_table(spark, tmp_path):
     assert names(table.read()) == {1: "b", 8: "h"}
 
 
-def test_insert_or_ignore(spark):
+def test_columns_that_come_later_are_kept(spark, tmp_path):
+    table = t.TargetTable(spark, str(tmp_path / "target"), ("id",))
+    table.apply_batch(rows(spark, (1, "a", "c", 1, 1), (2, "b", "c", 1, 2)), 0)
+    table.compact()
+    with_phone = rows(spark, (2, "c", "u", 2, 3)).withColumn("phone", F.lit("123"))
+    table.apply_batch(with_phone, 1)
+    table.apply_batch(rows(spark, (3, "d", "c", 3, 4)), 2)
+    expected = {1: None, 2: "123", 3: None}
+    assert {r["id"]: r["phone"] for r in table.read().collect()} == expected
+    table.compact()
+    table.expire()
+    table.apply_batch(with_phone.withColumn("id", F.lit(4)), 3)
+    table.apply_batch(rows(spark, (5, "e", "c", 3, 4)), 4)
+    assert {r["id"]: r["phone"] for r in table.read().collect()} == expected | {4: "123", 5: None}
+
+
+def test_names_and_deleted_keys_are_forgotten(spark, tmp_path):
+    table = t.TargetTable(spark, str(tmp_path / "target"), ("id",))
+    for n in range(3):
+        table.apply_batch(rows(spark, (n, "a", "c", n, n), (10 + n, None, "d", n, n)), n)
+        table.compact(forget_before=1)
+        table.expire()
+    assert table._folded(3) == {"batch-2"}
+    assert {r["id"] for r in table.state().collect()} == {0, 1, 2, 11, 12}
+
+
+@pytest.mark.parametrize("limit", [64 << 20, -1], ids=["broadcast", "ranked"])
+def test_equal_order_keeps_the_state(spark, limit):
+    state, other = rows(spark, (1, "held", "u", 5, 5)), rows(spark, (1, "offered", "u", 5, 5)).withColumn("more", F.lit(1))
+    for parts in (1, 7):
+        kept = t.apply_changes(state.repartition(parts), other, ["id"], broadcast_bytes=limit)
+        assert [(r["name"], r["more"]) for r in kept.collect()] == [("held", None)]
+
+
+@pytest.mark.parametrize("limit", [64 << 20, -1], ids=["broadcast", "shuffle"])
+def test_insert_or_ignore(spark, limit):
     batch = rows(spark, (1, "second", "c", 2, 2), (1, "first", "c", 1, 1), (2, "taken", "c", 1, 3))
     present = rows(spark, (2, "kept", "c", 0, 0))
-    added = t.insert_or_ignore(present, batch, ["id"], ["offset"])
+    added = t.insert_or_ignore(present, batch, ["id"], ["offset"], limit)
     assert [(r["id"], r["name"]) for r in added.collect()] == [(1, "first")]
     assert t.insert_or_ignore(None, batch, ["id"], ["offset"]).count() == 2
 
