@@ -159,18 +159,32 @@ def quiet_stretches(
 
 
 def ready_to_cut_over(
-    samples: DataFrame, keys: Sequence[str], time: str, lag: Column, hold_seconds: int = 60
+    samples: DataFrame, keys: Sequence[str], time: str, lag: Column, hold_seconds: int = 60, max_gap: int | None = None
 ) -> DataFrame:
     """Per key, whether the lag has been zero for long enough up to the last sample.
 
-    Zero counts from the first sample after the last second with lag, and an unknown lag is lag. Only fixed-size values
-    are aggregated, so each pass is a hash aggregation combined before its shuffle.
+    Zero counts from the first sample after the last second with lag, and an unknown lag is lag. With `max_gap`,
+    it counts anew from a sample that comes more than so many seconds after the one before, since nobody looked in between.
+    Samples are first combined to one row per key and second, before the shuffle, so that a
+    key's rows in one task are bounded by the time observed.
     """
-    ends = samples.groupBy(*keys).agg(F.max(F.when(F.coalesce(lag > 0, F.lit(True)), F.col(time))).alias("_busy"), F.max(time).alias("last_sample"))
-    after = samples.select(*keys, time).join(ends, list(keys)).filter(F.col("_busy").isNull() | (F.col(time) > F.col("_busy")))
-    held = after.groupBy(*keys).agg(F.min(time).alias("zero_since"))
-    long_enough = F.coalesce(F.col("last_sample") - F.col("zero_since") >= hold_seconds, F.lit(False))
-    return ends.join(held, list(keys), "left").select(*keys, "last_sample", "zero_since", long_enough.alias("ready"))
+    from pyspark.sql import Window
+
+    seconds = samples.groupBy(*keys, time).agg(F.max(F.coalesce(lag > 0, F.lit(True))).alias("_lagging"))
+    broken = F.lit(False)
+    if max_gap is not None:
+        broken = F.col(time) - F.lag(time).over(Window.partitionBy(*keys).orderBy(time)) > max_gap
+    seconds = seconds.withColumn("_broken", broken)
+    ends = seconds.groupBy(*keys).agg(
+        F.max(F.when(F.col("_lagging"), F.col(time))).alias("_busy"),
+        F.max(F.when(F.col("_broken"), F.col(time))).alias("_anew"),
+        F.max(time).alias("last_sample"),
+    )
+    after = seconds.select(*keys, time).join(ends, list(keys)).filter(F.col("_busy").isNull() | (F.col(time) > F.col("_busy")))
+    held = after.groupBy(*keys).agg(F.min(time).alias("_quiet"))
+    zero_since = F.when(F.col("_quiet").isNotNull(), F.greatest("_quiet", "_anew"))
+    long_enough = F.coalesce(F.col("last_sample") - zero_since >= hold_seconds, F.lit(False))
+    return ends.join(held, list(keys), "left").select(*keys, "last_sample", zero_since.alias("zero_since"), long_enough.alias("ready"))
 
 
 def cutover_gate(**conditions: DataFrame) -> DataFrame:

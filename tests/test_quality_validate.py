@@ -131,3 +131,18 @@ def test_cascade_and_patch(spark):
 def test_table_roles(spark):
     df = spark.createDataFrame([("target_a",), ("targetXa",), ("target",), ("migration_status",)], "table_name string")
     assert [r["role"] for r in rel.classify_tables(df).collect()] == ["target", "target", "other", "tracking"]
+
+
+def test_readiness_counts_anew_after_a_gap(spark):
+    given = [("a", 0, 1), ("a", 10, 0), ("a", 10, 0), ("a", 20, 0), ("a", 90, 0), ("b", 0, 0), ("b", 30, 0), ("b", 60, 0), ("c", 5, 0), ("c", 100, None), ("d", 0, 3)]
+    samples = spark.createDataFrame(given, "k string, second int, lag int")
+    got = lambda gap: {r["k"]: (r["zero_since"], r["ready"]) for r in v.ready_to_cut_over(samples, ["k"], "second", F.col("lag"), 60, gap).collect()}
+    assert got(None) == {"a": (10, True), "b": (0, True), "c": (None, False), "d": (None, False)}
+    assert got(30) == {"a": (90, False), "b": (0, True), "c": (None, False), "d": (None, False)}
+
+
+def test_digests_tell_values_from_markers(spark):
+    from driftline.functions.digests import row_digest
+
+    rows = spark.createDataFrame([(None, "x"), ("\\N", "x"), ("\\\\N", "x"), ("a\x1fb", "c"), ("a", "b\x1fc"), ("a\\sb", "c")], "a string, b string")
+    assert rows.select(row_digest([F.col("a"), F.col("b")]).alias("d")).distinct().count() == 6
