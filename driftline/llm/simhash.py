@@ -10,9 +10,10 @@ from itertools import accumulate, combinations, product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.llm.bitmaps import bits_for, packed, position, with_maybe
 from driftline.llm.common import attach
 from driftline.llm.components import components
 from driftline.session import stored
@@ -21,7 +22,9 @@ SEED = 42
 CHUNK = 1 << 15
 SEARCHES = 8
 JUDGED_WORDS = 5
-JUDGED_BITS = 92
+# Texts that share 0.8 of their shingles differ in 78 of 512 bits on average, with a spread of 8.
+JUDGED_BITS = 115
+JUDGED_SHINGLES = 64
 
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
@@ -164,8 +167,8 @@ class Anchors:
         return np.concatenate(rows), np.concatenate(found)
 
 
-def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, occupied: bytes | None = None) -> DataFrame:
-    """Rows `anchor`, `k`, `fp`, `root`; with `occupied` (a bitmap by anchor index), only at anchors set there.
+def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, occupied: bytes | None = None, keep: Sequence[str] = ("root",)) -> DataFrame:
+    """Rows `anchor`, `k`, `fp` and the columns of `keep`; with `occupied` (a bitmap by anchor index), only at anchors set there.
 
     Fingerprints of different `k` never meet: their anchors are numbered apart.
     """
@@ -179,15 +182,16 @@ def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, occupied: byte
                 values = batch.column("fp").slice(begin, 4096).to_numpy(zero_copy_only=False)
                 rows, index = anchors.of(values.view(np.uint64), threshold, tables)
                 kinds = batch.column("k").slice(begin, 4096).to_numpy(zero_copy_only=False).astype(np.int64)[rows]
-                roots = batch.column("root").slice(begin, 4096).to_numpy(zero_copy_only=False)
                 index = index | (kinds << anchors.index_bits)
                 if bitmap is not None:
                     near = (bitmap[index >> 3] >> (index & 7).astype(np.uint8)) & 1 == 1
                     rows, index, kinds = rows[near], index[near], kinds[near]
-                columns = [pa.array(index), pa.array(kinds.astype(np.int32)), pa.array(values[rows]), pa.array(roots[rows])]
-                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "k", "fp", "root"])
+                kept = [batch.column(c).slice(begin, 4096).take(pa.array(rows)) for c in keep]
+                columns = [pa.array(index), pa.array(kinds.astype(np.int32)), pa.array(values[rows]), *kept]
+                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "k", "fp", *keep])
 
-    return fps.select("k", "fp", "root").mapInArrow(work, "anchor long, k int, fp long, root long")
+    kinds = "".join(f", {c} {t}" for c, t in fps.select(*keep).dtypes)
+    return fps.select("k", "fp", *keep).mapInArrow(work, f"anchor long, k int, fp long{kinds}")
 
 
 def _occupied(homes: DataFrame, index_bits: int) -> bytes:
@@ -202,6 +206,17 @@ def _occupied(homes: DataFrame, index_bits: int) -> bytes:
     return bytes(bitmap)
 
 
+def _meeting(fps: DataFrame, threshold: int, anchors: Anchors | None = None, keep: Sequence[str] = ("root",)) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints at their homes and their copies, see `near_pairs`."""
+    if anchors is None:
+        # Past about 2^26 fingerprints, homes get crowded: a third part gives 2^35 anchors.
+        anchors = Anchors((GOLAY, GOLAY) if fps.count() < 1 << 26 else (GOLAY, GOLAY, HAMMING))
+    homes = _at_anchors(fps, anchors, 0, keep=keep)
+    bits = anchors.index_bits + (SEARCHES - 1).bit_length()
+    bitmap = _occupied(homes, bits) if bits <= 27 else None
+    return homes, _at_anchors(fps, anchors, threshold, bitmap, keep)
+
+
 def near_pairs(fps: DataFrame, threshold: int = 2, anchors: Anchors | None = None) -> DataFrame:
     """All pairs `k`, `a` < `b` of the distinct (`k`, `fp`) of equal `k` whose fingerprints differ in `threshold` bits at most.
 
@@ -213,13 +228,7 @@ def near_pairs(fps: DataFrame, threshold: int = 2, anchors: Anchors | None = Non
     """
     if "root" not in fps.columns:
         fps = fps.withColumn("root", F.col("fp"))
-    if anchors is None:
-        # Past about 2^26 fingerprints, homes get crowded: a third part gives 2^35 anchors.
-        anchors = Anchors((GOLAY, GOLAY) if fps.count() < 1 << 26 else (GOLAY, GOLAY, HAMMING))
-    homes = _at_anchors(fps, anchors, 0)
-    bits = anchors.index_bits + (SEARCHES - 1).bit_length()
-    bitmap = _occupied(homes, bits) if bits <= 27 else None
-    copies = _at_anchors(fps, anchors, threshold, bitmap)
+    homes, copies = _meeting(fps, threshold, anchors)
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
     return homes.withColumnsRenamed({"fp": "a", "root": "root_a"}).join(
         copies.select("anchor", F.col("fp").alias("b"), F.col("root").alias("root_b")), "anchor"
@@ -265,78 +274,140 @@ def _derived(hashes: np.ndarray) -> np.ndarray:
     return mixed.view(np.uint8)
 
 
-def near_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Eight fingerprints to search by, and 512 bits to judge by.
+def _shingle_hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of the different shingles of five words, sorted; fewer words make one shingle."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    clean = b" ".join(words)
+    width = min(JUDGED_WORDS, len(words))
+    ends = list(accumulate(len(w) + 1 for w in words))
+    starts = [0, *ends][: len(words) - width + 1]
+    found = [xxhash.xxh64_digest(clean[s : e - 1], SEED) for s, e in zip(starts, ends[width - 1 :], strict=True)]
+    return np.unique(np.frombuffer(b"".join(found), np.uint64))
+
+
+def _folded_words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def near_features(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Eight fingerprints to search by, 512 bits and 512 parities to judge by, and the number of shingles.
 
     The first are SimHashes of the single words, each word weighing the root of its count: copies with a few
-    words changed differ in few bits of them. The others are SimHashes of the shingles of five words.
+    words changed differ in few bits of them. The bits are SimHashes of the different shingles of five words.
+    A parity tells whether an odd number of shingles fell on it: two texts differ in no more parities than shingles.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    words = _folded_words(text)
     if not words:
-        return np.zeros(SEARCHES, np.int64), np.zeros(SEARCHES, np.int64)
+        return *[np.zeros(SEARCHES, np.int64)] * 3, 0
     counts = Counter(words)
     hashes = np.frombuffer(b"".join([xxhash.xxh64_digest(w, SEED) for w in counts]), np.uint64)
     weights = np.sqrt(np.fromiter(counts.values(), np.float64, len(counts)))
-    clean = b" ".join(words)
-    width = min(JUDGED_WORDS, len(words))
-    ends = list(accumulate(len(w) + 1 for w in words))
-    starts = [0, *ends]
-    count = len(words) - width + 1
-    shingles = [xxhash.xxh64_digest(clean[s : e - 1], SEED) for s, e in zip(starts[:count], ends[width - 1 :], strict=True)]
-    judged = np.frombuffer(b"".join(shingles), np.uint64)
+    judged = _shingle_hashes(words)
+    count = len(judged)
     search, judge = np.zeros(64 * SEARCHES), np.zeros(64 * SEARCHES)
     for at in range(0, len(hashes), 4096):
         search += bit_sums(_derived(hashes[at : at + 4096]), weights[at : at + 4096])
     for at in range(0, count, 4096):
         judge += bit_sums(_derived(judged[at : at + 4096]))
-    return np.packbits(search > weights.sum() / 2).view(np.int64), np.packbits(2 * judge > count).view(np.int64)
+    parity = np.bincount((judged & np.uint64(64 * SEARCHES - 1)).astype(np.int64), minlength=64 * SEARCHES) & 1
+    return (
+        np.packbits(search > weights.sum() / 2).view(np.int64), np.packbits(2 * judge > count).view(np.int64),
+        np.packbits(parity.astype(bool)).view(np.int64), count,
+    )
 
 
 def _featured(texts: DataFrame) -> DataFrame:
-    """`mark`, `text` to `mark`, `search` and `judge`."""
+    """`mark`, `text` to `mark`, `search`, `judge`, `parity` and `n`."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int64())
         for batch in batches:
             found = [near_features(t.as_py()) for t in batch.column("text")]
-            arrays = [pa.array([f[i] for f in found], kind) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("mark"), *arrays], names=["mark", "search", "judge"])
+            arrays = [*[pa.array([f[i] for f in found], kind) for i in (0, 1, 2)], pa.array([f[3] for f in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("mark"), *arrays], names=["mark", "search", "judge", "parity", "n"])
+
+    return texts.mapInArrow(work, "mark long, search array<long>, judge array<long>, parity array<long>, n long")
+
+
+def _shingled(texts: DataFrame) -> DataFrame:
+    """`mark`, `text` to `mark` and `shingles`."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_shingle_hashes(_folded_words(t.as_py())).view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(found, pa.list_(pa.int64()))], names=["mark", "shingles"])
+
+    return texts.mapInArrow(work, "mark long, shingles array<long>")
 
-    return texts.mapInArrow(work, "mark long, search array<long>, judge array<long>")
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the stored pairs `a`, `b` of marks whose texts share 0.8 of their different shingles, compared in full.
+
+    Only the texts of the pairs are read into shingles. Marks of very many pairs are for `attach` to spread.
+    """
+    total = pairs.count()
+    marks = stored(pairs.select(F.explode(F.array("a", "b")).alias("mark")).distinct(), "marks")
+    bits = bits_for(marks.count())
+    filters = stored(packed(marks.select(position(F.col("mark"), bits).alias("position")).distinct()), "filter")
+    few = with_maybe(texts, "mark", filters, bits).filter("maybe").groupBy("mark").agg(F.first("text").alias("text"))
+    shingles = stored(_shingled(few.join(marks, "mark", "left_semi")), "shingles")
+
+    def side(key: str, name: str) -> DataFrame:
+        used = pairs.groupBy(key).agg(F.count(F.lit(1)).alias(f"of_{key}"))
+        return stored(shingles.select(F.col("mark").alias(key), F.col("shingles").alias(name)).join(used, key), "sides")
+
+    both = attach(attach(pairs, side("a", "x"), ["a"], "of_a", total), side("b", "y"), ["b"], "of_b", total)
+    return stored(both.filter(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "verified")
+
+
+def _apart(x: str, y: str) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
 
 
 def similar_texts(texts: DataFrame, threshold: int = 2, most_differing: int = JUDGED_BITS) -> DataFrame:
-    """Links `a`, `b` between `mark`s of texts judged to share 0.8 of their shingles of five words.
+    """Links `a`, `b` between `mark`s of texts that share 0.8 of their different shingles of five words.
 
-    Candidates agree in a search fingerprint up to `threshold` bits, found at anchors. Of texts with an
-    equal fingerprint each is linked to the first. What these links join is known by its root, and of near
-    fingerprints only the first texts of different roots are looked at, so a large group makes no pairs.
-    Candidates stay if their 512 judging bits differ in `most_differing` at most: two sets sharing 0.8
-    differ in 15 % of those bits on average, and the default of 18 % allows for spread.
+    Candidates agree in a search fingerprint up to `threshold` bits, found at anchors; whether they are similar is told
+    by `verified`, so no link is an estimate. First, each text is linked with one text of its every fingerprint, another
+    one by `k`, which joins most of a large group. Then every two candidates that no links have joined are looked at,
+    be their fingerprints equal or near. They need verifying only if they differ in few enough parities, which never
+    loses a similar pair, and, having many shingles, in `most_differing` of the judging bits at most.
     """
     each = stored(_featured(texts), "features")
     total = each.count()
-    spread = stored(each.select("mark", "judge", F.posexplode("search").alias("k", "fp")), "search")
-    groups = stored(spread.groupBy("k", "fp").agg(F.min_by(F.struct("mark", "judge"), "mark").alias("first"), F.count(F.lit(1)).alias("members")), "nodes")
-    apart = F.aggregate(
-        F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits
-    )
-    to_first = attach(spread, groups, ["k", "fp"], "members", SEARCHES * total).select(
-        F.col("first.mark").alias("a"), F.col("mark").alias("b"), F.col("first.judge").alias("x"), F.col("judge").alias("y")
-    )
-    linked = to_first.filter((F.col("a") != F.col("b")) & (apart <= most_differing)).select("a", "b").distinct()
-    roots = components(stored(linked, "equal"))
-    rooted = groups.select("k", "fp", F.col("first.mark").alias("mark"), F.col("first.judge").alias("judge")).join(
-        roots, F.col("mark") == roots["node"], "left"
+    spread = each.select("mark", F.posexplode("search").alias("k", "fp"))
+    groups = stored(
+        spread.groupBy("k", "fp").agg(F.min_by("mark", F.xxhash64("mark", "k")).alias("first"), F.count(F.lit(1)).alias("members")), "nodes"
     )
-    rooted = stored(rooted.select("k", "fp", "mark", "judge", F.coalesce("root", "mark").alias("root")), "rooted")
-    one, other = (
-        rooted.select("k", F.col("fp").alias(c), F.col("root").alias(f"root_{c}"), F.col("judge").alias(f"judge_{c}")) for c in "ab"
-    )
-    pairs = stored(near_pairs(rooted, threshold), "pairs").join(one, ["k", "a"]).join(other, ["k", "b"])
-    between = pairs.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"), F.col("judge_a").alias("x"), F.col("judge_b").alias("y"))
+    to_first = attach(spread, groups, ["k", "fp"], "members", SEARCHES * total).select(F.col("first").alias("a"), F.col("mark").alias("b"))
+    linked = verified(stored(to_first.filter("a <> b").distinct(), "firsts"), texts)
+    roots = stored(components(linked), "roots")
+
+    marked = each.select("mark", "search").join(roots.withColumnRenamed("node", "mark"), "mark", "left")
+    rooted = stored(marked.select("mark", F.coalesce("root", "mark").alias("root"), F.posexplode("search").alias("k", "fp")), "rooted")
+    # Fingerprints with the root that all their texts have; null if they have several.
+    nodes = rooted.groupBy("k", "fp").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    nodes = stored(nodes.select("k", "fp", F.when(F.col("least") == F.col("most"), F.col("least")).alias("root")), "nodes")
+    homes, copies = _meeting(nodes, threshold)
+    one, other = homes.withColumnsRenamed({"fp": "a", "root": "root_a"}), copies.select("anchor", F.col("fp").alias("b"), F.col("root").alias("root_b"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
+    meets = (one["anchor"] == other["anchor"]) & (F.col("a") != F.col("b")) & near & F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True))
+    open_ones = one.join(other, meets, "left_semi").select("k", F.col("a").alias("fp")).unionByName(nodes.filter("root IS NULL").select("k", "fp"))
+    members = stored(rooted.join(stored(open_ones.distinct(), "open"), ["k", "fp"]).distinct(), "members")
+
+    sketches = each.drop("search").join(members.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+    members = stored(members.join(stored(sketches, "sketches"), "mark"), "members")
+    held = ["mark", "root", "judge", "parity", "n"]
+    homes, copies = _meeting(members, threshold, keep=held)
+    one, other = (df.select("anchor", *[F.col(c).alias(f"{c}_{side}") for c in ["fp", *held]]) for df, side in ((homes, "a"), (copies, "b")))
+    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= threshold
+    size = F.col("n_a") + F.col("n_b")
+    alike = (9 * _apart("parity_a", "parity_b") <= size) & ((size < 2 * JUDGED_SHINGLES) | (_apart("judge_a", "judge_b") <= most_differing))
+    pairs = one.join(other, "anchor").filter((F.col("mark_a") < F.col("mark_b")) & (F.col("root_a") != F.col("root_b")) & near & alike)
+    between = verified(stored(pairs.select(F.col("mark_a").alias("a"), F.col("mark_b").alias("b")).distinct(), "pairs"), texts)
     known = roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-    return known.unionByName(between.filter(apart <= most_differing).select("a", "b").distinct())
+    return known.unionByName(between)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: int = 2) -> DataFrame:

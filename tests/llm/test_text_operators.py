@@ -243,3 +243,18 @@ def test_queries_and_pipeline_on_the_smallest_tables(spark):
     total = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert 0 < result.select("doc_id").distinct().count() <= total
     assert result.filter(F.col("shard").isNull()).isEmpty()
+
+
+def jaccard(a, b):
+    one, other = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(one & other) / len(one | other)
+
+
+def test_near_copies_meet_behind_an_unlike_first_text(spark):
+    base = words(240, 31)
+    sentences = [base[i : i + 40] for i in range(0, 240, 40)]
+    flat = lambda order: " ".join(w for i in order for w in sentences[i])
+    shuffled = [list(np.random.default_rng(s).permutation(base)) for s in range(6)]
+    texts = [flat([0, 1, 2, 3, 4, 5]), flat([0, 1, 2, 4, 5, 3]), *[" ".join(w) for w in shuffled]]
+    assert jaccard(texts[0], texts[1]) >= 0.8 and len({simhash.near_features(t)[0].tobytes() for t in texts}) == 1
+    assert {r["doc_id"] for r in simhash.keep_one(make(spark, texts)).collect()} == {0, 2, 3, 4, 5, 6, 7}
