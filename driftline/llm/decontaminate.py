@@ -1,4 +1,4 @@
-"""Benchmark passages in documents, by SimHash of windows of an item's size."""
+"""Benchmark passages in documents, by the shingles that windows of an item's size share with it."""
 
 from __future__ import annotations
 
@@ -11,9 +11,6 @@ from driftline.session import if_small, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BLOCKS, BLOCK_BITS = 4, 16
-# Of four blocks one differs in 3 bits at most if all 64 bits differ in 15 at most.
-FLIPS, RADIUS = 3, 15
 
 
 def _words(text: str) -> Column:
@@ -26,55 +23,31 @@ def _shingles(width: int) -> Column:
     return F.expr(f"transform(slice(words, 1, greatest(size(words) - {width - 1}, 0)), (w, i) -> xxhash64({terms}))")
 
 
-# The fingerprint of `words`, a bit being set if it is in over half of the words' hashes.
-_FINGERPRINT = """aggregate(sequence(0, 63), 0L, (fp, b) -> fp | shiftleft(
-    CAST(2 * aggregate(hashes, 0, (n, h) -> n + CAST(shiftright(h, b) & 1L AS INT)) > size(hashes) AS BIGINT), b))"""
-
-
-def fingerprinted(windows: DataFrame) -> DataFrame:
-    """The rows with `fp`, a SimHash of their `words`, each word weighing its count."""
-    hashed = windows.withColumn("hashes", F.expr("transform(words, w -> xxhash64(w))"))
-    return hashed.withColumn("fp", F.expr(_FINGERPRINT)).drop("hashes")
-
-
-def _block(number: int) -> Column:
-    return F.shiftright("fp", BLOCK_BITS * number).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
-
-
-def _blocks(df: DataFrame) -> DataFrame:
-    """A row per block of `fp`."""
-    blocks = F.array(*[F.struct(F.lit(i).alias("block"), _block(i).alias("value")) for i in range(BLOCKS)])
-    return df.withColumn("b", F.explode(blocks)).select(*df.columns, "b.block", "b.value")
-
-
-def _flipped(items: DataFrame) -> DataFrame:
-    """The items' blocks and all values at most three bits from them: 697 a block."""
-    bits = items.sparkSession.range(1 << BLOCK_BITS).filter(F.bit_count("id") <= FLIPS).agg(F.collect_list(F.col("id").cast("int")).alias("masks"))
-    # One row, of 697 masks.
-    near = _blocks(items).join(F.broadcast(bits)).withColumn("mask", F.explode("masks"))
-    return near.select("item_id", F.col("fp").alias("item_fp"), "block", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-
+def benchmark_items(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """Items with words: `item_id`, `words`, `length`, `width` of a shingle, `shingles`."""
+    items = benchmark.select(F.col(item_col).alias("item_id"), _words(text_col).alias("words")).filter(F.size("words") > 0)
+    items = items.withColumn("length", F.size("words")).withColumn("width", F.least(F.size("words"), F.lit(SHINGLE)))
+    by_width = F.coalesce(*[F.when(F.col("width") == k, _shingles(k)) for k in range(1, SHINGLE + 1)])
+    return items.withColumn("shingles", by_width)
 
-def similarity(one: str, other: str) -> Column:
-    """Weighted Jaccard of two lists of shingle hashes, a shingle weighing its number of occurrences."""
-    common = F.expr(f"""aggregate(array_distinct({one}), 0, (n, h) -> n + least(
-        size(filter({one}, x -> x = h)), size(filter({other}, x -> x = h))))""")
-    return common / (F.size(one) + F.size(other) - common)
 
+def _telling(items: DataFrame, least: float) -> DataFrame:
+    """`h` and `item_id`: of each item the rarest shingles, of which a similar window must hold one.
 
-def _seeds(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """Windows `mark`, `start`, `length` of an item's length, laid where the document has one of its shingles."""
-    held = items.filter(F.col("width") == width).select("length", F.posexplode("shingles").alias("offset", "h")).distinct()
-    found = docs.select("mark", F.posexplode(_shingles(width)).alias("at", "h")).join(if_small(stored(held, "shingles")), "h")
-    return found.select("mark", (F.col("at") - F.col("offset")).alias("start"), "length").distinct()
+    A window of n shingles shares 2 * n * least / (1 + least) of them with the item, so it can lack the others only.
+    A text shorter than the item is one window, and may lack more: least * n are shared at least.
+    """
+    each = items.select("item_id", F.explode("shingles").alias("h"))
+    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("often"))
+    ranked = each.join(often, "h").groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("often", "h"))).alias("ranked"))
+    lacking = F.floor(F.size("ranked") * (1 - least) + F.lit(1e-9)).cast("int")
+    return ranked.select("item_id", F.explode(F.slice("ranked", F.lit(1), lacking + 1)).alias("r")).select("item_id", F.col("r.h").alias("h")).distinct()
 
 
-def benchmark_items(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Items with words: `item_id`, `words`, `length`, `width` of a shingle, `shingles`, `fp`."""
-    items = benchmark.select(F.col(item_col).alias("item_id"), _words(text_col).alias("words")).filter(F.size("words") > 0)
-    items = items.withColumn("length", F.size("words")).withColumn("width", F.least(F.size("words"), F.lit(SHINGLE)))
-    by_width = F.coalesce(*[F.when(F.col("width") == k, _shingles(k)) for k in range(1, SHINGLE + 1)])
-    return fingerprinted(items.withColumn("shingles", by_width))
+# Starts of all windows of `span` shingles that hold `need` of the sorted positions `p`.
+_STARTS = """array_distinct(flatten(transform(sequence(1, size(p) - need + 1), i ->
+    IF(p[i + need - 2] - p[i - 1] < span AND greatest(p[i + need - 2] - span + 1, 0) <= least(p[i - 1], last),
+       sequence(greatest(p[i + need - 2] - span + 1, 0), least(p[i - 1], last)), CAST(array() AS ARRAY<INT>)))))"""
 
 
 def find_passages(
@@ -84,47 +57,49 @@ def find_passages(
 
     `mark` is xxhash64 of the text. A window of a document has the item's number of words (or is the whole of a
     shorter document); it matches if the weighted Jaccard similarity of the shingles of five words is `least` or
-    more. Case is ignored. `at_word` and `similarity` are those of the best window, the first of equals.
+    more. Case is ignored. `at_word` and `similarity` are those of the best window: of equals, that with most shingles in
+    their place in the item, then the first.
 
-    Windows of at least that similarity share shingles with the item, so windows are laid only
-    where the document has a shingle of an item, in line with it; all others are passed over. Each window gets
-    a SimHash of its words. An item is a candidate for a window if their fingerprints differ in 15 of 64 bits at
-    most: then one of four blocks differs in 3 bits at most, and the items are listed under all
-    such values of their blocks. Candidates are verified exactly.
+    The documents' shingles that some item has are kept with their positions. An item is looked for in a
+    document that has one of the item's rarest shingles, of which every similar window must hold one. Every window
+    is laid that holds enough of the item's shingles, in whatever order, and its similarity is taken exactly, so
+    no similar window is passed over.
 
-    The benchmark's shingles and block values are broadcast where their size is known to be small, else joined by
+    The benchmark's shingles are broadcast where their size is known to be small, else joined by
     shuffle. Null texts count as empty; items without words match nothing, and items of fewer than five words
-    have one shingle, all their words. Repeated texts are looked at as one in the end.
+    have one shingle, all their words. Repeated texts are looked at as one.
     """
-    items = stored(benchmark_items(benchmark, item_col, item_text_col), "items")
+    items = stored(benchmark_items(benchmark, item_col, item_text_col).drop("words"), "items")
     widths = [r["width"] for r in items.select("width").distinct().collect()]
-    given = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"))
-    worded = given.select("mark", _words("text").alias("words"))
-    seeds = None
+    given = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), _words(text_col).alias("words"))
+    hits = None
     for width in widths:
-        own = _seeds(worded, items, width)
-        seeds = own if seeds is None else seeds.unionByName(own)
-    if seeds is None:
-        seeds = given.select("mark", F.lit(0).alias("start"), F.lit(0).alias("length")).limit(0)
-    windows = stored(seeds.groupBy("mark").agg(F.collect_set(F.struct("start", "length")).alias("spans")), "windows")
-
-    # The texts that have windows, without a shuffle of all the others.
-    bits = bits_for(windows.count())
-    filters = stored(packed(windows.select(position(F.col("mark"), bits).alias("position")).distinct()), "filter")
-    texts = with_maybe(given, "mark", filters, bits).filter("maybe").groupBy("mark").agg(F.first("text").alias("text"))
-    laid = windows.join(texts, "mark").withColumn("words", _words("text")).withColumn("span", F.explode("spans"))
-    start = F.greatest(F.least(F.col("span.start"), F.size("words") - F.col("span.length")), F.lit(0))
-    laid = laid.select("mark", start.alias("at_word"), F.slice("words", start + 1, F.col("span.length")).alias("words")).filter("size(words) > 0").distinct()
-    laid = fingerprinted(laid)
-    laid = stored(laid.withColumn("window_shingles", F.coalesce(*[F.when(F.size("words") == k, _shingles(k)) for k in range(1, SHINGLE)], _shingles(SHINGLE))).drop("words"), "laid")
-
-    listed = if_small(stored(_flipped(items), "blocks"))
-    near = _blocks(laid.select("mark", "at_word", "fp", F.size("window_shingles").alias("n"))).join(listed, ["block", "value"])
-    near = near.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select("mark", "at_word", "n", "item_id").distinct()
-    known = if_small(items.select("item_id", "shingles"))
-    pairs = near.join(known, "item_id").join(laid.withColumn("n", F.size("window_shingles")), ["mark", "at_word", "n"])
-    judged = pairs.withColumn("similarity", similarity("shingles", "window_shingles")).filter(F.col("similarity") >= least)
-    best = F.max_by(F.struct("at_word", "similarity"), F.struct("similarity", -F.col("at_word"))).alias("best")
+        held = if_small(stored(items.filter(F.col("width") == width).select(F.explode("shingles").alias("h")).distinct(), "shingles"))
+        own = given.select("mark", F.size("words").alias("n_words"), F.posexplode(_shingles(width)).alias("at", "h")).join(held, "h")
+        own = own.select("mark", "n_words", F.struct("at", "h").alias("hit"))
+        hits = own if hits is None else hits.unionByName(own)
+    if hits is None:
+        empty = items.select("item_id", F.lit(0).alias("at_word"), F.lit(0.0).alias("similarity")).limit(0)
+        return empty.select(F.lit(0).cast("long").alias("mark"), "item_id", "at_word", "similarity")
+    hits = stored(hits.groupBy("mark").agg(F.first("n_words").alias("n_words"), F.array_sort(F.collect_set("hit")).alias("hits")), "hits")
+
+    telling = if_small(stored(_telling(items, least), "telling"))
+    near = stored(hits.select("mark", F.explode(F.expr("array_distinct(hits.h)")).alias("h")).join(telling, "h").select("mark", "item_id").distinct(), "near")
+    both = near.join(hits, "mark").join(if_small(items), "item_id")
+    both = both.withColumn("own", F.expr("filter(hits, x -> array_contains(shingles, x.h))")).drop("hits").withColumn("p", F.expr("own.at"))
+    both = both.withColumn("last", F.expr("greatest(n_words - length, 0)")).withColumn("span", F.expr("least(n_words, length) - width + 1"))
+    both = both.withColumn("need", F.ceil(F.lit(least / (1 + least)) * (F.size("shingles") + F.col("span")) - 1e-9).cast("int"))
+    # Stored in steps: filters pushed down would repeat the array expressions for each element.
+    both = stored(both, "held")
+    laid = both.filter("need >= 1 AND size(p) >= need").withColumn("at_word", F.explode(F.expr(_STARTS)))
+    laid = laid.withColumn("window", F.expr("filter(own, x -> x.at >= at_word AND x.at < at_word + span)"))
+    laid = stored(laid.select("mark", "item_id", "at_word", "shingles", "span", "window"), "laid")
+    common = F.expr("""aggregate(array_distinct(window.h), 0, (n, h) -> n + least(
+        size(filter(window, x -> x.h = h)), size(filter(shingles, x -> x = h))))""")
+    judged = laid.withColumn("common", common)
+    judged = stored(judged.withColumn("similarity", F.col("common") / (F.size("shingles") + F.col("span") - F.col("common"))), "judged")
+    judged = judged.filter(F.col("similarity") >= least).withColumn("in_place", F.expr("size(filter(window, x -> get(shingles, x.at - at_word) = x.h))"))
+    best = F.max_by(F.struct("at_word", "similarity"), F.struct("similarity", "in_place", -F.col("at_word"))).alias("best")
     return judged.groupBy("mark", "item_id").agg(best).select("mark", "item_id", "best.at_word", "best.similarity")
 
 

@@ -258,3 +258,25 @@ def test_near_copies_meet_behind_an_unlike_first_text(spark):
     texts = [flat([0, 1, 2, 3, 4, 5]), flat([0, 1, 2, 4, 5, 3]), *[" ".join(w) for w in shuffled]]
     assert jaccard(texts[0], texts[1]) >= 0.8 and len({simhash.near_features(t)[0].tobytes() for t in texts}) == 1
     assert {r["doc_id"] for r in simhash.keep_one(make(spark, texts)).collect()} == {0, 2, 3, 4, 5, 6, 7}
+
+
+def plain_similarity(one, other):
+    one, other = (Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (one, other))
+    return (one & other).total() / max(1, (one | other).total())
+
+
+def test_passages_with_parts_reordered(spark):
+    rest, one, two = words(200, 41), words(60, 42), words(45, 43)
+    items = spark.createDataFrame([(0, " ".join(one)), (1, " ".join(two)), (2, " ".join([*two[:20], *one[:25]]))], "item_id long, text string")
+    texts = [
+        rest[:90] + one[30:] + one[:30] + rest[90:], rest[:7] + two[30:] + two[:30] + rest[7:], one[40:] + one[:40], one[:50],
+        rest[:50] + one[20:] + rest[50:60] + one[:20], rest[:20] + one[:57] + rest[20:99] + two[10:] + two[:10], rest,
+    ]
+    expected = {}
+    for i, w in enumerate(texts):
+        for k, item in enumerate((one, two, [*two[:20], *one[:25]])):
+            best = max(plain_similarity(w[s : s + len(item)], item) for s in range(max(1, len(w) - len(item) + 1)))
+            if best >= 0.8:
+                expected[i, k] = best
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.contaminated(make(spark, [" ".join(w) for w in texts]), items).collect()}
+    assert got == pytest.approx(expected) and {(0, 0), (1, 1), (2, 0), (5, 0), (5, 1)} <= set(got)
