@@ -36,7 +36,8 @@ TOKEN = re.compile(
     re.S,
 )
 MARKS = re.compile(r"(?:\b(?:class|id|role|aria-label)\s*=\s*)(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 
 
 @dataclass
@@ -55,6 +56,18 @@ def _hinted(rest: str) -> bool:
     return any(HINT.search(n) or WEAK_HINT.search(n) and not CONTENT.search(n) for n in names)
 
 
+def _hidden(rest: str) -> bool:
+    """Whether the attributes hide their element: `hidden`, aria-hidden="true", or a style of display: none."""
+    seen = set()
+    for name, a, b, c in ATTRIBUTE.findall(rest):
+        name, value = name.lower(), html.unescape(a or b or c).strip()
+        # Of an attribute that is given again, the first counts.
+        if name not in seen and (name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and NO_DISPLAY.search(value)):
+            return True
+        seen.add(name)
+    return False
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The flat text blocks of a page, in order. What stands in skipped or hidden elements is left out."""
     found: list[Block] = []
@@ -126,7 +139,7 @@ def blocks_of(page: str | None) -> list[Block]:
         # A header within an article is the article's own, but for what it links to.
         frame = frame or (name in FRAME and not (article and name == "header"))
         hinted = hinted or (name not in ("html", "body") and _hinted(rest))
-        skipped = skipped or name in SKIPPED or bool(HIDDEN.search(rest))
+        skipped = skipped or name in SKIPPED or _hidden(rest)
         stack.append((name, article or (name in ARTICLE and not outer), frame, hinted, skipped))
     flush()
     return found

@@ -280,3 +280,11 @@ def test_passages_with_parts_reordered(spark):
                 expected[i, k] = best
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.contaminated(make(spark, [" ".join(w) for w in texts]), items).collect()}
     assert got == pytest.approx(expected) and {(0, 0), (1, 1), (2, 0), (5, 0), (5, 1)} <= set(got)
+
+
+def test_only_hidden_elements_are_left_out():
+    tree, text = extraction.trained(), "This is a paragraph of some length that a reader of the page would like to see in the end."
+    for attributes in ('class="overflow-hidden"', 'aria-hidden="false"', 'data-x="hidden"', 'data-hidden="1"', 'title="display: none"', "class=hidden-sm"):
+        assert extraction.main_text(f"<body {attributes}><article {attributes}><p>{text}</p></article></body>", tree) == text, attributes
+    for attributes in ("hidden", 'hidden=""', 'class="a" HIDDEN', 'aria-hidden="true"', "aria-hidden=TRUE", 'style="color: red; display:none"', "style='display : none !important'"):
+        assert extraction.main_text(f"<article><div {attributes}><p>{text}</p></div></article>", tree) == "", attributes
