@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 WORDS = re.compile(r"[^\W_]+")
 LEAST = 0.8
 
-# Notices as their licences suggest them or as people write them.
+# Notices as their licences suggest them or as people write them, and whole texts.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-licensed": "Licensed under the MIT License.",
@@ -26,13 +27,52 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    **{
+        f"CC-{short}-{version}": f"This work is licensed under a Creative Commons {name} {version} {scope} License."
+        for short, name in (
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+        for version, scope in (("4.0", "International"), ("3.0", "Unported"))
+        if (short, version) not in (("BY", "4.0"), ("BY-SA", "4.0"), ("BY-NC", "4.0"))
+    },
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    **{
+        f"CC-{short}-{version}-short": f"Licensed under CC {short} {version}."
+        for short in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")
+        for version in ("4.0", "3.0")
+        if (short, version) != ("BY-NC", "4.0")
+    },
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    **{
+        f"{short}-{version}": f"This work is licensed under the GNU {name} General Public License, version {version.removesuffix('.0')}."
+        for short, name, version in (("LGPL", "Lesser", "2.1"), ("LGPL", "Lesser", "3.0"), ("AGPL", "Affero", "3.0"))
+    },
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MIT-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+        modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
+        furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all
+        copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+        THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "ISC-text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE
+        AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO
+        EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+        LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION
+        WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+# Whole texts, as they are handed out with Debian.
+for _name in ("Apache-2.0", "BSD", "CC0-1.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0"):
+    TEMPLATES[f"{_name}-text"] = pkgutil.get_data(__name__, f"licence_texts/{_name}.txt").decode("utf-8")
+
 
 def bigrams(text: str | None) -> list[tuple[str, str]]:
     """The pairs of neighbouring words of a text in lower case without punctuation."""
@@ -57,26 +97,35 @@ class Matcher:
         for i, pair in enumerate(pairs):
             for name in self.of.get(pair, ()):
                 hits[name].append(i)
-        found = []
+        windows = []
         for name, at in sorted(hits.items()):
             size, counts = self.sizes[name], self.templates[name]
             # Sizes that differ more than this cannot reach the coefficient, nor can so few common pairs.
             shortest = size * self.least / (2 - self.least)
             if len(pairs) < shortest or len(at) < self.least * (size + shortest) / 2:
                 continue
-            best = (0.0, 0)
+            own, common, to = Counter(), 0, 0
             for nth, begin in enumerate(at):
+                if nth:
+                    gone = pairs[at[nth - 1]]
+                    common -= own[gone] <= counts[gone]
+                    own[gone] -= 1
                 end = min(begin + size, len(pairs))
-                own = Counter()
-                for i in at[nth:]:
-                    if i >= end:
-                        break
-                    own[pairs[i]] += 1
-                common = (own & counts).total()
-                best = max(best, (2 * common / (size + end - begin), -begin))
-            if best[0] >= self.least:
-                found.append((name, -best[1], best[0]))
-        return found
+                while to < len(at) and at[to] < end:
+                    own[pairs[at[to]]] += 1
+                    common += own[pairs[at[to]]] <= counts[pairs[at[to]]]
+                    to += 1
+                dice = 2 * common / (size + end - begin)
+                if dice >= self.least:
+                    windows.append((-dice, -size, begin, at[to - 1] + 1, name))
+        # The best windows first: what they claim is no other template's.
+        found, claimed = {}, set()
+        for dice, _, begin, end, name in sorted(windows):
+            held = range(begin, end)
+            if 2 * sum(i in claimed for i in held) <= len(held):
+                claimed.update(held)
+                found.setdefault(name, (name, begin, -dice))
+        return [found[name] for name in sorted(found)]
 
 
 def find_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
@@ -84,7 +133,8 @@ def find_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Text and templates are compared as bags of pairs of neighbouring words, in lower case and without punctuation.
     A window of the text is as long as the template (or what is left of the text) and begins with one of the
-    template's pairs; a template matches if its best window has a Dice coefficient of `least` or more.
+    template's pairs; a template matches if its best window has a Dice coefficient of `least` or more. A passage belongs to
+    the template of the highest coefficient, the longer of equals: windows that lie in it by more than half are not counted for others.
     Templates too long for the text, or with too few of their pairs in it, are passed over.
     Null and empty texts match nothing. The templates are small and go to every task.
     """

@@ -288,3 +288,13 @@ def test_only_hidden_elements_are_left_out():
         assert extraction.main_text(f"<body {attributes}><article {attributes}><p>{text}</p></article></body>", tree) == text, attributes
     for attributes in ("hidden", 'hidden=""', 'class="a" HIDDEN', 'aria-hidden="true"', "aria-hidden=TRUE", 'style="color: red; display:none"', "style='display : none !important'"):
         assert extraction.main_text(f"<article><div {attributes}><p>{text}</p></div></article>", tree) == "", attributes
+
+
+def test_a_notice_is_claimed_by_its_own_licence():
+    match = licences.Matcher(licences.TEMPLATES, licences.LEAST)
+    for name, text in licences.TEMPLATES.items():
+        assert [f[0] for f in match(f"Some words before. {text} And some more after it.")] == [name]
+    by, nc = licences.TEMPLATES["CC-BY-4.0"], "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    assert [f[0] for f in match(nc)] == ["CC-BY-NC-4.0-notice"]
+    assert [f[0] for f in match(f"{nc} The pictures are not. {by}")] == ["CC-BY-4.0", "CC-BY-NC-4.0-notice"]
+    assert [f[0] for f in match("This work is licensed under the GNU General Public License, version 2.")] == ["GPL-2.0"]
