@@ -298,3 +298,17 @@ def test_a_notice_is_claimed_by_its_own_licence():
     assert [f[0] for f in match(nc)] == ["CC-BY-NC-4.0-notice"]
     assert [f[0] for f in match(f"{nc} The pictures are not. {by}")] == ["CC-BY-4.0", "CC-BY-NC-4.0-notice"]
     assert [f[0] for f in match("This work is licensed under the GNU General Public License, version 2.")] == ["GPL-2.0"]
+
+
+def test_near_copies_are_judged_exactly(spark):
+    texts, stay = [], set()
+    for seed in range(8):
+        base = words(240, 60 + seed)
+        parts = [base[i : i + 30] for i in range(0, 240, 30)]
+        # Five to eight joints of parts are broken, four shingles at each.
+        order = ([1, 2, 3, 0, 4, 5, 6, 7], [1, 0, 3, 2, 5, 4, 7, 6], [0, 2, 1, 4, 3, 6, 5, 7], [1, 0, 3, 2, 5, 4, 6, 7])[seed % 4]
+        texts += [" ".join(base), " ".join(w for i in order for w in parts[i])]
+        stay |= {2 * seed} if jaccard(*texts[-2:]) >= 0.8 else {2 * seed, 2 * seed + 1}
+    alike = [jaccard(*texts[i : i + 2]) for i in range(0, 16, 2)]
+    assert any(0.75 < j < 0.8 for j in alike) and any(j >= 0.8 for j in alike)
+    assert {r["doc_id"] for r in simhash.keep_one(make(spark, texts)).collect()} == stay
