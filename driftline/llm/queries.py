@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import decontaminate, exact_dedup, extraction, language, licences, mixing, sharding, simhash, substrings, toxicity
+from driftline.llm import (
+    alignment, decontaminate, exact_dedup, extraction, language, licences, mixing, negatives, neighbours, sharding, simhash, substrings,
+    toxicity,
+)
 from driftline.llm.common import fold, read, text_or_empty
 from driftline.plans.registry import Catalog
 
@@ -13,6 +18,8 @@ CATALOG = Catalog()
 
 LANGUAGE_ROWS = 3_000
 TOXICITY_ROWS = 20_000
+# Where the driver finds the vocabulary files; tasks get their contents.
+TOKENIZERS = "/opt/tokenizers"
 
 
 @CATALOG.add("op1_histogram_shards")
@@ -103,3 +110,38 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add("op10_benchmark_passages")
 def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@CATALOG.add("op11_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_level, pieces = (Path(TOKENIZERS, name).read_bytes() for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.token_alignment(read(spark, sf_dir, "documents"), byte_level, pieces)
+
+
+@CATALOG.add("op12_nearest_vectors")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@CATALOG.add(
+    "op13_hard_negatives",
+    """WITH given AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+          FROM given a JOIN given b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+        ), positives AS (
+          SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+        FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+        QUALIFY row_number() OVER best <= 3""",
+)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
