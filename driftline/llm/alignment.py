@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,11 @@ from driftline.session import stored
 SEGMENT = 1 << 20
 # Pairs looked up in one pass over the documents, at 17 bytes each; more pairs take more passes.
 SLICE_PAIRS = 1 << 22
+# Words whose alignment a task remembers, twice over.
+KNOWN_WORDS = 1 << 18
+FIELD = 40
+# Words encoded as one text.
+AT_ONCE = 1024
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -126,58 +133,143 @@ def _byte_at(text: str) -> np.ndarray | None:
     return np.concatenate([[0], np.cumsum(widths)])
 
 
-def _group_texts(a: list[str], b: list[str], a_to: np.ndarray, b_to: np.ndarray) -> str:
-    groups, i, j = [], 0, 0
-    for k, m in zip(a_to.tolist(), b_to.tolist(), strict=True):
-        groups.append(f"{','.join(a[i:k])}|{','.join(b[j:m])}")
-        i, j = k, m
-    return ";".join(groups)
+# The alignment of a part of a text that no token of either reaches out of: the numbers of A tokens, B tokens, groups and links in
+# one number, `FIELD` bits each; a long for each link; the groups as text. A plain tuple, which costs least to make and to keep.
+Word = tuple[int, bytes, str]
 
 
 class Aligner:
+    """Aligns texts word by word.
+
+    A word ends where neither vocabulary has a token that reaches across, so words can be aligned in any order, and one that comes
+    again need not be encoded again. Words not known are encoded together, as one text. Two generations of
+    `KNOWN_WORDS` are remembered.
+    """
+
     def __init__(self, byte_level: bytes, pieces: bytes) -> None:
         self.a, self.b = ByteLevel(byte_level), Pieces(pieces)
-        self.names = [[str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))]] * 2
+        entries = range(max(len(self.a.bytes), len(self.b.bytes)))
+        # An id before another of its side, before the other side, and at the end of a group.
+        self.written = [f"{i}{mark}" for mark in ",|;" for i in entries]
+        self.widths = np.array([len(w) for w in self.written])
+        # False for a word that does not come back.
+        self.known: dict[str, Word | bool] = {}
+        self.older: dict[str, Word | bool] = {}
+
+    def _aligned(self, words: list[str]) -> list[Word] | None:
+        """The words, encoded as one text; None if that does not come back byte for byte, cut at the words' ends."""
+        a, b = self.a, self.b
+        part = " ".join(words)
+        encoded = part.encode("utf-8")
+        spaced = b" " + encoded
+        a_ids, *a_spans = a.encode(" " + part, _byte_at(" " + part))
+        b_ids, *b_spans = b.encode(encoded)
+        if b"".join([a.bytes[i] for i in a_ids]) != spaced or b"".join([b.bytes[i] for i in b_ids]) != spaced:
+            return None
+        a_of, b_of = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        a_ends, b_ends = byte_ends(*a_spans, a.lengths[a_of]), byte_ends(*b_spans, b.lengths[b_of])
+        # Between two neighbouring ends of either lies one token of each: one link. Where both end, a group ends.
+        at = np.zeros(len(spaced) + 1, np.int8)
+        at[a_ends] = 1
+        at[b_ends] += 2
+        word_ends = np.cumsum([len(w.encode("utf-8")) + 1 for w in words])
+        if not (at[word_ends] == 3).all():
+            return None
+        ends, both = np.flatnonzero(at), np.flatnonzero(at == 3)
+        keys = (a_of[np.searchsorted(a_ends, ends)] * len(b.bytes) + b_of[np.searchsorted(b_ends, ends)]).tobytes()
+        # Groups as text: the tokens in order, each with the mark that follows it.
+        a_to, b_to = np.searchsorted(a_ends, both) + 1, np.searchsorted(b_ends, both) + 1
+        entries = len(self.written) // 3
+        codes = np.empty(len(a_of) + len(b_of), np.int64)
+        a_sizes, b_sizes = np.diff(a_to, prepend=0), np.diff(b_to, prepend=0)
+        codes[np.arange(len(a_of)) + np.repeat(b_to - b_sizes, a_sizes)] = a_of
+        codes[np.arange(len(b_of)) + np.repeat(a_to, b_sizes)] = b_of
+        codes[a_to + b_to - b_sizes - 1] += entries
+        codes[a_to + b_to - 1] += 2 * entries
+        text = "".join([self.written[c] for c in codes.tolist()])
+        text_to = np.cumsum(self.widths[codes])[a_to + b_to - 1]
+        group_to = np.searchsorted(both, word_ends) + 1
+        to = [np.searchsorted(a_ends, word_ends) + 1, np.searchsorted(b_ends, word_ends) + 1, group_to, np.searchsorted(ends, word_ends) + 1]
+        found, key_from, text_from = [], 0, 0
+        for n_a, n_b, n_groups, n_links, key_end, text_end in zip(
+            *[np.diff(t, prepend=0).tolist() for t in to], (8 * to[3]).tolist(), text_to[group_to - 1].tolist(), strict=True
+        ):
+            counts = n_a | n_b << FIELD | n_groups << 2 * FIELD | n_links << 3 * FIELD
+            found.append((counts, keys[key_from:key_end], text[text_from : text_end - 1]))
+            key_from, text_from = key_end, text_end
+        return found
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Align the words that are not known yet."""
+        known, older = self.known, self.older
+        fresh = [w for w in words if w not in known]
+        if older:
+            known.update((w, older[w]) for w in fresh if w in older)
+            fresh = [w for w in fresh if w not in older]
+        if not fresh:
+            return
+        for begin in range(0, len(fresh), AT_ONCE):
+            some = fresh[begin : begin + AT_ONCE]
+            found = self._aligned(some)
+            if found is None:
+                # Some word does not come back: each is looked at by itself.
+                found = [alone[0] if (alone := self._aligned([w])) else False for w in some]
+            known.update(zip(some, found, strict=True))
 
     def align(self, text: str | None, segment: int = SEGMENT) -> Alignment:
         """The alignment of space and text; of no text, or one that either tokenizer does not give back in full, none."""
-        if not text:
-            return Alignment()
-        a, b, found, digest, names = self.a, self.b, Alignment(), hashlib.sha256(), self.names[0]
-        parts = []
-        for nth, part in enumerate(segments(text, segment) if b.cuttable else [text]):
-            encoded = part.encode("utf-8")
-            spaced = b" " + encoded
-            a_ids, *a_spans = a.encode(" " + part, _byte_at(" " + part))
-            b_ids, *b_spans = b.encode(encoded)
-            if b"".join([a.bytes[i] for i in a_ids]) != spaced or b"".join([b.bytes[i] for i in b_ids]) != spaced:
+        return self._assembled(self.words(text, segment)) if text else Alignment()
+
+    def _assembled(self, blocks: Iterable[list[str]]) -> Alignment:
+        found, digest, parts, total = Alignment(), hashlib.sha256(), [], 0
+        for nth, words in enumerate(blocks):
+            times = Counter(words)
+            each = list(map(self.known.get, times))
+            if None in each:
+                self.learn(times)
+                each = list(map(self.known.get, times))
+            if False in each:
                 return Alignment()
-            a_of, b_of = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
-            a_ends, b_ends = byte_ends(*a_spans, a.lengths[a_of]), byte_ends(*b_spans, b.lengths[b_of])
-            # Between two neighbouring ends of either lies one token of each: one link.
-            at = np.zeros(len(spaced) + 1, np.int8)
-            at[a_ends] = 1
-            at[b_ends] += 2
-            ends = np.flatnonzero(at)
-            both = np.flatnonzero(at == 3)
-            linked = a_of[np.searchsorted(a_ends, ends)] * len(b.bytes) + b_of[np.searchsorted(b_ends, ends)]
-            parts.append(np.unique(linked, return_counts=True))
-            a_to, b_to = np.searchsorted(a_ends, both) + 1, np.searchsorted(b_ends, both) + 1
-            groups = _group_texts([names[i] for i in a_ids], [names[i] for i in b_ids], a_to, b_to)
-            digest.update((";" * (nth > 0) + groups).encode())
-            found.n_a += len(a_ids)
-            found.n_b += len(b_ids)
-            found.n_groups += len(both)
-            found.n_links += len(ends)
+            counts, keys, groups = zip(*each, strict=True)
+            total += sum(map(mul, counts, times.values()))
+            links = np.fromiter(map(len, keys), np.int64, len(keys)) >> 3
+            parts.append((np.frombuffer(b"".join(keys), np.int64), np.repeat(np.fromiter(times.values(), np.int64, len(keys)), links)))
+            texts = dict(zip(times, groups, strict=True))
+            digest.update((";" * (nth > 0) + ";".join(map(texts.__getitem__, words))).encode())
+            if len(self.known) > KNOWN_WORDS:
+                self.older, self.known = self.known, {}
+        found.n_a, found.n_b, found.n_groups, found.n_links = (total >> i * FIELD & (1 << FIELD) - 1 for i in range(4))
         found.groups_sha256 = digest.hexdigest()
         found.keys, found.times = summed(parts)
         return found
 
+    def words(self, text: str, segment: int) -> Iterator[list[str]]:
+        """The text's words, of about `segment` characters at a time."""
+        if not self.b.cuttable:
+            yield [text]
+            return
+        for block in segments(text, segment):
+            yield _CUT.split(block)
+
+    def align_all(self, texts: list[str | None], segment: int = SEGMENT) -> Iterator[Alignment]:
+        """The alignments of the texts; the words of many short ones are learned together."""
+        begin = 0
+        while begin < len(texts):
+            end, size = begin, 0
+            while end < len(texts) and (end == begin or size + len(texts[end] or "") <= segment):
+                size += len(texts[end] or "")
+                end += 1
+            if end == begin + 1:
+                yield self.align(texts[begin], segment)
+            else:
+                blocks = [list(self.words(t, segment)) if t else None for t in texts[begin:end]]
+                self.learn({w for of_text in blocks if of_text for words in of_text for w in words})
+                yield from [self._assembled(b) if b else Alignment() for b in blocks]
+            begin = end
+
 
 def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted different keys with their counts over all parts."""
-    if len(parts) == 1:
-        return parts[0]
     keys, of = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
     return keys, np.bincount(of, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
@@ -213,7 +305,7 @@ def aligned_texts(docs: DataFrame, byte_level: bytes, pieces: bytes, id_col: str
             # Few rows at a time: the packed pairs of long texts add up.
             for begin in range(0, batch.num_rows, 256):
                 some = batch.slice(begin, 256)
-                found = [aligner.align(t.as_py(), segment) for t in some.column("text")]
+                found = list(aligner.align_all(some.column("text").to_pylist(), segment))
                 arrays = [pa.array([getattr(f, c) for f in found], pa.int64()) for c in _COUNTS]
                 arrays.append(pa.array([f.groups_sha256 for f in found]))
                 arrays.append(pa.array([0 if f.keys is None else len(f.keys) for f in found], pa.int64()))
@@ -288,8 +380,8 @@ def token_alignment(
     ends. A link is a token of A and one of B that share a byte; a pair's count is the number of its links in all documents.
     `n_best` counts the links whose count is the highest of their B entry, `count_sum` adds the counts up.
 
-    Each text is encoded once, in segments cut where neither vocabulary has a token that reaches across, so very long
-    texts need little memory and give the same tokens. The different pairs of a document stay with it, packed; counts come back
+    Texts are encoded word by word, cut where neither vocabulary has a token that reaches across, which gives the same tokens: very
+    long texts need little memory, and a task remembers the alignment of `KNOWN_WORDS` words. The different pairs of a document stay with it, packed; counts come back
     to them by broadcast, `slice_pairs` pairs at a time in as many passes as that takes, so no document is shuffled.
 
     Null and empty texts, and texts that a tokenizer does not give back byte for byte, have zeros and no digest.
