@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftline.llm.common import unused
+
 # 64 MB.
 MAX_BITS = 1 << 29
 LEAST_BITS = 1 << 15
@@ -34,11 +36,13 @@ def _is_set(at: Column, bitmap: Column) -> Column:
     return F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) != 0, F.lit(False))
 
 
-def with_maybe(df: DataFrame, hashed: str, bitmaps: DataFrame, bits: int) -> DataFrame:
-    """The rows with `maybe`: whether the filter has the position of the row's hash.
+def with_maybe(df: DataFrame, hashed: str, bitmaps: DataFrame, bits: int, flag: str = "maybe") -> DataFrame:
+    """The rows with `flag`: whether the filter has the position of the row's hash.
 
     `bitmaps` is broadcast: it has `bits` / 32768 rows of 4 KB at most.
     """
     at = position(F.col(hashed), bits)
-    looked = df.withColumn("_bucket", F.bitmap_bucket_number(at)).join(F.broadcast(bitmaps.withColumnRenamed("bucket", "_bucket")), "_bucket", "left")
-    return looked.select(*df.columns, _is_set(at, F.col("bitmap")).alias("maybe"))
+    bucket, bitmap = unused(df, "_bucket", "_bitmap")
+    held = bitmaps.select(F.col("bucket").alias(bucket), F.col("bitmap").alias(bitmap))
+    looked = df.withColumn(bucket, F.bitmap_bucket_number(at)).join(F.broadcast(held), bucket, "left")
+    return looked.select(*df.columns, _is_set(at, F.col(bitmap)).alias(flag))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +26,20 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def fold_of(doc_id: int | None, folds: int) -> int:
-    """crc32 of the id as text, modulo the number of folds; a missing id counts as empty text."""
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them as far as columns of the input have them already."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
+def identity(text: str) -> tuple[Column, Column]:
+    """128 bits that tell a text from any other, as two longs; null counts as empty."""
+    return F.xxhash64(text_or_empty(text)), F.xxhash64(F.lit("second"), text_or_empty(text))
 
 
 def fold(doc_id: str, folds: int) -> Column:
@@ -45,11 +54,10 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], members: str
     task. All other groups are joined by a shuffle. Both inputs are read twice.
     """
     limit = max(1000, total // HOT_PARTS)
-    hot = groups.filter(F.col(members) > limit).withColumn("_hot", F.lit(True))
+    (flag,) = unused(rows, "_hot")
+    hot = groups.filter(F.col(members) > limit).withColumn(flag, F.lit(True))
     marked = rows.join(F.broadcast(hot), list(keys), "left")
-    rest = marked.filter("_hot IS NULL").select(*rows.columns)
+    rest = marked.filter(F.col(flag).isNull()).select(*rows.columns)
     cold = rest.join(groups.filter(F.col(members) <= limit), list(keys))
-    return marked.filter("_hot").drop("_hot").unionByName(cold)
-
+    return marked.filter(flag).drop(flag).unionByName(cold)
 
-NOT_WORD = re.compile(r"[\W_]+")

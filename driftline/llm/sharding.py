@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import text_or_empty
+from driftline.llm.common import text_or_empty, unused
 from driftline.session import stored
 
 ROW_OVERHEAD = 16
@@ -16,6 +16,7 @@ ROW_OVERHEAD = 16
 GROUP_BITS, ROW_BITS = 40, 22
 KEY_BITS = GROUP_BITS + ROW_BITS
 FIRST_PROBE_BITS, PROBE_BITS = 12, 10
+LARGE_PART = 16
 
 
 def _group(text: str) -> Column:
@@ -97,42 +98,47 @@ def shard(
     """All rows with `size`, `law`, `shard` and `slot`, under the law of near equal bytes.
 
     A row's size is the UTF-8 bytes of its text (null: none) plus 16. Rows are ordered by a hash of
-    the text, so equal texts share a shard; only a text whose copies outweigh a whole shard is cut,
-    by a hash of its rows, into the shards it needs. Splitters come from `splitters`; then rows are
+    the text, so equal texts share a shard; only a text whose copies outweigh a whole shard is cut
+    into the shards it needs. Splitters come from `splitters`; then rows are
     exchanged once. Slots count up from 0 without gaps: a shard is numbered in pieces dealt
-    by the row's hash, so neither a large shard nor a repeated text is sorted in one task.
+    by the row's hash, so neither a large shard nor a repeated text is sorted in one task. Rows of texts with
+    more than a 16th of a shard are stored with a number of their own to be dealt by, so rows equal in everything are cut as well.
 
     Empty input gives no rows. Null ids and repeated rows are rows like any other. Columns
-    that the result adds replace input columns of the same name.
+    that the result adds replace input columns of the same name; others may have any name.
     """
     added = ("size", "law", "shard", "slot")
     docs = docs.drop(*(c for c in added if c not in (id_col, text_col)))
-    group, row = _group(text_col), _row(id_col, text_col)
+    own_key, own_piece, own_row, before, nth = unused(docs, "_key", "_piece", "_row", "_start", "_nth")
+    group = _group(text_col)
     # One narrow pass; the rounds below read this table.
-    sizes = stored(docs.select(group.alias("group"), row.alias("row"), text_bytes(text_col).alias("size")), "sizes")
+    sizes = stored(docs.select(group.alias("group"), _row(id_col, text_col).alias("row"), text_bytes(text_col).alias("size")), "sizes")
     total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     fair = total / shards
-    first = GROUP_BITS - FIRST_PROBE_BITS
-    heavy = [r[0] for r in sizes.groupBy(F.shiftright("group", first)).agg(F.sum("size")).collect() if r[1] > fair]
-    cut = []
-    if heavy:
-        # Fewer than `shards` texts can each hold more than a shard's share.
-        inside = sizes.filter(F.shiftright("group", first).isin(*heavy)).groupBy("group").agg(F.sum("size").alias("bytes"))
-        cut = [r["group"] for r in inside.filter(F.col("bytes") > fair).collect()]
+    # Fewer than 16 times `shards` texts can each hold that much.
+    large = sizes.groupBy("group").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > fair / LARGE_PART).collect()
+    cut = [r["group"] for r in large if r["bytes"] > fair]
+    given = docs.withColumn(own_row, _row(id_col, text_col))
+    if large:
+        is_large = group.isin(*[r["group"] for r in large])
+        own = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << ROW_BITS))
+        numbered = stored(docs.filter(is_large).withColumn(own_row, own), "large")
+        given = given.filter(~is_large).unionByName(numbered)
+        rest = sizes.filter(~F.col("group").isin(*[r["group"] for r in large]))
+        sizes = rest.unionByName(numbered.select(group.alias("group"), F.col(own_row).alias("row"), text_bytes(text_col).alias("size")))
     keyed = sizes.withColumn("key", _key(F.col("group"), F.col("row"), cut))
     cuts = splitters(keyed, total, shards, tolerance) if rows else []
     pieces = max(8, ceil(rows / shards / rows_per_piece))
 
-    def placed(df: DataFrame, key: Column, spread: Column) -> DataFrame:
-        return df.withColumn("_key", key).withColumn("shard", _place(F.col("_key"), cuts)).withColumn("_piece", F.pmod(spread, F.lit(pieces)))
+    def placed(df: DataFrame, key: Column, key_name: str, spread: str, piece_name: str) -> DataFrame:
+        return df.withColumn(key_name, key).withColumn("shard", _place(F.col(key_name), cuts)).withColumn(piece_name, F.pmod(spread, F.lit(pieces)))
 
-    counts = placed(keyed, F.col("key"), F.col("row")).groupBy("shard", "_piece").count()
+    counts = placed(keyed, F.col("key"), "key", "row", own_piece).groupBy("shard", own_piece).count()
     # One row per shard and piece: a shard's offsets are sums over its few pieces.
-    so_far = F.expr("sum(count) OVER (PARTITION BY shard ORDER BY _piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    starts = counts.select("shard", "_piece", F.coalesce(so_far, F.lit(0)).alias("_start"))
-    result = placed(docs, _key(group, row, cut), row).withColumns({"size": text_bytes(text_col), "law": F.lit("bytes")})
-    order = ", ".join(["_key", f"`{id_col}`", "size"])
-    result = result.withColumn("_nth", F.expr(f"row_number() OVER (PARTITION BY shard, _piece ORDER BY {order})"))
+    so_far = F.sum("count").over(Window.partitionBy("shard").orderBy(own_piece).rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("shard", own_piece, F.coalesce(so_far, F.lit(0)).alias(before))
+    result = placed(given, _key(group, F.col(own_row), cut), own_key, own_row, own_piece).withColumns({"size": text_bytes(text_col), "law": F.lit("bytes")})
+    result = result.withColumn(nth, F.row_number().over(Window.partitionBy("shard", own_piece).orderBy(own_key, id_col, "size")))
     # `shards` x `pieces` rows at most.
-    result = result.join(F.broadcast(starts), ["shard", "_piece"], "left")
-    return result.withColumn("slot", (F.col("_start") + F.col("_nth") - 1).cast("long")).drop("_key", "_piece", "_start", "_nth")
+    result = result.join(F.broadcast(starts), ["shard", own_piece], "left")
+    return result.withColumn("slot", (F.col(before) + F.col(nth) - 1).cast("long")).drop(own_key, own_piece, own_row, before, nth)

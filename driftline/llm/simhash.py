@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.llm.bitmaps import bits_for, packed, position, with_maybe
-from driftline.llm.common import attach
+from driftline.llm.common import attach, identity, unused
 from driftline.llm.components import components
 from driftline.session import stored
 
@@ -22,10 +22,11 @@ SEED = 42
 CHUNK = 1 << 15
 SEARCHES = 8
 JUDGED_WORDS = 5
-# Texts that share 0.8 of their shingles differ in 78 of 512 bits on average, with a spread of 8.
-JUDGED_BITS = 115
-JUDGED_SHINGLES = 64
-
+PARITIES = 512
+# Texts of a bucket that are compared at once.
+BUCKET = 256
+# Further links that a round may try between two roots, times those of the round before.
+MORE_LINKS = 8
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
 
@@ -290,44 +291,64 @@ def _folded_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def near_features(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Eight fingerprints to search by, 512 bits and 512 parities to judge by, and the number of shingles.
+def near_features(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Eight fingerprints to search by, 512 parities to judge by, and the number of shingles.
 
     The first are SimHashes of the single words, each word weighing the root of its count: copies with a few
-    words changed differ in few bits of them. The bits are SimHashes of the different shingles of five words.
-    A parity tells whether an odd number of shingles fell on it: two texts differ in no more parities than shingles.
+    words changed differ in few bits of them. A parity tells whether an odd number of the different shingles of five
+    words fell on it: two texts differ in no more parities than shingles.
     """
     words = _folded_words(text)
     if not words:
-        return *[np.zeros(SEARCHES, np.int64)] * 3, 0
+        return *[np.zeros(SEARCHES, np.int64)] * 2, 0
     counts = Counter(words)
     hashes = np.frombuffer(b"".join([xxhash.xxh64_digest(w, SEED) for w in counts]), np.uint64)
     weights = np.sqrt(np.fromiter(counts.values(), np.float64, len(counts)))
     judged = _shingle_hashes(words)
-    count = len(judged)
-    search, judge = np.zeros(64 * SEARCHES), np.zeros(64 * SEARCHES)
+    search = np.zeros(64 * SEARCHES)
     for at in range(0, len(hashes), 4096):
         search += bit_sums(_derived(hashes[at : at + 4096]), weights[at : at + 4096])
-    for at in range(0, count, 4096):
-        judge += bit_sums(_derived(judged[at : at + 4096]))
-    parity = np.bincount((judged & np.uint64(64 * SEARCHES - 1)).astype(np.int64), minlength=64 * SEARCHES) & 1
-    return (
-        np.packbits(search > weights.sum() / 2).view(np.int64), np.packbits(2 * judge > count).view(np.int64),
-        np.packbits(parity.astype(bool)).view(np.int64), count,
-    )
+    parity = np.bincount((judged & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(search > weights.sum() / 2).view(np.int64), np.packbits(parity.astype(bool)).view(np.int64), len(judged)
+
+
+_SEARCH, _PARITY = [f"s{i}" for i in range(SEARCHES)], [f"p{i}" for i in range(PARITIES // 64)]
 
 
 def _featured(texts: DataFrame) -> DataFrame:
-    """`mark`, `text` to `mark`, `search`, `judge`, `parity` and `n`."""
+    """`h1`, `h2`, `id`, `text` to the first three, `n`, and one long for each fingerprint and each 64 parities.
+
+    Copies that lie together are read once.
+    """
+    longs = ["n", *_SEARCH, *_PARITY]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int64())
         for batch in batches:
-            found = [near_features(t.as_py()) for t in batch.column("text")]
-            arrays = [*[pa.array([f[i] for f in found], kind) for i in (0, 1, 2)], pa.array([f[3] for f in found], pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column("mark"), *arrays], names=["mark", "search", "judge", "parity", "n"])
-
-    return texts.mapInArrow(work, "mark long, search array<long>, judge array<long>, parity array<long>, n long")
+            known: dict[tuple[int, int], int] = {}
+            rows, at = [], []
+            for key in zip(batch.column("h1").to_pylist(), batch.column("h2").to_pylist(), strict=True):
+                if key not in known:
+                    search, parity, n = near_features(batch.column("text")[len(at)].as_py())
+                    known[key] = len(rows)
+                    rows.append(np.concatenate([[n], search, parity]))
+                at.append(known[key])
+            values = np.array(rows, np.int64).reshape(-1, len(longs))[np.array(at, np.int64)]
+            arrays = [pa.array(np.ascontiguousarray(values[:, i])) for i in range(len(longs))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("h1", "h2", "id")], *arrays], names=["h1", "h2", "id", *longs])
+
+    schema = texts.select("h1", "h2", "id", *[F.lit(0).cast("long").alias(c) for c in longs]).schema
+    return texts.mapInArrow(work, schema)
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """One stored row per different text of `h1`, `h2`, `id`, `text`: `mark` (its number), the smallest `id`, `copies`, and its features.
+
+    What is exchanged is a few longs a row, and copies are combined before that; texts are not exchanged.
+    """
+    longs = ["n", *_SEARCH, *_PARITY]
+    # Features are functions of the text, so any copy's will do.
+    merged = _featured(docs).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), *[F.min(c).alias(c) for c in longs])
+    return stored(stored(merged, "texts").withColumn("mark", F.monotonically_increasing_id()), "marked")
 
 
 def _shingled(texts: DataFrame) -> DataFrame:
@@ -341,90 +362,201 @@ def _shingled(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(work, "mark long, shingles array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the stored pairs `a`, `b` of marks whose texts share 0.8 of their different shingles, compared in full.
-
-    Only the texts of the pairs are read into shingles. Marks of very many pairs are for `attach` to spread.
-    """
+def _with_sides(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """The stored pairs `a`, `b` with what `of` has for each `mark`, as `x` and `y`. Marks of very many pairs are for `attach` to spread."""
     total = pairs.count()
-    marks = stored(pairs.select(F.explode(F.array("a", "b")).alias("mark")).distinct(), "marks")
-    bits = bits_for(marks.count())
-    filters = stored(packed(marks.select(position(F.col("mark"), bits).alias("position")).distinct()), "filter")
-    few = with_maybe(texts, "mark", filters, bits).filter("maybe").groupBy("mark").agg(F.first("text").alias("text"))
-    shingles = stored(_shingled(few.join(marks, "mark", "left_semi")), "shingles")
 
     def side(key: str, name: str) -> DataFrame:
         used = pairs.groupBy(key).agg(F.count(F.lit(1)).alias(f"of_{key}"))
-        return stored(shingles.select(F.col("mark").alias(key), F.col("shingles").alias(name)).join(used, key), "sides")
+        return stored(of.select(F.col("mark").alias(key), F.col("held").alias(name)).join(used, key), "sides")
 
-    both = attach(attach(pairs, side("a", "x"), ["a"], "of_a", total), side("b", "y"), ["b"], "of_b", total)
-    return stored(both.filter(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "verified")
+    return attach(attach(pairs, side("a", "x"), ["a"], "of_a", total), side("b", "y"), ["b"], "of_b", total)
 
 
 def _apart(x: str, y: str) -> Column:
-    return F.aggregate(F.zip_with(x, y, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
+    return sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in _PARITY), F.lit(0))
 
 
-def similar_texts(texts: DataFrame, threshold: int = 2, most_differing: int = JUDGED_BITS) -> DataFrame:
-    """Links `a`, `b` between `mark`s of texts that share 0.8 of their different shingles of five words.
+def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs `a`, `b` of marks with `alike`: whether their texts share 0.8 of their different shingles, compared in full.
+
+    Pairs that differ in too many parities or in size for that are told so at once; only the texts of the others are read into shingles.
+    """
+    held = _with_sides(pairs, texts.select("mark", F.struct("n", *_PARITY).alias("held")))
+    size, larger = F.col("x.n") + F.col("y.n"), F.greatest("x.n", "y.n")
+    near = stored(held.select("a", "b", ((9 * _apart("x", "y") <= size) & (5 * F.least("x.n", "y.n") >= 4 * larger)).alias("near")), "judged")
+    close = stored(near.filter("near").select("a", "b"), "close")
+    marks = close.select(F.explode(F.array("a", "b")).alias("mark")).distinct()
+    wanted = stored(texts.select("mark", "h1", "h2").join(marks, "mark"), "wanted")
+    bits = bits_for(wanted.count())
+    filters = stored(packed(wanted.select(position(F.col("h1"), bits).alias("position")).distinct()), "filter")
+    few = with_maybe(docs, "h1", filters, bits).filter("maybe").groupBy("h1", "h2").agg(F.first("text").alias("text"))
+    shingles = stored(_shingled(few.join(wanted, ["h1", "h2"]).select("mark", "text")).withColumnRenamed("shingles", "held"), "shingles")
+    alike = 9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))
+    judged = _with_sides(close, shingles).select("a", "b", alike.alias("alike"))
+    return stored(judged.unionByName(near.filter("NOT near").select("a", "b", F.lit(False).alias("alike"))), "verified")
+
+
+def _forest(edges: np.ndarray, tried: int) -> list[int]:
+    """Positions of the edges (pairs of roots) that join something new, and of `tried` further ones for each pair of roots."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept, seen = [], Counter()
+    for i, (a, b) in enumerate(edges.tolist()):
+        one, other = root(a), root(b)
+        parent[one] = other
+        pair = (min(a, b), max(a, b))
+        if one != other or seen[pair] < tried:
+            kept.append(i)
+        seen[pair] += 1
+    return kept
+
+
+def _links_to_try(buckets: DataFrame, threshold: int, tried: int) -> DataFrame:
+    """Of each row's members `one` and `other`, links `a`, `b` that join their roots, as few as that takes.
+
+    Members are compared if their fingerprints are near; they may be similar if they differ in few enough parities and in size,
+    which loses no similar pair. Links in `rejected`, found not to be similar before, are left out.
+    """
+
+    def columns(structs: pa.StructArray) -> dict[str, np.ndarray]:
+        return {f: structs.field(f).to_numpy(zero_copy_only=False) for f in ("mark", "root", "fp", "n", *_PARITY)}
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = batch.column("one"), batch.column("other")
+            starts = [c.offsets.to_numpy() for c in (one, other)]
+            held = [columns(c.values) for c in (one, other)]
+            found = []
+            for r in range(batch.num_rows):
+                x, y = ({f: v[s[r] : s[r + 1]] for f, v in h.items()} for h, s in zip(held, starts, strict=True))
+                meet = (x["root"][:, None] != y["root"]) & (np.bitwise_count((x["fp"][:, None] ^ y["fp"]).view(np.uint64)) <= threshold)
+                meet &= (5 * x["n"][:, None] >= 4 * y["n"]) & (4 * x["n"][:, None] <= 5 * y["n"])
+                i, j = np.nonzero(meet)
+                apart = sum(np.bitwise_count((x[p][i] ^ y[p][j]).view(np.uint64)).astype(np.int64) for p in _PARITY)
+                near = 9 * apart <= x["n"][i] + y["n"][j]
+                i, j = i[near], j[near]
+                if len(i) and (refused := batch.column("rejected")[r].as_py()):
+                    pairs = {(p["a"], p["b"]) for p in refused}
+                    a, b = np.minimum(x["mark"][i], y["mark"][j]), np.maximum(x["mark"][i], y["mark"][j])
+                    fresh = np.array([p not in pairs for p in zip(a.tolist(), b.tolist(), strict=True)], bool)
+                    i, j = i[fresh], j[fresh]
+                keep = _forest(np.column_stack([x["root"][i], y["root"][j]]), tried)
+                found.append(np.column_stack([x["mark"][i[keep]], y["mark"][j[keep]]]))
+            links = np.sort(np.concatenate(found or [np.zeros((0, 2), np.int64)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(links[:, k])) for k in (0, 1)], names=["a", "b"])
+
+    return buckets.select("one", "other", "rejected").mapInArrow(work, "a long, b long").distinct()
+
+
+def _buckets(homes: DataFrame, copies: DataFrame, rejected: DataFrame, within: bool) -> tuple[DataFrame, bool]:
+    """For each anchor the members at home there (`one`) and those copied there (`other`), with what was `rejected` of them before;
+    and whether that is all that can meet.
+
+    Anchors of more than `BUCKET` members are cut into parts by the mark's hash, each with each, or with `within` each with itself alone.
+    Only anchors where different roots meet are kept.
+    """
+    ends = homes.unionByName(copies).groupBy("anchor").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("members"))
+    open_ones = stored(ends.filter("least <> most").select("anchor", F.ceil(F.col("members") / (2 * BUCKET)).cast("int").alias("parts")), "anchors")
+
+    def parted(df: DataFrame, name: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("mark"), F.col("parts")).cast("int").alias(f"{name}_part")
+        member = F.struct("mark", "root", "fp", "n", *_PARITY)
+        return df.join(open_ones, "anchor").groupBy("anchor", part).agg(F.collect_list(member).alias(name))
+
+    keys = (F.col("l.anchor") == F.col("r.anchor")) & ((F.col("one_part") == F.col("other_part")) if within else F.lit(True))
+    both = parted(homes, "one").alias("l").join(parted(copies, "other").alias("r"), keys).select("l.anchor", "one_part", "other_part", "one", "other")
+    everything = not within or open_ones.filter("parts > 1").isEmpty()
+    if rejected.isEmpty():
+        return both.withColumn("rejected", F.lit(None).cast("array<struct<a:long,b:long>>")), everything
+    both = stored(both.withColumn("bucket", F.monotonically_increasing_id()), "buckets")
+    marks = both.select("bucket", F.explode("one.mark").alias("mark"))
+    ways = rejected.select(F.col("a").alias("mark"), "a", "b").unionByName(rejected.select(F.col("b").alias("mark"), "a", "b"))
+    known = marks.join(ways, "mark").groupBy("bucket").agg(F.collect_set(F.struct("a", "b")).alias("rejected"))
+    return both.join(known, "bucket", "left"), everything
+
+
+def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> DataFrame:
+    """Links `a`, `b` between `mark`s that join all texts sharing 0.8 of their different shingles of five words, where a search finds them.
 
     Candidates agree in a search fingerprint up to `threshold` bits, found at anchors; whether they are similar is told
-    by `verified`, so no link is an estimate. First, each text is linked with one text of its every fingerprint, another
-    one by `k`, which joins most of a large group. Then every two candidates that no links have joined are looked at,
-    be their fingerprints equal or near. They need verifying only if they differ in few enough parities, which never
-    loses a similar pair, and, having many shingles, in `most_differing` of the judging bits at most.
+    by `verified`, so no link is an estimate. First, each text is tried with one text of its every fingerprint. Then candidates of
+    different roots are compared bucket by bucket, at first within parts of large buckets, and only links that join
+    something new are tried, so their number grows with the texts, not with the pairs. A link that is found not
+    to be similar is not tried again, and others take its place, more of them each round, until none is left.
     """
-    each = stored(_featured(texts), "features")
-    total = each.count()
-    spread = each.select("mark", F.posexplode("search").alias("k", "fp"))
-    groups = stored(
-        spread.groupBy("k", "fp").agg(F.min_by("mark", F.xxhash64("mark", "k")).alias("first"), F.count(F.lit(1)).alias("members")), "nodes"
-    )
-    to_first = attach(spread, groups, ["k", "fp"], "members", SEARCHES * total).select(F.col("first").alias("a"), F.col("mark").alias("b"))
-    linked = verified(stored(to_first.filter("a <> b").distinct(), "firsts"), texts)
-    roots = stored(components(linked), "roots")
-
-    marked = each.select("mark", "search").join(roots.withColumnRenamed("node", "mark"), "mark", "left")
-    rooted = stored(marked.select("mark", F.coalesce("root", "mark").alias("root"), F.posexplode("search").alias("k", "fp")), "rooted")
-    # Fingerprints with the root that all their texts have; null if they have several.
-    nodes = rooted.groupBy("k", "fp").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    nodes = stored(nodes.select("k", "fp", F.when(F.col("least") == F.col("most"), F.col("least")).alias("root")), "nodes")
-    homes, copies = _meeting(nodes, threshold)
-    one, other = homes.withColumnsRenamed({"fp": "a", "root": "root_a"}), copies.select("anchor", F.col("fp").alias("b"), F.col("root").alias("root_b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
-    meets = (one["anchor"] == other["anchor"]) & (F.col("a") != F.col("b")) & near & F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True))
-    open_ones = one.join(other, meets, "left_semi").select("k", F.col("a").alias("fp")).unionByName(nodes.filter("root IS NULL").select("k", "fp"))
-    members = stored(rooted.join(stored(open_ones.distinct(), "open"), ["k", "fp"]).distinct(), "members")
-
-    sketches = each.drop("search").join(members.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
-    members = stored(members.join(stored(sketches, "sketches"), "mark"), "members")
-    held = ["mark", "root", "judge", "parity", "n"]
-    homes, copies = _meeting(members, threshold, keep=held)
-    one, other = (df.select("anchor", *[F.col(c).alias(f"{c}_{side}") for c in ["fp", *held]]) for df, side in ((homes, "a"), (copies, "b")))
-    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= threshold
-    size = F.col("n_a") + F.col("n_b")
-    alike = (9 * _apart("parity_a", "parity_b") <= size) & ((size < 2 * JUDGED_SHINGLES) | (_apart("judge_a", "judge_b") <= most_differing))
-    pairs = one.join(other, "anchor").filter((F.col("mark_a") < F.col("mark_b")) & (F.col("root_a") != F.col("root_b")) & near & alike)
-    between = verified(stored(pairs.select(F.col("mark_a").alias("a"), F.col("mark_b").alias("b")).distinct(), "pairs"), texts)
-    known = roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-    return known.unionByName(between)
+    each = texts.select("mark", F.posexplode(F.array(*_SEARCH)).alias("k", "fp"))
+    # The same text comes first in all buckets that have it and no other with a smaller hash.
+    groups = each.groupBy("k", "fp").agg(F.min_by("mark", F.xxhash64("mark")).alias("first"), F.count(F.lit(1)).alias("members"))
+    groups = stored(groups.filter("members > 1"), "nodes")
+    to_first = attach(each, groups, ["k", "fp"], "members", SEARCHES * texts.count()).filter("first <> mark")
+    tries = stored(to_first.select(F.least("first", "mark").alias("a"), F.greatest("first", "mark").alias("b")).distinct(), "firsts")
+    judged = verified(tries, texts, docs)
+    links, rejected = judged.filter("alike").select("a", "b"), judged.filter("NOT alike").select("a", "b")
+
+    within, tried = True, 0
+    while True:
+        links = stored(links, "links")
+        roots = stored(components(links), "roots")
+        rooted = texts.join(roots.withColumnRenamed("node", "mark"), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
+        spread = rooted.select("mark", "root", F.posexplode(F.array(*_SEARCH)).alias("k", "fp"))
+        # Fingerprints with the root that all their texts have; null if they have several.
+        nodes = spread.groupBy("k", "fp").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+        nodes = stored(nodes.select("k", "fp", F.when(F.col("least") == F.col("most"), F.col("least")).alias("root")), "nodes")
+        homes, copies = _meeting(nodes, threshold)
+        one, other = homes.withColumnsRenamed({"fp": "a", "root": "root_a"}), copies.select("anchor", F.col("fp").alias("b"), F.col("root").alias("root_b"))
+        near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
+        meets = (one["anchor"] == other["anchor"]) & (F.col("a") != F.col("b")) & near & F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True))
+        open_ones = one.join(other, meets, "left_semi").select("k", F.col("a").alias("fp")).unionByName(nodes.filter("root IS NULL").select("k", "fp"))
+        open_ones = stored(open_ones.distinct(), "open")
+        if open_ones.isEmpty():
+            return links
+        members = rooted.select("mark", "root", "n", *_PARITY, F.posexplode(F.array(*_SEARCH)).alias("k", "fp")).join(open_ones, ["k", "fp"])
+        homes, copies = _meeting(stored(members, "members"), threshold, keep=["mark", "root", "n", *_PARITY])
+        buckets, everything = _buckets(homes, copies, rejected, within)
+        judged = verified(stored(_links_to_try(buckets, threshold, tried), "tries"), texts, docs)
+        links = links.unionByName(judged.filter("alike").select("a", "b"))
+        false = judged.filter("NOT alike").select("a", "b")
+        # All candidates lie within what the tried links join, so if these hold nothing is left between different roots.
+        if everything and false.isEmpty():
+            return links
+        rejected = stored(rejected.unionByName(false).distinct(), "rejected")
+        within, tried = False, max(1, tried * MORE_LINKS) if everything else 0
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: int = 2) -> DataFrame:
     """The input's rows without near duplicates: of each component of `similar_texts` the row with the smallest id stays.
 
     Null ids come last. Exact copies are one text. A null text counts as empty, and texts without words are copies
-    of each other. Rows equal in id and text are one document. Other columns pass unchanged.
+    of each other. Rows equal in id and text are one document. Other columns pass unchanged, whatever their names. Very long
+    texts are read whole. An empty table gives no rows. Rows whose text has no copy and no near copy pass without an exchange.
     """
-    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    marked = docs.withColumn("_mark", mark)
-    least = stored(marked.groupBy(F.col("_mark").alias("mark")).agg(
-        F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"))).alias("least")
-    ), "texts")
-    roots = components(stored(similar_texts(marked.select(F.col("_mark").alias("mark"), F.col(text_col).alias("text")), threshold), "similar"))
-    grouped = least.join(roots, least["mark"] == roots["node"], "left").withColumn("group", F.coalesce("root", "mark"))
-    first = grouped.groupBy("group").agg(F.min(F.struct("least", "mark")).alias("first"))
-    stay = first.select(F.col("first.least.id").alias("_stays"), F.col("first.mark").alias("_mark"))
-    kept = marked.join(stay, "_mark").filter(F.col(id_col).eqNullSafe(F.col("_stays")))
-    once = Window.partitionBy("_mark").orderBy(id_col)
-    return kept.withColumn("_nth", F.row_number().over(once)).filter("_nth = 1").drop("_nth", "_mark", "_stays")
+    h1, h2 = identity(text_col)
+    narrow = docs.select(h1.alias("h1"), h2.alias("h2"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = distinct_texts(narrow)
+    roots = components(similar_texts(texts, narrow, threshold))
+    grouped = texts.join(roots.withColumnRenamed("node", "mark"), "mark", "left").select("h1", "h2", "id", "mark", "copies", F.coalesce("root", "mark").alias("root"))
+    grouped = stored(grouped, "grouped")
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("first"), F.sum("copies").alias("rows"))
+    fate = grouped.join(stored(first.filter("rows > 1"), "first"), "root")
+    fate = stored(fate.select("h1", "h2", "id", "copies", (F.col("mark") == F.col("first.mark")).alias("stays")), "fate")
+    bits = bits_for(fate.count())
+    filters = stored(packed(fate.select(position(F.col("h1"), bits).alias("position")).distinct()), "filter")
+
+    one, other, maybe, least, copies, stays, nth = unused(docs, "_h1", "_h2", "_maybe", "_least", "_copies", "_stays", "_nth")
+    looked = with_maybe(docs.withColumns({one: h1, other: h2}), one, filters, bits, maybe)
+    doubtful = looked.filter(maybe).drop(maybe)
+    named = fate.select(*[F.col(c).alias(n) for c, n in (("h1", one), ("h2", other), ("id", least), ("copies", copies), ("stays", stays))])
+    total = docs.count()
+    # Look-alikes of the filter have no fate and stay.
+    alone = doubtful.join(named.select(one, other), [one, other], "left_anti")
+    found = attach(doubtful, named.filter(stays), [one, other], copies, total).filter(F.col(id_col).eqNullSafe(F.col(least)))
+    once = found.withColumn(nth, F.row_number().over(Window.partitionBy(one, other).orderBy(F.lit(0)))).filter(F.col(nth) == 1)
+    kept = looked.filter(~F.col(maybe))
+    return kept.select(*docs.columns).unionByName(alone.select(*docs.columns)).unionByName(once.select(*docs.columns))

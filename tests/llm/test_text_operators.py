@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from driftline.llm import decontaminate, exact_dedup, extraction, language, licences, mixing, sharding, simhash, substrings, toxicity
-from driftline.llm.common import words_of
+from driftline.llm.common import identity, words_of
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row long, h string, k int"
 
@@ -224,10 +224,11 @@ def test_licences(spark):
     assert [(r["doc_id"], r["licence"], r["at_word"], r["dice"]) for r in licences.find_licences(docs).collect() if r["licence"] == "MIT"] == [(1, "MIT", 1, 1.0)]
 
 
-def test_crc_folds():
-    from driftline.llm.common import fold_of
+def test_crc_folds(spark):
+    from driftline.llm.common import fold
 
-    assert fold_of(17, 5) == zlib.crc32(b"17") % 5
+    ids = spark.createDataFrame([(17,), (-3,), (None,)], "doc_id long").select("doc_id", fold("doc_id", 5).alias("fold"))
+    assert {r["doc_id"]: r["fold"] for r in ids.collect()} == {i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 for i in (17, -3, None)}
 
 
 def test_queries_and_pipeline_on_the_smallest_tables(spark):
@@ -312,3 +313,116 @@ def test_near_copies_are_judged_exactly(spark):
     alike = [jaccard(*texts[i : i + 2]) for i in range(0, 16, 2)]
     assert any(0.75 < j < 0.8 for j in alike) and any(j >= 0.8 for j in alike)
     assert {r["doc_id"] for r in simhash.keep_one(make(spark, texts)).collect()} == stay
+
+
+def test_rows_equal_in_everything_are_cut(spark):
+    rows = make(spark, [f"text {i} " + "x" * (i % 50) for i in range(400)])
+    same = spark.range(2000).select(*[F.lit(v).cast(t).alias(c) for (c, t), v in zip(rows.dtypes, (7, "the same row " * 15, "en", "s", 0, 7, "x", 1), strict=True)])
+    got = sharding.shard(rows.unionByName(same), 8).collect()
+    sizes, slots = Counter(), defaultdict(list)
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    fair = sum(sizes.values()) / 8
+    assert len(got) == 2400 and len(sizes) == 8 and max(sizes.values()) < 1.02 * fair and min(sizes.values()) > 0.98 * fair
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # A text with less than a shard's share stays in one, its equal rows in many pieces.
+    few = sharding.shard(rows.unionByName(same.limit(100)), 8, rows_per_piece=10).filter("doc_id = 7 AND text LIKE 'the same%'")
+    assert few.select("shard").distinct().count() == 1
+
+
+CLASHING = ("_key", "_piece", "_row", "_start", "_nth", "_mark", "_maybe", "maybe", "toxic", "_h1", "_h2", "_hot", "_bucket", "_least", "_stays", "h1", "id", "mark", "bitmap")
+
+
+def test_columns_of_any_name_pass(spark):
+    base, item = words(90, 71), words(40, 72)
+    docs = make(spark, [" ".join(base), " ".join([*base[:80], "x"]), " ".join(words(30, 73) + item), None, "short"])
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars", *[F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in CLASHING])
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    kept = simhash.keep_one(docs)
+    clean = decontaminate.without_passages(docs, items)
+    shards = sharding.shard(docs, 2)
+    toxic = toxicity.without_toxic(docs, toxicity.learn(docs.select("text", F.lit(0).alias("toxic"))))
+    for result, ids in ((kept, {0, 2, 3, 4}), (clean, {0, 1, 3, 4}), (shards, {0, 1, 2, 3, 4}), (toxic, {0, 1, 2, 3, 4})):
+        rows = result.collect()
+        assert {r["doc_id"] for r in rows} == ids and len(rows) == len(ids)
+        assert all(r[c] == f"{c}-{r['doc_id']}" for r in rows for c in CLASHING)
+
+
+def links_of(spark, texts):
+    docs = make(spark, texts)
+    h1, h2 = identity("text")
+    narrow = docs.select(h1.alias("h1"), h2.alias("h2"), F.col("doc_id").alias("id"), "text")
+    distinct = simhash.distinct_texts(narrow)
+    ids = {r["mark"]: r["id"] for r in distinct.collect()}
+    return [(ids[r["a"]], ids[r["b"]]) for r in simhash.similar_texts(distinct, narrow).collect()]
+
+
+def components_of(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    return {n: root(n) for n in nodes}
+
+
+def test_links_grow_with_the_texts_not_the_pairs(spark):
+    base, counts = words(60, 81), {}
+    for n in (150, 300):
+        texts = [" ".join([*base[: i % 60], f"new{i}", *base[i % 60 + 1 :]]) for i in range(n)]
+        links = links_of(spark, texts)
+        assert len(links) == len(set(links))
+        counts[n] = len(links)
+        # Similar pairs that a search can find lie in one component.
+        found = components_of(range(n), links)
+        assert all(jaccard(texts[a], texts[b]) >= 0.8 for a, b in links)
+        searched = [simhash.near_features(t)[0] for t in texts]
+        for a in range(n):
+            for b in range(a + 1, n):
+                meet = any(int(x ^ y) == 0 or (int(x) ^ int(y)).bit_count() <= 2 for x, y in zip(searched[a].view(np.uint64), searched[b].view(np.uint64), strict=True))
+                if meet and jaccard(texts[a], texts[b]) >= 0.8:
+                    assert found[a] == found[b]
+    assert counts[300] <= 2.2 * counts[150] and counts[300] < 8 * 300
+
+
+def test_rejected_links_are_replaced(spark):
+    # Many orders of the same words, most of them unlike, and a few pairs alike among them: the first tries fail.
+    base = words(200, 91)
+    orders = [list(np.random.default_rng(s).permutation(base)) for s in range(12)]
+    texts = [" ".join(o) for o in orders] + [" ".join([*o[100:], *o[:100]]) for o in orders[::3]]
+    alike = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if jaccard(texts[a], texts[b]) >= 0.8}
+    assert len(alike) == 4 and {tuple(sorted(p)) for p in links_of(spark, texts)} == alike
+
+
+def test_a_forest_of_links():
+    edges = np.array([[1, 2], [2, 3], [1, 3], [4, 5], [2, 1]])
+    assert simhash._forest(edges, 0) == [0, 1, 3]
+    assert simhash._forest(edges, 1) == [0, 1, 2, 3]
+    assert simhash._forest(edges, 2) == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("size", [1000, 5000])
+def test_long_items_and_repeated_shingles(spark, size):
+    rest, item = words(300, 95), words(size, 96)
+    echo = ["la", "le", "lu"] * 40
+    items = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(echo))], "item_id long, text string")
+    texts = [
+        rest[:100] + item[size // 2 :] + item[: size // 2] + rest, item[: size * 17 // 20], rest + echo[:110] + rest[:9], echo * 5, rest + item[: size // 2],
+        rest + item + rest + item[: size - 10],
+    ]
+    expected = {}
+    for i, w in enumerate(texts):
+        for k, own in enumerate((item, echo)):
+            starts = range(max(1, len(w) - len(own) + 1)) if k else {0, 100, 300, 600 + size, *range(95, 106)} & set(range(max(1, len(w) - len(own) + 1)))
+            best = max(plain_similarity(w[s : s + len(own)], own) for s in starts)
+            if best >= 0.8:
+                expected[i, k] = best
+    found = decontaminate.contaminated(make(spark, [" ".join(w) for w in texts]), items).collect()
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
+    assert set(got) == set(expected) and all(got[k] >= v - 1e-9 for k, v in expected.items())
+    assert {(0, 0), (1, 0), (2, 1), (3, 1), (5, 0)} <= set(got)
