@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
-from datetime import date
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,30 +29,88 @@ def stamp(changes: DataFrame, run_ts: Column | None = None, migration_ts: bool =
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
+LOG = "_batches"
+IDENTITY = ("topic", "partition", "offset")
+
+
 def write_batch(changes: DataFrame, path: str, batch_id: int, rebalance: bool = False, stream: str = "batch") -> None:
-    """Write one batch; writing the same batch of the same stream again replaces it and nothing else.
+    """Write one batch, then its row in the batch log; writing the same batch of the same stream again replaces both and nothing else.
 
     Batches are numbered within their `stream`, so another stream's batch of the same number is another batch.
-    Days that an earlier attempt wrote and this one does not have are removed after it.
+    Days that an earlier attempt wrote and this one does not have are removed after it. The changes are evaluated once; what
+    the log says is read from the files written.
 
     A landing area in time order gives each task few days, so no shuffle is made by default.
     `rebalance` evens out files where a batch mixes many days, splitting days that are large.
     """
+    spark = changes.sparkSession
     out = changes.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")})
-    earlier = _day_folders(changes.sparkSession, path, stream, batch_id)
+    earlier = _day_folders(spark, path, stream, batch_id)
     if rebalance:
         out = out.hint("rebalance", "event_date")
+    # What was written is observed on the way, so nothing is evaluated again for it.
+    seen = Observation()
+    day = F.coalesce(F.col("event_date").cast("string"), F.lit(NO_DAY))
+    committed = F.max("ingestion_time") if "ingestion_time" in changes.columns else F.current_timestamp()
+    out = out.observe(seen, F.collect_set(day).alias("days"), F.count(F.lit(1)).alias("rows"), committed.alias("committed_at"))
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "stream", "batch_id")
         .parquet(path)
     )
-    if earlier:
-        days = {r[0] for r in changes.select(F.col("event_date").cast("string")).distinct().collect()}
-        now = {f"event_date={NO_DAY if day is None else day}" for day in days}
-        for day in earlier - now:
-            remove(changes.sparkSession, f"{path}/{day}/stream={stream}/batch_id={batch_id}")
+    now = {f"event_date={day}" for day in seen.get["days"]}
+    for folder in earlier - now:
+        remove(spark, f"{path}/{folder}/stream={stream}/batch_id={batch_id}")
+    _log_batch(spark, path, stream, batch_id, sorted(now), changes.schema, seen.get["committed_at"])
+
+
+def _log_batch(
+    spark: SparkSession, path: str, stream: str, batch_id: int, days: Sequence[str], columns: T.StructType, committed_at: datetime | None
+) -> None:
+    """One row per topic and partition of a batch: its rows and the range of their offsets. A batch without rows has one of its own."""
+    folders = [f"{path}/{day}/stream={stream}/batch_id={batch_id}" for day in days]
+    folder = f"{path}/{LOG}/stream={stream}/batch_id={batch_id}"
+    at = F.lit(committed_at).cast("timestamp").alias("committed_at")
+    kinds = dict(zip(IDENTITY, ("string", "int", "bigint"), strict=True))
+    own = [c for c in IDENTITY if c in columns.fieldNames()]
+    nothing = {"rows_added": F.lit(0).cast("bigint"), "first_offset": F.lit(None).cast("bigint"), "last_offset": F.lit(None).cast("bigint")}
+    ranges = spark.range(1).select(F.lit(None).cast("string").alias("topic"), F.lit(None).cast("int").alias("partition"), *[c.alias(n) for n, c in nothing.items()])
+    if days:
+        rows = spark.read.schema(T.StructType([columns[c] for c in own] or columns.fields)).parquet(*folders)
+        place = [(F.col(c) if c in own else F.lit(None)).cast(kinds[c]).alias(c) for c in IDENTITY]
+        ranges = rows.select(*place).groupBy("topic", "partition").agg(
+            F.count(F.lit(1)).alias("rows_added"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
+        )
+    ranges.select("*", at).write.mode("overwrite").parquet(folder)
+
+
+BATCH_RANGES = "stream string, batch_id long, topic string, partition int, rows_added long, first_offset long, last_offset long, committed_at timestamp"
+
+
+def batch_ranges(spark: SparkSession, path: str) -> DataFrame | None:
+    """What the batch log holds, a row per batch, topic and partition; None where no batch was logged."""
+    if not table_exists(spark, f"{path}/{LOG}"):
+        return None
+    return spark.read.schema(BATCH_RANGES).option("basePath", f"{path}/{LOG}").parquet(f"{path}/{LOG}")
+
+
+def read_batch_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The log that ingest wrote, without a look at the audit table: as `batch_log` gives it."""
+    ranges = batch_ranges(spark, path)
+    if ranges is None:
+        return None
+    per_batch = ranges.groupBy("stream", "batch_id").agg(F.max("committed_at").alias("committed_at"), F.sum("rows_added").alias("rows_added"))
+    return _with_totals(per_batch)
+
+
+def _with_totals(per_batch: DataFrame) -> DataFrame:
+    # A row per batch, in one group.
+    order = Window.partitionBy(F.lit(0)).orderBy("committed_at", "stream", "batch_id")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per_batch.select(
+        "stream", "batch_id", "committed_at", F.lit("append").alias("operation"), "rows_added", F.sum("rows_added").over(so_far).alias("total_rows")
+    )
 
 
 def _day_folders(spark: SparkSession, path: str, stream: str, batch_id: int) -> set[str]:
@@ -63,7 +121,7 @@ def _day_folders(spark: SparkSession, path: str, stream: str, batch_id: int) ->
 
 def read_bronze(
     spark: SparkSession, path: str, days: Sequence[date | None] | None = None, columns: T.StructType | None = None,
-    with_stream: bool = False,
+    with_stream: bool = True,
 ) -> DataFrame | None:
     """The audit table, or only some days of it, whose folders alone are then listed.
 
@@ -104,36 +162,47 @@ def completed(spark: SparkSession, path: str, skip: Collection[str] = ()) -> lis
 
 
 def unseen(
-    changes: DataFrame, path: str, batch_id: int, identity: Sequence[str] = ("topic", "partition", "offset"), stream: str = "batch"
+    changes: DataFrame, path: str, batch_id: int, identity: Sequence[str] = IDENTITY, stream: str = "batch", records: DataFrame | None = None
 ) -> DataFrame:
     """Changes of a batch that no other batch has stored, each once.
 
-    Only the days the batch touches are compared. A message has one Kafka time, so its repeat
-    lies in the same day.
+    The batch log tells which batches hold offsets of the same range of a topic and partition; only those are read, and only
+    their identity columns, so records that come in order are compared with nothing. `records` are the messages that the changes
+    were parsed from, if it is cheaper to look at those for the ranges. A table that has no log is compared by the days that
+    the batch touches.
     """
+    spark = changes.sparkSession
     once = changes.dropDuplicates(list(identity))
-    days = [r[0] for r in changes.select("event_date").distinct().collect()]
+    logged = batch_ranges(spark, path) if tuple(identity) == IDENTITY else None
     columns = T.StructType([changes.schema[c] for c in identity])
-    stored = read_bronze(changes.sparkSession, path, days, columns, with_stream=True)
-    if stored is None:
+    if logged is None:
+        days = [r[0] for r in changes.select("event_date").distinct().collect()]
+        stored = read_bronze(spark, path, days, columns)
+        if stored is None:
+            return once
+        others = stored.filter((F.col("batch_id") != batch_id) | (F.col("stream") != stream))
+        return once.join(others.select(*identity), list(identity), "left_anti")
+    # A row per topic and partition, and one per batch that shares offsets with this one.
+    own = (changes if records is None else records).groupBy("topic", "partition").agg(F.min("offset").alias("_low"), F.max("offset").alias("_high"))
+    meets = logged["topic"].eqNullSafe(own["topic"]) & logged["partition"].eqNullSafe(own["partition"])
+    meets &= (F.col("first_offset") <= F.col("_high")) & (F.col("last_offset") >= F.col("_low"))
+    near = logged.join(F.broadcast(own), meets, "left_semi").filter((F.col("batch_id") != batch_id) | (F.col("stream") != stream))
+    folders = [f"{path}/event_date=*/stream={r['stream']}/batch_id={r['batch_id']}" for r in near.select("stream", "batch_id").distinct().collect()]
+    if not folders:
         return once
-    others = stored.filter((F.col("batch_id") != batch_id) | (F.col("stream") != stream)).select(*identity)
-    return once.join(others, list(identity), "left_anti")
+    others = spark.read.schema(columns).parquet(*folders)
+    return once.join(others.select(*identity), list(identity), "left_anti")
 
 
 def batch_log(bronze: DataFrame) -> DataFrame:
-    """One row per batch: when, what, how many rows, and the table's size after it.
+    """One row per stream and batch: when, what, how many rows, and the table's size after it, in the order of commits.
 
-    Grouping by batch comes first, so the running total's single group is one row per batch.
+    This counts the audit table anew; `read_batch_log` reads what ingest has noted. Grouping by batch comes first, so the running
+    total's single group is one row per batch.
     """
-    per_batch = bronze.groupBy("batch_id").agg(
-        F.max("ingestion_time").alias("committed_at"), F.count("*").alias("rows_added")
-    )
-    so_far = Window.partitionBy(F.lit(0)).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_batch.select(
-        "batch_id", "committed_at", F.lit("append").alias("operation"), "rows_added",
-        F.sum("rows_added").over(so_far).alias("total_rows"),
-    )
+    if "stream" not in bronze.columns:
+        bronze = bronze.withColumn("stream", F.lit("batch"))
+    return _with_totals(bronze.groupBy("stream", "batch_id").agg(F.max("ingestion_time").alias("committed_at"), F.count("*").alias("rows_added")))
 
 
 def operation_counts(changes: DataFrame, *by: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.session import estimated_bytes
+from driftline.session import estimated_bytes, is_plain_read, stored
 
 _HASH, _CUT, _PIECE = "_key_hash", "_cut", "_piece"
 _ORDERABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType)
@@ -120,15 +120,20 @@ def over_key(
     running: Mapping[str, Column] | None = None,
     lead: Mapping[str, Column] | None = None,
     lag: Mapping[str, Column] | None = None,
+    held: Mapping[str, Column] | None = None,
     descending: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Add running sums and next / previous values within each key.
+    """Add running sums, next / previous values, and the last value that is not null (`held`) within each key.
 
     `order` must identify a row within its key, else the result depends on arrival.
-    Running sums include the row itself.
+    Running sums and held values include the row itself. An input that is large and more than a plain read of files is stored
+    first, so that looking for large keys, the carries and the window do not evaluate it again.
     """
-    running, lead, lag = dict(running or {}), dict(lead or {}), dict(lag or {})
+    running, lead, lag, held = dict(running or {}), dict(lead or {}), dict(lag or {}), dict(held or {})
+    size = estimated_bytes(df)
+    if (size is None or size > policy.small_bytes) and not is_plain_read(df):
+        df = stored(df, "keyed")
     cuts = find_cuts(df, keys, order, policy)
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     if cuts is None:
@@ -138,16 +143,18 @@ def over_key(
             {n: F.sum(c).over(to_here) for n, c in running.items()}
             | {n: F.lead(c).over(whole) for n, c in lead.items()}
             | {n: F.lag(c).over(whole) for n, c in lag.items()}
+            | {n: F.last(c, ignorenulls=True).over(to_here) for n, c in held.items()}
         )
 
     placed = _place(df, keys, order, cuts)
-    carry = _carries(placed, keys, order, running, lead, lag, descending)
+    carry = _carries(placed, keys, order, running, lead, lag, held, descending)
     local = Window.partitionBy(*keys, _PIECE).orderBy(*sort)
     to_here = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stepped = placed.withColumns(
         {n: F.sum(c).over(to_here) for n, c in running.items()}
         | {n: F.lead(c).over(local) for n, c in lead.items()}
         | {n: F.lag(c).over(local) for n, c in lag.items()}
+        | {n: F.last(c, ignorenulls=True).over(to_here) for n, c in held.items()}
         | {"_last": F.lead(F.lit(1)).over(local).isNull(), "_first": F.lag(F.lit(1)).over(local).isNull()}
     )
     same_piece = reduce(
@@ -163,16 +170,19 @@ def over_key(
     ]
     out += [F.when(stepped["_last"], carry[f"n_{n}"]).otherwise(stepped[n]).alias(n) for n in lead]
     out += [F.when(stepped["_first"], carry[f"p_{n}"]).otherwise(stepped[n]).alias(n) for n in lag]
+    out += [F.coalesce(stepped[n], carry[f"h_{n}"]).alias(n) for n in held]
     return joined.select(*out)
 
 
-def _carries(placed, keys, order, running, lead, lag, descending) -> DataFrame:
+def _carries(placed, keys, order, running, lead, lag, held, descending) -> DataFrame:
     """What each piece takes over from its neighbours; cold keys have no piece and no row here."""
     first, last = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)
     at = F.struct(*order)
     aggs = [F.sum(c).alias(f"t_{n}") for n, c in running.items()]
     aggs += [first(F.struct(c.alias("v")), at).alias(f"f_{n}") for n, c in lead.items()]
     aggs += [last(F.struct(c.alias("v")), at).alias(f"l_{n}") for n, c in lag.items()]
+    # Rows without a value have no place in the order, so the last one with a value is taken.
+    aggs += [last(c, F.when(c.isNotNull(), at)).alias(f"k_{n}") for n, c in held.items()]
     pieces = placed.filter(_CUT).groupBy(*keys, _PIECE).agg(F.count("*").alias("n"), *aggs)
     by_piece = Window.partitionBy(*keys).orderBy(F.col(_PIECE).desc() if descending else F.col(_PIECE).asc())
     before = by_piece.rowsBetween(Window.unboundedPreceding, -1)
@@ -181,6 +191,7 @@ def _carries(placed, keys, order, running, lead, lag, descending) -> DataFrame:
         *[F.sum(f"t_{n}").over(before).alias(f"r_{n}") for n in running],
         *[F.lead(f"f_{n}").over(by_piece)["v"].alias(f"n_{n}") for n in lead],
         *[F.lag(f"l_{n}").over(by_piece)["v"].alias(f"p_{n}") for n in lag],
+        *[F.last(f"k_{n}", ignorenulls=True).over(before).alias(f"h_{n}") for n in held],
     )
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,3 +112,55 @@ def classify_tables(tables: DataFrame, name: str = "table_name", tracking: str =
         .otherwise("other")
     )
     return tables.withColumn("role", role)
+
+
+@dataclass(frozen=True)
+class Reference:
+    """`child`'s column names rows of `parent` by its column, and goes with them."""
+
+    child: str
+    child_column: str
+    parent: str
+    parent_column: str
+
+
+def cascade_graph(
+    tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], references: Sequence[Reference], deleted: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The keys of all rows that go, by table, when the rows named in `deleted` do, along any graph of references.
+
+    References may form cycles and point to their own table. Each round takes the children of the rows found in the round before and
+    leaves out those known already, so it ends when nothing new is found: after as many rounds as the longest chain has links. A
+    round's rows are stored, and only they meet the next tables. Null references name nothing.
+    """
+    needed = {t: list(dict.fromkeys([*keys[t], *[r.parent_column for r in references if r.parent == t]])) for t in tables}
+
+    def hit(table: str, column: str, values: DataFrame) -> DataFrame:
+        return tables[table].join(if_small(values), F.col(column) == F.col("_gone"), "left_semi").select(*needed[table])
+
+    gone: dict[str, DataFrame] = {}
+    new: dict[str, DataFrame] = {}
+    for t, rows in deleted.items():
+        wanted = rows.select(*[F.col(k).alias(f"_d_{k}") for k in keys[t]]).distinct()
+        same = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"_d_{k}")), keys[t], F.lit(True))
+        new[t] = stored(tables[t].join(if_small(wanted), same, "left_semi").select(*needed[t]).distinct(), "gone")
+        gone[t] = new[t]
+    while new:
+        found: dict[str, DataFrame] = {}
+        for r in references:
+            if r.parent in new:
+                values = stored(new[r.parent].select(F.col(r.parent_column).alias("_gone")).filter("_gone IS NOT NULL").distinct(), "gone")
+                rows = hit(r.child, r.child_column, values)
+                found[r.child] = rows if r.child not in found else found[r.child].unionByName(rows)
+        new = {}
+        for t, rows in found.items():
+            rows = rows.distinct()
+            if t in gone:
+                known = gone[t].select(*[F.col(k).alias(f"_d_{k}") for k in keys[t]])
+                same = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"_d_{k}")), keys[t], F.lit(True))
+                rows = rows.join(known, same, "left_anti")
+            rows = stored(rows, "gone")
+            if not rows.isEmpty():
+                new[t] = rows
+                gone[t] = rows if t not in gone else stored(gone[t].unionByName(rows), "gone")
+    return {t: rows.select(*keys[t]) for t, rows in gone.items()}

@@ -2,12 +2,12 @@
 
 Parquet tables have no MERGE. A target is therefore a compacted base plus the reduced
 changes of the batches since, and reading it takes the newest row of each key. A batch costs
-what it changes, not what the table holds; `compact` folds batches into a new base.
+what it changes, not what the table holds; `compact` folds batches into the buckets of the base that they touch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import clamp_at_zero, document_time, from_micros, map_values
-from driftline.operators.bronze import completed, remove
+from driftline.operators.bronze import _located, completed, remove
+from driftline.operators.buckets import BUCKET, BucketTable, Manifest
 from driftline.operators.keyed import latest_per_key
 from driftline.schemas import (
     DELETE,
     DOCUMENT_SYSTEM,
     EVENT_TYPE_MAP,
+    MONEY,
     RELATIONAL_SYSTEM,
     TRACKING,
 )
@@ -45,6 +47,31 @@ def shape_customers(flat: DataFrame, run_ts: Column | None = None) -> DataFrame:
     )
 
 
+def shape_orders(flat: DataFrame, run_ts: Column | None = None, statuses: Mapping[str, str] | None = None) -> DataFrame:
+    """Flat order changes as rows of the order target. `statuses` says what a source status is called there; others stay as they are,
+    for `quality.allowed` to report, and a missing one is pending."""
+    status = F.coalesce(map_values(F.col("status"), statuses) if statuses else F.col("status"), F.lit("pending"))
+    return flat.filter(F.col("order_id").isNotNull()).select(
+        "order_id", "customer_id", F.col("total_amount").cast(MONEY).alias("total_amount"), status.alias("status"), "payment_method",
+        from_micros(F.col("created_at")).alias("created_at"),
+        from_micros(F.col("updated_at")).alias("updated_at"),
+        F.lit(RELATIONAL_SYSTEM).alias("source_system"),
+        _now(run_ts).alias("migrated_at"),
+        F.col("lsn").cast("string").alias("cdc_lsn"),
+    )
+
+
+def shape_order_items(flat: DataFrame, run_ts: Column | None = None) -> DataFrame:
+    """Flat item changes as rows of the order item target."""
+    return flat.filter(F.col("item_id").isNotNull()).select(
+        "item_id", "order_id", "product_name", "quantity", F.col("price").cast(MONEY).alias("price"),
+        from_micros(F.col("created_at")).alias("created_at"),
+        F.lit(RELATIONAL_SYSTEM).alias("source_system"),
+        _now(run_ts).alias("migrated_at"),
+        F.col("lsn").cast("string").alias("cdc_lsn"),
+    )
+
+
 def shape_events(flat: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Flat event documents as rows of the event target; the details travel as JSON."""
     return flat.filter(F.col("operation").isin("r", "c")).select(
@@ -141,18 +168,24 @@ def live(state: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TargetTable:
-    """A keyed table under `path`: a base, and in `delta` the batches since.
+    """A keyed table under `path`: a base in buckets of keys, and in `delta` the batches since.
 
-    `base/v=<n>` is complete once Spark has marked it so, and `folded/v=<n>` names the batches
-    it contains, so a failed compaction leaves no trace. A repeated batch overwrites its own
+    The base is a `BucketTable`: `compact` rewrites only buckets that a batch has touched and then publishes a manifest,
+    which also names the batches the base contains. So a failed compaction leaves no trace. A repeated batch overwrites its own
     folder. Batches are named by stream and number: a stream that starts over under another
-    name never collides with the batches of its predecessor.
+    name never collides with the batches of its predecessor. `buckets` counts for a new table only; choose it so
+    that a bucket fits a task.
     """
 
     spark: SparkSession
     path: str
     keys: tuple[str, ...]
     order: tuple[str, ...] = ORDER
+    buckets: int = 16
+
+    @property
+    def base(self) -> BucketTable:
+        return BucketTable(self.spark, f"{self.path}/base", tuple(self.keys), self.buckets)
 
     def apply_batch(self, changes: DataFrame, batch_id: int, stream: str = "batch") -> None:
         """Record a batch, reduced to one row per key.
@@ -160,70 +193,84 @@ class TargetTable:
         A number that the base already contains is recorded anew: applying the same changes
         again alters nothing, and other changes under a used number are not lost.
         """
-        _, version = self._base()
+        manifest = self.base.manifest()
         name = f"{stream}-{batch_id}"
-        if name in self._folded(version):
-            name += f"-v{version}"
-        latest_per_key(changes, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}/delta/{name}")
+        if name in _folded(manifest):
+            name += f"-v{manifest.version}"
+        newest = self.base.with_bucket(latest_per_key(changes, self.keys, self.order), manifest)
+        newest.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/delta/batch={name}")
 
     def state(self) -> DataFrame | None:
         """Newest row per key, deletes included; None before the first batch."""
-        base, version = self._base()
-        pending = self._pending(version)
-        if not pending:
-            return base
-        # Batches may differ in columns, since a source gains some over time.
-        deltas = self.spark.read.option("mergeSchema", True).parquet(*[f"{self.path}/delta/{name}" for name in pending])
-        return apply_changes(base, deltas, self.keys, self.order)
+        manifest = self.base.manifest()
+        held = self.base.read(manifest)
+        deltas = self._deltas(self._pending(manifest))
+        if deltas is None:
+            return None if held is None else held.drop(BUCKET)
+        return apply_changes(held, deltas, self.keys, self.order).drop(BUCKET)
 
     def read(self) -> DataFrame | None:
         state = self.state()
         return None if state is None else live(state)
 
     def compact(self, forget_before: int | None = None) -> None:
-        """Fold all batches so far into a new base. Older files stay for readers that still use them.
+        """Fold all batches so far into the base. Only buckets with changes are read and written; files of others stay.
 
-        Marks of keys deleted before `forget_before` (by the first order column) are dropped: give it where no
-        older change can arrive any more. Names of batches that `expire` has removed are dropped too.
+        Marks of keys deleted before `forget_before` (by the first order column) are dropped in these buckets: give it where no
+        older change can arrive any more. Replaced files stay for readers that still use them; names of batches
+        that `expire` has removed are dropped.
         """
-        _, version = self._base()
-        pending = self._pending(version)
-        if not pending:
+        manifest = self.base.manifest()
+        pending = self._pending(manifest)
+        deltas = self._deltas(pending)
+        if deltas is None:
             return
-        there = set(completed(self.spark, f"{self.path}/delta"))
-        names = "\n".join(sorted({*pending, *(self._folded(version) & there)}))
-        listed = self.spark.range(1).select(F.explode(F.split(F.lit(names), "\n")).alias("name"))
-        listed.write.mode("overwrite").parquet(f"{self.path}/folded/v={version + 1}")
-        state = self.state()
+        there = set(self._recorded())
+        notes = {"folded": sorted({*pending, *(_folded(manifest) & there)})}
+        touched = self._touched(pending)
+        state = apply_changes(self.base.read(manifest, touched), deltas, self.keys, self.order)
         if forget_before is not None:
             forgotten = (F.col("operation") == DELETE) & (F.col(self.order[0]) < forget_before)
             state = state.filter(~F.coalesce(forgotten, F.lit(False)))
-        state.write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}")
+        self.base.replace(state, touched, manifest, notes)
 
     def expire(self) -> None:
-        """Delete what the current base has replaced: older bases and the batches folded into it.
+        """Delete what the current base has replaced: older versions of buckets and the batches folded into it.
 
         Readers that began before the last `compact` must have finished.
         """
-        _, version = self._base()
-        old = [f"base/{n}" for n in completed(self.spark, f"{self.path}/base") if n != f"v={version}"]
-        old += [f"folded/{n}" for n in completed(self.spark, f"{self.path}/folded") if int(n[2:]) < version]
-        old += [f"delta/{n}" for n in self._folded(version)]
-        for name in old:
-            remove(self.spark, f"{self.path}/{name}")
-
-    def _base(self) -> tuple[DataFrame | None, int]:
-        versions = [int(n.split("=")[1]) for n in completed(self.spark, f"{self.path}/base")]
-        if not versions:
-            return None, 0
-        return self.spark.read.parquet(f"{self.path}/base/v={max(versions)}"), max(versions)
-
-    def _folded(self, version: int) -> set[str]:
-        # One short name per batch.
-        return {r[0] for r in self.spark.read.parquet(f"{self.path}/folded/v={version}").collect()} if version else set()
-
-    def _pending(self, version: int) -> list[str]:
-        return sorted(completed(self.spark, f"{self.path}/delta", skip=self._folded(version)))
+        for name in _folded(self.base.manifest()):
+            remove(self.spark, f"{self.path}/delta/batch={name}")
+        self.base.expire()
+
+    def _deltas(self, names: list[str]) -> DataFrame | None:
+        folders = [f"{self.path}/delta/batch={n}" for n in names if self._touched([n])]
+        if not folders:
+            return None
+        # Batches may differ in columns, since a source gains some over time.
+        found = self.spark.read.option("mergeSchema", True).option("basePath", f"{self.path}/delta").parquet(*folders)
+        return found.drop("batch").withColumn(BUCKET, F.col(BUCKET).cast("int"))
+
+    def _touched(self, names: list[str]) -> list[int]:
+        """Buckets that the batches have rows of, by the names of their folders."""
+        found = set()
+        for name in names:
+            fs, folder = _located(self.spark, f"{self.path}/delta/batch={name}/{BUCKET}=*")
+            found |= {int(s.getPath().getName().split("=")[1]) for s in fs.globStatus(folder) or ()}
+        return sorted(found)
+
+    def _pending(self, manifest: Manifest) -> list[str]:
+        return sorted(set(self._recorded(_folded(manifest))))
+
+    def _recorded(self, skip: Collection[str] = ()) -> list[str]:
+        prefix = "batch="
+        found = completed(self.spark, f"{self.path}/delta", skip={f"{prefix}{n}" for n in skip})
+        return [n.removeprefix(prefix) for n in found]
+
+
+def _folded(manifest: Manifest) -> set[str]:
+    # One short name per batch.
+    return set(manifest.notes.get("folded", ()))
 
 
 # Which target each source feeds.

@@ -30,12 +30,24 @@ def checksum(df: DataFrame, columns: Sequence[str | Column], by: Sequence[str] =
     Give columns of a type both systems write alike; money as whole cents, times as micros.
     The sum is exact, as text because it exceeds a long.
     """
-    digest = row_digest([F.col(c) if isinstance(c, str) else c for c in columns])
-    # Three sums of 20-bit parts stay longs, and cheap, for eight trillion rows.
-    parts = {f"_p{i}": F.shiftright(digest, 20 * i).bitwiseAND(F.lit((1 << 20) - 1)) for i in range(3)}
+    parts = digest_parts(df, columns)
     sums = df.groupBy(*by).agg(F.count("*").alias("row_count"), *[F.coalesce(F.sum(p), F.lit(0)).alias(n) for n, p in parts.items()])
+    return whole_checksum(sums, list(parts), by)
+
+
+def digest_parts(df: DataFrame, columns: Sequence[str | Column]) -> dict[str, Column]:
+    """The row digest in three parts of 20 bits: their sums stay longs, and cheap, for eight trillion rows."""
+    columns = [F.col(c) if isinstance(c, str) else c for c in columns]
+    kinds = [f.dataType for f in df.select(*[c.alias(f"_{i}") for i, c in enumerate(columns)]).schema.fields]
+    digest = row_digest(columns, kinds)
+    return {f"_p{i}": F.shiftright(digest, 20 * i).bitwiseAND(F.lit((1 << 20) - 1)) for i in range(3)}
+
+
+def whole_checksum(sums: DataFrame, parts: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Row count and checksum from the sums of `digest_parts`."""
+    high, *rest = reversed(parts)
     whole = reduce(
-        lambda total, n: total * F.lit(1 << 20).cast("decimal(8,0)") + F.col(n), ["_p1", "_p0"], F.col("_p2").cast("decimal(20,0)")
+        lambda total, n: total * F.lit(1 << 20).cast("decimal(8,0)") + F.col(n), rest, F.col(high).cast("decimal(20,0)")
     )
     return sums.select(*by, "row_count", whole.cast("decimal(38,0)").cast("string").alias("checksum"))
 

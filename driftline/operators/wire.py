@@ -110,7 +110,8 @@ def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
         scale = max(t.scale for t in exact)
         digits = max(t.precision - t.scale for t in exact) + scale
         return T.DecimalType(digits, scale) if digits <= 38 else T.StringType()
-    if all(isinstance(t, T.NumericType) for t in (a, b)):
+    # A double holds whole numbers of 32 bits, but not every long, and no decimal's digits.
+    if all(isinstance(t, (*_INTEGRAL[:3], T.FloatType, T.DoubleType)) for t in (a, b)):
         return T.DoubleType()
     if {type(a), type(b)} == {T.DateType, T.TimestampType}:
         return T.TimestampType()

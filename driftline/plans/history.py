@@ -12,6 +12,7 @@ from driftline.operators.relations import running_adjustments
 from driftline.plans import given
 from driftline.plans.given import CHANGES_SQL, SCD2_SQL
 from driftline.plans.registry import Catalog
+from driftline.session import shared_dir
 
 CATALOG = Catalog()
 KEYS = ["customer_id"]
@@ -45,6 +46,16 @@ def scd2_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.refresh_scd2(h.scd2(earlier, KEYS), changes, batch, KEYS)
 
 
+@CATALOG.add("t2_splice_late", f"WITH {SCD2_SQL} SELECT * FROM scd2")
+def spliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored history into which two thirds of the changes come late, between those it holds, one batch of them twice."""
+    table = h.HistoryTable(spark, shared_dir(spark, "history"), tuple(KEYS))
+    changes = given.history_input(spark, sf_dir)
+    for part in (1, 0, 2, 0):
+        table.apply_batch(changes.filter(F.pmod("offset", F.lit(3)) == part))
+    return table.read()
+
+
 @CATALOG.add("t3_versions_of_key", f"WITH {SCD2_SQL} SELECT * FROM scd2 WHERE customer_id = 7")
 def versions_of_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.versions_of(documented(spark, sf_dir), "customer_id", 7)
@@ -61,6 +72,18 @@ def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.state_as_of(documented(spark, sf_dir), "2024-01-15 00:00:00")
 
 
+@CATALOG.add("t4_as_of_join", f"""WITH {SCD2_SQL}, asked AS (SELECT "offset", customer_id, kafka_timestamp - INTERVAL 36 HOUR AS asked_at FROM changes),
+  newest AS (SELECT * FROM scd2 QUALIFY row_number() OVER (PARTITION BY customer_id, valid_from ORDER BY version DESC) = 1)
+SELECT a."offset", a.customer_id, CASE WHEN v.valid_to IS NULL OR v.valid_to > a.asked_at THEN v.event_type END AS event_type,
+  CASE WHEN v.valid_to IS NULL OR v.valid_to > a.asked_at THEN v.version END AS version
+FROM asked a ASOF LEFT JOIN newest v ON a.customer_id = v.customer_id AND a.asked_at >= v.valid_from""")
+def as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every change the version of its customer that was in force a day and a half before."""
+    asked = given.changes(spark, sf_dir).select("offset", "customer_id", (F.col("kafka_timestamp") - F.expr("INTERVAL 36 HOURS")).alias("asked_at"))
+    found = h.as_of_join(asked, documented(spark, sf_dir), KEYS, "asked_at")
+    return found.select("offset", "customer_id", F.col("in_force.event_type").alias("event_type"), F.col("in_force.version").alias("version"))
+
+
 @CATALOG.add("t5_keys_with_history", f"""WITH {SCD2_SQL}
 SELECT customer_id, count(*) AS version_count FROM scd2 GROUP BY customer_id HAVING count(*) > 1""")
 def keys_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.operators import envelope as env
 from driftline.operators import targets
-from driftline.operators.bronze import batch_log, read_bronze, stamp, write_batch
+from driftline.operators.bronze import batch_log, read_batch_log, read_bronze, stamp, write_batch
 from driftline.operators.history import as_of_batch, read_history, scd2, write_history
 from driftline.plans import given
 from driftline.plans.given import CHANGES_SQL
@@ -51,7 +51,45 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add("u7_batch_log", f"""WITH {CHANGES_SQL}, b AS (SELECT {_BATCH} AS batch_id, max(kafka_timestamp) AS committed_at, count(*) AS rows_added FROM changes GROUP BY ALL)
 SELECT batch_id, committed_at, 'append' AS operation, rows_added, CAST(sum(rows_added) OVER (ORDER BY batch_id) AS BIGINT) AS total_rows FROM b""")
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_log(stored_bronze(spark, sf_dir))
+    return batch_log(stored_bronze(spark, sf_dir)).drop("stream")
+
+
+# Two streams that number their batches alike: of the even partitions by third of the month, of the odd ones by half.
+_STREAM = "CASE WHEN \"partition\" % 2 = 0 THEN 'even' ELSE 'odd' END"
+_STREAM_BATCH = f"CAST(CASE WHEN \"partition\" % 2 = 0 THEN {_BATCH} ELSE least((day(kafka_timestamp) - 1) // 15, 1) END AS BIGINT)"
+_TWO_STREAMS_SQL = f"""b AS (SELECT {_STREAM} AS stream, {_STREAM_BATCH} AS batch_id, max(kafka_timestamp) AS committed_at, count(*) AS rows_added FROM changes GROUP BY ALL),
+  log AS (SELECT stream, batch_id, committed_at, 'append' AS operation, rows_added,
+    CAST(sum(rows_added) OVER (ORDER BY committed_at, stream, batch_id) AS BIGINT) AS total_rows FROM b)"""
+
+
+def _two_streams(spark: SparkSession, sf_dir: str) -> str:
+    """The change log ingested by two streams, batches of one written again later."""
+    path = shared_dir(spark, "bronze")
+    changes = stamp(given.changes(spark, sf_dir), run_ts=F.col("kafka_timestamp"))
+    even = F.pmod("partition", F.lit(2)) == 0
+    half = F.least(F.floor((F.dayofmonth("kafka_timestamp") - 1) / 15), F.lit(1))
+    for stream, part, batch, number in (("even", even, _third(), (0, 1, 2, 1)), ("odd", ~even, half, (0, 1))):
+        for batch_id in number:
+            write_batch(changes.filter(part & (batch == batch_id)), path, batch_id, stream=stream)
+    return path
+
+
+@CATALOG.add("u7_two_streams", f"""WITH {CHANGES_SQL}, {_TWO_STREAMS_SQL} SELECT * FROM log""")
+def batches_of_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch log as ingest wrote it, read without the audit table."""
+    return read_batch_log(spark, _two_streams(spark, sf_dir))
+
+
+@CATALOG.add("t7_two_streams", f"""WITH {CHANGES_SQL}, {_TWO_STREAMS_SQL}, by_then AS (
+    SELECT b.stream, b.batch_id FROM log b, log m WHERE m.stream = 'odd' AND m.batch_id = 0
+      AND (b.committed_at, b.stream, b.batch_id) <= (m.committed_at, m.stream, m.batch_id))
+SELECT c."partition", CAST(CAST(kafka_timestamp AS DATE) AS VARCHAR) AS event_date, count(*) AS n FROM changes c
+JOIN by_then t ON {_STREAM} = t.stream AND {_STREAM_BATCH} = t.batch_id GROUP BY ALL""")
+def table_as_of_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit table as it stood when one stream's first batch was committed, with what the other had by then."""
+    path = _two_streams(spark, sf_dir)
+    then = as_of_batch(read_bronze(spark, path), 0, "odd", read_batch_log(spark, path))
+    return then.groupBy("partition", F.col("event_date").cast("string").alias("event_date")).agg(F.count("*").alias("n"))
 
 
 @CATALOG.add("t7_as_of_batch", f"""WITH {CHANGES_SQL}, seen AS (SELECT * FROM changes WHERE {_BATCH} <= 1), s AS (

@@ -19,6 +19,8 @@ from driftline.sources.kafka import stream_landing
 from driftline.streaming.apply import target_writer
 from driftline.streaming.ingest import bronze_writer, dedupe_within, run_available
 from driftline.streaming.monitor import lag_windows
+from driftline.streaming.readiness import readiness
+from driftline.streaming.references import orphan_stream
 
 CATALOG = Catalog()
 MICRO_BATCHES = 4
@@ -116,3 +118,50 @@ def quiet_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = _monitored(spark, sf_dir).select(F.lit("all").alias("source"), second.alias("second"), F.lit(0).alias("tie"), "max_lag")
     stretches = quiet_stretches(windows, ["source"], "second", "tie", F.col("max_lag"))
     return stretches.filter(F.col("quiet_seconds") >= 60).select("quiet_from", "quiet_to", "samples")
+
+
+HOLD_SECONDS = 3600
+
+
+@CATALOG.add("x3_ready_stream", f"""WITH s AS (SELECT 's' || user_id % 4 AS source, floor(epoch(ts))::BIGINT AS second, max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS lag
+    FROM events WHERE epoch(ts) < (SELECT floor(max(epoch(ts))) FROM events) GROUP BY ALL),
+  n AS (SELECT *, sum(lag) OVER (PARTITION BY source ORDER BY second ROWS UNBOUNDED PRECEDING) AS stretch FROM s),
+  z AS (SELECT *, min(second) FILTER (lag = 0) OVER (PARTITION BY source, stretch) AS zero_since, max(second) OVER (PARTITION BY source) AS last_second FROM n),
+  r AS (SELECT source, stretch, zero_since, min(second) AS ready_at FROM z WHERE lag = 0 AND second - zero_since >= {HOLD_SECONDS} GROUP BY ALL)
+SELECT source, 'ready' AS event, ready_at AS at, zero_since FROM r
+UNION ALL SELECT r.source, 'lost', n.second, r.zero_since FROM r JOIN n ON r.source = n.source AND n.stretch = r.stretch + 1 AND n.lag = 1""")
+def ready_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a running stream tells of four sources' readiness, from samples landing in three parts; the last second is still open."""
+    landing, out = shared_dir(spark, "samples"), shared_dir(spark, "ready")
+    at = F.col("ts").cast("timestamp")
+    samples = given.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("s"), F.pmod("user_id", F.lit(4))).alias("source"), at.alias("sampled_at"), F.when(F.col("event_type") == "error", 1).otherwise(0).alias("lag")
+    )
+    # One file each, in the order of time: no sample comes later than the stream's delay.
+    for part in range(3):
+        third = F.least(F.floor((F.dayofmonth("sampled_at") - 1) / 10), F.lit(2))
+        samples.filter(third == part).coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    told = readiness(stream, "source", "sampled_at", F.col("lag"), HOLD_SECONDS, delay="0 seconds")
+    run_available(told.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_dir(spark, "checkpoint")))
+    return spark.read.schema(told.schema).parquet(out)
+
+
+@CATALOG.add("x_orphans_stream", """WITH children AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), parents AS (SELECT user_id, ts FROM events WHERE event_type = 'signup'),
+  ends AS (SELECT least((SELECT max(ts) FROM children), (SELECT max(ts) FROM parents)) AS passed)
+SELECT event_id, user_id FROM children c WHERE ts + INTERVAL 1 HOUR < date_trunc('millisecond', (SELECT passed FROM ends))
+  AND NOT EXISTS (SELECT 1 FROM parents p WHERE p.user_id = c.user_id AND p.ts >= c.ts - INTERVAL 2 DAY AND p.ts <= c.ts + INTERVAL 1 HOUR)""")
+def orphans_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases without a signup of the same user in the two days before or the hour after, told once that hour has passed in both streams."""
+    events = given.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    sides = {}
+    for kind in ("purchase", "signup"):
+        landing = shared_dir(spark, kind)
+        for part in range(3):
+            third = F.least(F.floor((F.dayofmonth("at") - 1) / 10), F.lit(2))
+            events.filter((F.col("event_type") == kind) & (third == part)).coalesce(1).write.mode("append").parquet(landing)
+        sides[kind] = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing).drop("event_type")
+    told = orphan_stream(sides["purchase"], "user_id", "at", sides["signup"], "user_id", "at", "1 hour", "2 days", "0 seconds")
+    out = shared_dir(spark, "orphans")
+    run_available(told.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_dir(spark, "checkpoint")))
+    return spark.read.schema(told.schema).parquet(out).select("event_id", "user_id")

@@ -59,6 +59,13 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return size if size < (1 << 63) - 1 else None
 
 
+def is_plain_read(df: DataFrame) -> bool:
+    """Whether the frame is a read of files with projections and filters only, so that evaluating it again costs little more than reading."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {m[1] for line in plan.splitlines() if (m := re.match(r"[\s:+\-|]*([A-Z]\w*)", line))}
+    return nodes <= {"Project", "Filter", "Relation", "Union"}
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written to a shared folder and read back: computed once, and of known size."""
     path = shared_dir(df.sparkSession, purpose)

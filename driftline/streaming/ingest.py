@@ -8,9 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from driftline.operators.bronze import unseen, write_batch
-
-IDENTITY = ("topic", "partition", "offset")
+from driftline.operators.bronze import IDENTITY, unseen, write_batch
 
 
 def run_available(writer: DataStreamWriter) -> None:
@@ -48,7 +46,7 @@ def bronze_writer(
     def store(batch: DataFrame, batch_id: int) -> None:
         changes = to_changes(batch)
         if exact:
-            changes = unseen(changes, path, batch_id, stream=stream)
+            changes = unseen(changes, path, batch_id, stream=stream, records=batch)
         write_batch(changes, path, batch_id, rebalance, stream)
 
     return records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

@@ -8,6 +8,7 @@ import __spark_entry__ as entry_module
 from oracle import compare, database
 
 SF = "/root/testdata/sf0.001"
+EMPTY_HERE = {"q2_unique_kept", "q2_violations_kept"}
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +27,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     problems = compare(entry_module.queries()[name](spark, SF), con, entry_module.oracle_sql()[name])
-    assert [p for p in problems if not p.startswith("no rows")] == []
+    # Only where the smallest tables hold nothing to find may a result be empty.
+    assert [p for p in problems if not (p.startswith("no rows") and name in EMPTY_HERE)] == []
 
 
 def test_entry(spark):

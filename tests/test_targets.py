@@ -49,7 +49,7 @@ def test_target_table(spark, tmp_path):
     assert names(table.state()) == {1: "b"}
     table.compact()
     table.compact()
-    assert names(table.state()) == {1: "b"} and table._pending(1) == []
+    assert names(table.state()) == {1: "b"} and table._pending(table.base.manifest()) == []
     # A repeated batch and a late change after folding, then a stream that starts over.
     table.apply_batch(rows(spark, (2, None, "d", 5, 4)), 1, "s1")
     table.apply_batch(rows(spark, (2, "late", "u", 3, 5)), 2, "s1")
@@ -59,7 +59,9 @@ def test_target_table(spark, tmp_path):
     assert names(table.read()) == {1: "b", 3: "other"}
     table.expire()
     assert names(table.read()) == {1: "b", 3: "other"}
-    assert sorted(p.name for p in (tmp_path / "target" / "base").iterdir()) == ["v=2"]
+    held = {f"v={v}" for v in table.base.manifest().versions.values()}
+    assert {p.name for p in (tmp_path / "target" / "base" / "data").iterdir()} == held
+    assert [p.name for p in (tmp_path / "target" / "base" / "manifest").iterdir() if not p.name.startswith(".")] == ["v=2.json"]
     assert list((tmp_path / "target" / "delta").iterdir()) == []
     table.apply_batch(rows(spark, (3, None, "d", 9, 9)), 1, "s2")
     assert names(table.read()) == {1: "b"}
@@ -69,6 +71,38 @@ def test_target_table(spark, tmp_path):
     assert names(table.read()) == {1: "b", 8: "h"}
 
 
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    table = t.TargetTable(spark, str(tmp_path / "target"), ("id",), buckets=8)
+    table.apply_batch(rows(spark, *[(i, f"n{i}", "c", 1, i) for i in range(200)]), 0)
+    table.compact()
+
+    def files():
+        return {str(p.relative_to(tmp_path)): p.stat().st_mtime_ns for p in (tmp_path / "target" / "base" / "data").rglob("*.parquet")}
+
+    before, first = files(), table.base.manifest()
+    assert set(first.versions) == set(range(8)) and set(first.versions.values()) == {1}
+    table.apply_batch(rows(spark, (3, "changed", "u", 2, 300)), 1)
+    table.compact()
+    second = table.base.manifest()
+    [touched] = [k for k, v in second.versions.items() if v == 2]
+    assert {k: v for k, v in second.versions.items() if k != touched} == {k: 1 for k in range(8) if k != touched}
+    after = files()
+    assert all(after[f] == at for f, at in before.items()) and all(f"v=2/_bucket={touched}/" in f for f in set(after) - set(before))
+    # A reader that began before sees the old rows, and the new table only what its manifest names.
+    assert table.base.read(first).filter("id = 3").first()["name"] == "n3"
+    assert names(table.read()) == {i: f"n{i}" for i in range(200)} | {3: "changed"}
+    table.expire()
+    kept = files()
+    assert names(table.read())[3] == "changed" and not any(f"v=1/_bucket={touched}/" in f for f in kept) and len(kept) < len(after)
+    # A bucket whose last row goes is no longer named; an unfinished write is not seen.
+    gone = [r["id"] for r in table.base.read(second, [touched]).select("id").collect()]
+    table.apply_batch(rows(spark, *[(i, None, "d", 5, 500) for i in gone]), 2)
+    table.compact(forget_before=100)
+    assert touched not in table.base.manifest().versions and len(names(table.read())) == 200 - len(gone)
+    (tmp_path / "target" / "base" / "manifest" / "v=9.json.draft").write_text("{")
+    assert len(names(table.read())) == 200 - len(gone)
+
+
 def test_columns_that_come_later_are_kept(spark, tmp_path):
     table = t.TargetTable(spark, str(tmp_path / "target"), ("id",))
     table.apply_batch(rows(spark, (1, "a", "c", 1, 1), (2, "b", "c", 1, 2)), 0)
@@ -91,7 +125,7 @@ def test_names_and_deleted_keys_are_forgotten(spark, tmp_path):
         table.apply_batch(rows(spark, (n, "a", "c", n, n), (10 + n, None, "d", n, n)), n)
         table.compact(forget_before=1)
         table.expire()
-    assert table._folded(3) == {"batch-2"}
+    assert table.base.manifest().notes == {"folded": ["batch-2"]}
     assert {r["id"] for r in table.state().collect()} == {0, 1, 2, 11, 12}
 
 
@@ -157,7 +191,7 @@ def test_bronze_batches(spark, tmp_path):
     write_batch(changes.filter("offset >= 4"), path, 1)
     bronze = read_bronze(spark, path)
     assert bronze.count() == 9
-    log = [tuple(r)[2:] for r in batch_log(bronze).orderBy("batch_id").collect()]
+    log = [tuple(r) for r in batch_log(bronze).orderBy("batch_id").select("operation", "rows_added", "total_rows").collect()]
     assert log == [("append", 4, 4), ("append", 5, 9)]
     assert unseen(changes.unionByName(changes), path, 0).count() == 4
     assert unseen(changes, path, 7).count() == 0
