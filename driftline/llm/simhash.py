@@ -10,6 +10,7 @@ from itertools import accumulate, combinations, product
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ JUDGED_WORDS = 5
 PARITIES = 512
 # Texts of a bucket that are compared at once.
 BUCKET = 256
-# Further links that a round may try between two roots, times those of the round before.
-MORE_LINKS = 8
+# Links that the first round may try for each text, and how many times more each further round.
+FIRST_LINKS, MORE_LINKS = 4, 8
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
 
@@ -168,12 +169,11 @@ class Anchors:
         return np.concatenate(rows), np.concatenate(found)
 
 
-def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, occupied: bytes | None = None, keep: Sequence[str] = ("root",)) -> DataFrame:
-    """Rows `anchor`, `k`, `fp` and the columns of `keep`; with `occupied` (a bitmap by anchor index), only at anchors set there.
+def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, taken: Broadcast | None = None, keep: Sequence[str] = ("root",)) -> DataFrame:
+    """Rows `anchor`, `k`, `fp` and the columns of `keep`; with `taken` (a bitmap by anchor index), only at anchors set there.
 
     Fingerprints of different `k` never meet: their anchors are numbered apart.
     """
-    taken = None if occupied is None else fps.sparkSession.sparkContext.broadcast(occupied)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = anchors.tables(threshold)
@@ -207,15 +207,19 @@ def _occupied(homes: DataFrame, index_bits: int) -> bytes:
     return bytes(bitmap)
 
 
-def _meeting(fps: DataFrame, threshold: int, anchors: Anchors | None = None, keep: Sequence[str] = ("root",)) -> tuple[DataFrame, DataFrame]:
-    """The fingerprints at their homes and their copies, see `near_pairs`."""
+def _meeting(
+    fps: DataFrame, threshold: int, anchors: Anchors | None = None, keep: Sequence[str] = ("root",), held: list[Broadcast] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints at their homes and their copies, see `near_pairs`. The bitmap they need is added to `held`, to be let go after use."""
     if anchors is None:
         # Past about 2^26 fingerprints, homes get crowded: a third part gives 2^35 anchors.
         anchors = Anchors((GOLAY, GOLAY) if fps.count() < 1 << 26 else (GOLAY, GOLAY, HAMMING))
     homes = _at_anchors(fps, anchors, 0, keep=keep)
     bits = anchors.index_bits + (SEARCHES - 1).bit_length()
-    bitmap = _occupied(homes, bits) if bits <= 27 else None
-    return homes, _at_anchors(fps, anchors, threshold, bitmap, keep)
+    taken = fps.sparkSession.sparkContext.broadcast(_occupied(homes, bits)) if bits <= 27 else None
+    if held is not None and taken is not None:
+        held.append(taken)
+    return homes, _at_anchors(fps, anchors, threshold, taken, keep)
 
 
 def near_pairs(fps: DataFrame, threshold: int = 2, anchors: Anchors | None = None) -> DataFrame:
@@ -397,8 +401,11 @@ def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     return stored(judged.unionByName(near.filter("NOT near").select("a", "b", F.lit(False).alias("alike"))), "verified")
 
 
-def _forest(edges: np.ndarray, tried: int) -> list[int]:
-    """Positions of the edges (pairs of roots) that join something new, and of `tried` further ones for each pair of roots."""
+def _forest(edges: np.ndarray, likely: np.ndarray, most: int) -> tuple[list[int], bool]:
+    """Positions of the edges (pairs of roots) to try, and whether that is all that may be needed.
+
+    Of the likely edges those are tried that join something new. Of the others all are that join what those leave apart, `most` of them.
+    """
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -407,22 +414,31 @@ def _forest(edges: np.ndarray, tried: int) -> list[int]:
             x = parent[x]
         return x
 
-    kept, seen = [], Counter()
-    for i, (a, b) in enumerate(edges.tolist()):
-        one, other = root(a), root(b)
-        parent[one] = other
-        pair = (min(a, b), max(a, b))
-        if one != other or seen[pair] < tried:
+    kept = []
+    for i in np.flatnonzero(likely).tolist():
+        one, other = root(int(edges[i, 0])), root(int(edges[i, 1]))
+        if one != other:
+            parent[one] = other
             kept.append(i)
-        seen[pair] += 1
-    return kept
+    apart = [i for i in np.flatnonzero(~likely).tolist() if root(int(edges[i, 0])) != root(int(edges[i, 1]))]
+    return kept + apart[:most], len(apart) <= most
+
 
+def _likely(apart: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether texts that differ in so many parities are to be expected to differ in few enough shingles, of `sizes` together.
+
+    That many shingles at random differ in PARITIES / 2 * (1 - (1 - 2 / PARITIES) ** shingles) parities.
+    """
+    odd = np.minimum(apart / (PARITIES / 2), 1 - 1e-9)
+    return 9 * np.log1p(-odd) / np.log1p(-2 / PARITIES) <= sizes + 27
 
-def _links_to_try(buckets: DataFrame, threshold: int, tried: int) -> DataFrame:
-    """Of each row's members `one` and `other`, links `a`, `b` that join their roots, as few as that takes.
+
+def _links_to_try(buckets: DataFrame, threshold: int, most: int) -> DataFrame:
+    """Of each row's members `one` and `other`, links `a`, `b` that may join their roots, whether they are `likely`; a link of -1 for `more`.
 
     Members are compared if their fingerprints are near; they may be similar if they differ in few enough parities and in size,
-    which loses no similar pair. Links in `rejected`, found not to be similar before, are left out.
+    which loses no similar pair. If there are more of these than members, `_forest` chooses among them, `most` unlikely ones for each
+    member; where there are more, a row of -1 says so. A link chosen in two ways counts as likely where either does. Links in `rejected`, found not to be similar before, are left out.
     """
 
     def columns(structs: pa.StructArray) -> dict[str, np.ndarray]:
@@ -433,26 +449,52 @@ def _links_to_try(buckets: DataFrame, threshold: int, tried: int) -> DataFrame:
             one, other = batch.column("one"), batch.column("other")
             starts = [c.offsets.to_numpy() for c in (one, other)]
             held = [columns(c.values) for c in (one, other)]
-            found = []
+            found = [np.zeros((0, 3), np.int64)]
             for r in range(batch.num_rows):
                 x, y = ({f: v[s[r] : s[r + 1]] for f, v in h.items()} for h, s in zip(held, starts, strict=True))
                 meet = (x["root"][:, None] != y["root"]) & (np.bitwise_count((x["fp"][:, None] ^ y["fp"]).view(np.uint64)) <= threshold)
                 meet &= (5 * x["n"][:, None] >= 4 * y["n"]) & (4 * x["n"][:, None] <= 5 * y["n"])
                 i, j = np.nonzero(meet)
                 apart = sum(np.bitwise_count((x[p][i] ^ y[p][j]).view(np.uint64)).astype(np.int64) for p in _PARITY)
-                near = 9 * apart <= x["n"][i] + y["n"][j]
-                i, j = i[near], j[near]
+                sizes = x["n"][i] + y["n"][j]
+                near = 9 * apart <= sizes
+                i, j, likely = i[near], j[near], _likely(apart[near], sizes[near])
                 if len(i) and (refused := batch.column("rejected")[r].as_py()):
                     pairs = {(p["a"], p["b"]) for p in refused}
                     a, b = np.minimum(x["mark"][i], y["mark"][j]), np.maximum(x["mark"][i], y["mark"][j])
                     fresh = np.array([p not in pairs for p in zip(a.tolist(), b.tolist(), strict=True)], bool)
-                    i, j = i[fresh], j[fresh]
-                keep = _forest(np.column_stack([x["root"][i], y["root"][j]]), tried)
-                found.append(np.column_stack([x["mark"][i[keep]], y["mark"][j[keep]]]))
-            links = np.sort(np.concatenate(found or [np.zeros((0, 2), np.int64)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(links[:, k])) for k in (0, 1)], names=["a", "b"])
-
-    return buckets.select("one", "other", "rejected").mapInArrow(work, "a long, b long").distinct()
+                    i, j, likely = i[fresh], j[fresh], likely[fresh]
+                if not len(i):
+                    continue
+                members = len(x["mark"]) + len(y["mark"])
+                if len(i) <= members:
+                    # So few are all tried, and none needs another in its place.
+                    keep, whole, likely = np.arange(len(i)), True, np.zeros(len(i), bool)
+                else:
+                    keep, whole = _forest(np.column_stack([x["root"][i], y["root"][j]]), likely, most * members)
+                ends = np.sort(np.column_stack([x["mark"][i[keep]], y["mark"][j[keep]]]), axis=1)
+                found.append(np.column_stack([ends, likely[keep]]))
+                if not whole:
+                    found.append(np.array([[-1, -1, 0]]))
+            links = np.concatenate(found)
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(np.ascontiguousarray(links[:, k])) for k in (0, 1)], pa.array(links[:, 2].astype(bool))], names=["a", "b", "likely"]
+            )
+
+    found = buckets.select("one", "other", "rejected").mapInArrow(work, "a long, b long, likely boolean")
+    return found.groupBy("a", "b").agg(F.max("likely").alias("likely"))
+
+
+def _few_for_each(tried: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """Of the links to try those that are among the first `most` of either end, and whether these are all.
+
+    A text of a dense group comes up in many buckets; this bounds what is tried by the number of texts.
+    """
+    ways = tried.filter("a >= 0").select("a", "b", "likely", F.explode(F.array("a", "b")).alias("end"))
+    nth = F.row_number().over(Window.partitionBy("end").orderBy(F.xxhash64("a", "b"), "a", "b"))
+    kept = ways.withColumn("nth", nth).filter(F.col("nth") <= most).select("a", "b", "likely").distinct()
+    kept = stored(kept, "tries")
+    return kept, kept.count() == tried.filter("a >= 0").count()
 
 
 def _buckets(homes: DataFrame, copies: DataFrame, rejected: DataFrame, within: bool) -> tuple[DataFrame, bool]:
@@ -487,9 +529,10 @@ def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> Data
 
     Candidates agree in a search fingerprint up to `threshold` bits, found at anchors; whether they are similar is told
     by `verified`, so no link is an estimate. First, each text is tried with one text of its every fingerprint. Then candidates of
-    different roots are compared bucket by bucket, at first within parts of large buckets, and only links that join
-    something new are tried, so their number grows with the texts, not with the pairs. A link that is found not
-    to be similar is not tried again, and others take its place, more of them each round, until none is left.
+    different roots are compared bucket by bucket, at first within parts of large buckets. Of the links that are likely to hold only those that
+    join something new are tried, so their number grows with the texts, not with the pairs; of the unlikely ones that may yet
+    hold, so many for each text. A link that is found not to be similar is not tried again, and others take its place, more of them
+    each round, until none is left.
     """
     each = texts.select("mark", F.posexplode(F.array(*_SEARCH)).alias("k", "fp"))
     # The same text comes first in all buckets that have it and no other with a smaller hash.
@@ -500,34 +543,44 @@ def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> Data
     judged = verified(tries, texts, docs)
     links, rejected = judged.filter("alike").select("a", "b"), judged.filter("NOT alike").select("a", "b")
 
-    within, tried = True, 0
+    within, most, among = True, FIRST_LINKS, texts
     while True:
+        held: list[Broadcast] = []
         links = stored(links, "links")
         roots = stored(components(links), "roots")
-        rooted = texts.join(roots.withColumnRenamed("node", "mark"), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
+        rooted = among.join(roots.withColumnRenamed("node", "mark"), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
         spread = rooted.select("mark", "root", F.posexplode(F.array(*_SEARCH)).alias("k", "fp"))
         # Fingerprints with the root that all their texts have; null if they have several.
         nodes = spread.groupBy("k", "fp").agg(F.min("root").alias("least"), F.max("root").alias("most"))
         nodes = stored(nodes.select("k", "fp", F.when(F.col("least") == F.col("most"), F.col("least")).alias("root")), "nodes")
-        homes, copies = _meeting(nodes, threshold)
+        homes, copies = _meeting(nodes, threshold, held=held)
         one, other = homes.withColumnsRenamed({"fp": "a", "root": "root_a"}), copies.select("anchor", F.col("fp").alias("b"), F.col("root").alias("root_b"))
         near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
         meets = (one["anchor"] == other["anchor"]) & (F.col("a") != F.col("b")) & near & F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True))
         open_ones = one.join(other, meets, "left_semi").select("k", F.col("a").alias("fp")).unionByName(nodes.filter("root IS NULL").select("k", "fp"))
         open_ones = stored(open_ones.distinct(), "open")
-        if open_ones.isEmpty():
-            return links
         members = rooted.select("mark", "root", "n", *_PARITY, F.posexplode(F.array(*_SEARCH)).alias("k", "fp")).join(open_ones, ["k", "fp"])
-        homes, copies = _meeting(stored(members, "members"), threshold, keep=["mark", "root", "n", *_PARITY])
+        members = stored(members, "members")
+        homes, copies = _meeting(members, threshold, keep=["mark", "root", "n", *_PARITY], held=held)
         buckets, everything = _buckets(homes, copies, rejected, within)
-        judged = verified(stored(_links_to_try(buckets, threshold, tried), "tries"), texts, docs)
-        links = links.unionByName(judged.filter("alike").select("a", "b"))
-        false = judged.filter("NOT alike").select("a", "b")
-        # All candidates lie within what the tried links join, so if these hold nothing is left between different roots.
-        if everything and false.isEmpty():
+        tried = stored(_links_to_try(buckets, threshold, most), "tries")
+        for bitmap in held:
+            bitmap.unpersist()
+        tries, all_of_them = _few_for_each(tried, most)
+        everything = everything and all_of_them
+        if not tries.isEmpty():
+            judged = verified(tries.select("a", "b"), texts, docs)
+            links = links.unionByName(judged.filter("alike").select("a", "b"))
+            false = stored(judged.filter("NOT alike").select("a", "b"), "false")
+            rejected = stored(rejected.unionByName(false).distinct(), "rejected")
+            # Other links may have to take the place of likely ones that do not hold.
+            everything = everything and false.join(tries.filter("likely"), ["a", "b"], "left_semi").isEmpty()
+        # All other candidates lie within what the tried links join.
+        if everything and tried.filter("a < 0").isEmpty():
             return links
-        rejected = stored(rejected.unionByName(false).distinct(), "rejected")
-        within, tried = False, max(1, tried * MORE_LINKS) if everything else 0
+        # Texts without an open fingerprint have nothing left to meet.
+        among = stored(among.join(members.select("mark").distinct(), "mark", "left_semi"), "among")
+        within, most = False, most if within else most * MORE_LINKS
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: int = 2) -> DataFrame:
