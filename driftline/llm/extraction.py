@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,12 @@ INLINE = frozenset(
 FRAME = frozenset("nav header footer aside menu".split())
 ARTICLE = frozenset("article main".split())
 # Self-closing by the next of their kind.
-LOOSE = frozenset("p li dt dd tr td th option".split())
+LOOSE = frozenset("li dt dd tr td th option".split())
+# A paragraph ends where one of these begins.
+ENDS_PARAGRAPH = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main "
+    "menu nav ol p pre search section summary table ul".split()
+)
 # Names that tell a side matter, and those that tell it only if nothing in the name says content.
 HINT = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|newsletter|subscri\w*|popup|modal|related|recommend\w*|"
@@ -30,13 +37,17 @@ HINT = re.compile(
 WEAK_HINT = re.compile(
     r"(?:^|[\s_-])(?:banner|notice|alert|sidebar|side|widget|rail|share|social|menu|nav\w*|header|footer|masthead|copyright|search|tags?)(?=$|[\s_-])", re.I
 )
+# Names that tell side matter within a line.
+LINE_HINT = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*)(?=$|[\s_-])", re.I)
 CONTENT = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text|page)(?=$|[\s_-])", re.I)
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<rest>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S,
 )
 MARKS = re.compile(r"(?:\b(?:class|id|role|aria-label)\s*=\s*)(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# A slash that ends an unquoted value does not close the element.
+CLOSED = re.compile(r"(?:^|[\s\"'])/\s*\Z")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 
 
@@ -51,8 +62,16 @@ class Block:
     heading: bool
 
 
+# How much is left out: nothing; a form, but for an article in it; everything.
+KEPT, FORM, LEFT_OUT = 0, 1, 2
+
+
+def _names(rest: str) -> list[str]:
+    return [a or b or c for a, b, c in MARKS.findall(rest)]
+
+
 def _hinted(rest: str) -> bool:
-    names = [a or b or c for a, b, c in MARKS.findall(rest)]
+    names = _names(rest)
     return any(HINT.search(n) or WEAK_HINT.search(n) and not CONTENT.search(n) for n in names)
 
 
@@ -71,14 +90,17 @@ def _hidden(rest: str) -> bool:
 def blocks_of(page: str | None) -> list[Block]:
     """The flat text blocks of a page, in order. What stands in skipped or hidden elements is left out."""
     found: list[Block] = []
-    # Open elements: name, and whether from here on it is article, frame, hinted, skipped.
-    stack: list[tuple[str, bool, bool, bool, bool]] = []
+    # Open elements: name, and whether from here on it is article, frame, hinted, and what is left out.
+    stack: list[tuple[str, bool, bool, bool, int]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     links: list[str] = []
     in_link, heading = 0, False
+    # An element within a line that is left out: its name, how many of the name are open, and how deep it stands.
+    muted: tuple[str, int, int] | None = None
 
-    def state() -> tuple[bool, bool, bool, bool]:
-        return stack[-1][1:] if stack else (False, False, False, False)
+    def state() -> tuple[bool, bool, bool, int]:
+        return stack[-1][1:] if stack else (False, False, False, KEPT)
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
@@ -88,13 +110,18 @@ def blocks_of(page: str | None) -> list[Block]:
         parts.clear()
         links.clear()
 
+    def close() -> str:
+        name = stack.pop()[0]
+        opened[name] -= 1
+        return name
+
     page = page or ""
     at = 0
     while at < len(page):
         token = TOKEN.match(page, at)
         at = token.end()
         if token["text"] is not None:
-            if not state()[3]:
+            if state()[3] == KEPT and muted is None:
                 text = html.unescape(token["text"])
                 parts.append(text)
                 if in_link:
@@ -107,13 +134,17 @@ def blocks_of(page: str | None) -> list[Block]:
             if name == "a":
                 in_link = 0
             if name in INLINE:
+                if muted and name == muted[0]:
+                    muted = (name, muted[1] - 1, muted[2]) if muted[1] > 1 else None
                 continue
             flush()
             if len(name) == 2 and name[0] == "h" and name[1] in "123456":
                 heading = False
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
+            if opened[name]:
+                while close() != name:
                     pass
+            if muted and len(stack) < muted[2]:
+                muted = None
             continue
         if name in ("script", "style", "textarea", "title"):
             # Their content is not markup.
@@ -126,21 +157,34 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if name in INLINE:
             in_link = 1 if name == "a" else in_link
+            if muted:
+                muted = (muted[0], muted[1] + (name == muted[0]), muted[2])
+            elif name not in VOID and not CLOSED.search(rest) and (_hidden(rest) or any(LINE_HINT.search(n) for n in _names(rest))):
+                muted = (name, 1, len(stack))
             continue
         flush()
-        if name in LOOSE and stack and stack[-1][0] == name:
-            stack.pop()
-        if name in VOID or rest.rstrip().endswith("/"):
+        if stack and (stack[-1][0] == name and name in LOOSE or stack[-1][0] == "p" and name in ENDS_PARAGRAPH):
+            close()
+            if muted and len(stack) < muted[2]:
+                muted = None
+        if name in VOID or CLOSED.search(rest):
             continue
         if len(name) == 2 and name[0] == "h" and name[1] in "123456":
             heading, in_link = True, 0
-        article, frame, hinted, skipped = state()
+        article, frame, hinted, left_out = state()
         outer = frame or hinted
         # A header within an article is the article's own, but for what it links to.
         frame = frame or (name in FRAME and not (article and name == "header"))
-        hinted = hinted or (name not in ("html", "body") and _hinted(rest))
-        skipped = skipped or name in SKIPPED or _hidden(rest)
-        stack.append((name, article or (name in ARTICLE and not outer), frame, hinted, skipped))
+        # What an article is called does not make it a side matter, unless it stands in another.
+        own_name = name in ("html", "body") or name in ARTICLE and not article
+        hinted = hinted or (not own_name and _hinted(rest))
+        if left_out == FORM and name in ARTICLE:
+            # A form around the whole page.
+            left_out = KEPT
+        if name in SKIPPED or _hidden(rest):
+            left_out = max(left_out, FORM if name == "form" and not _hidden(rest) else LEFT_OUT)
+        stack.append((name, article or (name in ARTICLE and not outer), frame, hinted, left_out))
+        opened[name] += 1
     flush()
     return found
 
@@ -187,7 +231,27 @@ LABELLED = (
 )
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, least: int = 2, depth: int = 8) -> tuple:
+def _systematic() -> Iterator[tuple]:
+    """Further labelled blocks, one for each combination of a few values, labelled by where they stand.
+
+    In an article all are text, paragraphs that are links as well as headings, whatever stands beside them, but for short links among
+    short links, which lead elsewhere. In a frame, or under a name that tells side matter, none is. Elsewhere paragraphs of some
+    length are, headings before them, and what stands between them.
+    """
+    beside = ((0, 0.0), (1, 1.0), (5, 1.0), (3, 0.0), (9, 0.5), (30, 0.0), (45, 0.9))
+    for words, density, before, after, heading in product((1, 3, 7, 14, 40, 200), (0.0, 0.3, 0.7, 1.0), beside, beside, (0, 1)):
+        near = (before, after)
+        in_list = words < 9 and density == 1.0 and any(n == 1.0 and w for w, n in near) and all(n == 1.0 or not w for w, n in near)
+        among = [w >= 10 and n < 0.5 for w, n in near]
+        alone = density < 0.5 and (words >= 10 or words > 2 and (all(among) or heading and among[1]))
+        block = (words, density, *before, *after)
+        yield *block, 1, 0, 0, heading, int(not in_list)
+        yield *block, 0, 0, 0, heading, int(alone)
+        for article, frame, hinted in ((1, 1, 0), (1, 0, 1), (0, 1, 0), (0, 0, 1)):
+            yield *block, article, frame, hinted, heading, 0
+
+
+def grow(rows: np.ndarray, labels: np.ndarray, least: int = 2, depth: int = 12) -> tuple:
     """A decision tree by Gini impurity: (feature, threshold, below, above), or (share of text,) as a leaf."""
     share = float(labels.mean())
     if share in (0.0, 1.0) or depth == 0 or len(labels) < 2 * least:
@@ -210,7 +274,7 @@ def grow(rows: np.ndarray, labels: np.ndarray, least: int = 2, depth: int = 8) -
 
 
 def trained(labelled: tuple = LABELLED) -> tuple:
-    table = np.array(labelled, float)
+    table = np.array([*labelled, *_systematic()], float)
     return grow(table[:, :-1], table[:, -1])
 
 
@@ -230,7 +294,7 @@ def extract(pages: DataFrame, html_col: str = "html", *, labelled: tuple = LABEL
 
     A page is cut into flat blocks at block elements. Each block is described by its number of words and link
     density, those of the blocks before and after it, and where it stands; a decision tree trained on
-    `labelled` keeps or drops it. Kept blocks are joined in page order by an empty line. Character references
+    `labelled` and `_systematic` keeps or drops it. Kept blocks are joined in page order by an empty line. Character references
     are decoded and white space within a block becomes one space. Null, empty and text-free
     pages give an empty text; broken markup is read as far as it goes. Pages are whole, one at a time.
     """

@@ -426,3 +426,40 @@ def test_long_items_and_repeated_shingles(spark, size):
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
     assert set(got) == set(expected) and all(got[k] >= v - 1e-9 for k, v in expected.items())
     assert {(0, 0), (1, 0), (2, 1), (3, 1), (5, 0)} <= set(got)
+
+
+TEXT = "This is a paragraph of some length that a reader of the page would like to see in the end."
+
+
+@pytest.mark.parametrize("page, expected", [
+    (f"<form id=aspnetForm><p>Your name</p><article><p>{TEXT}</p></article><input></form>", [TEXT]),
+    (f"<article><p>{TEXT}</p><form><p>{TEXT}</p></form></article>", [TEXT]),
+    (f'<article class="subscription-economics"><p>{TEXT}</p></article>', [TEXT]),
+    (f'<article class="post related"><p>{TEXT}</p><article class="related"><p>{TEXT}</p></article></article>', [TEXT]),
+    (f"<article><p>{TEXT}<p class=ad>Buy<h2>Real heading</h2><p>{TEXT}</article>", [TEXT, "Real heading", TEXT]),
+    (f"<article><p title=it's>{TEXT}</p><p>{TEXT}</p><p title=it's>{TEXT}</p></article>", [TEXT] * 3),
+    (f"<article><p title='a > b' data-x = \"c > d\">{TEXT}</p></article>", [TEXT]),
+    (f"<article><p>{TEXT}</p><p><a href=x>{TEXT}</a></p><p>{TEXT}</p><p>Look <a href=x>{TEXT}</a> there</p><p>{TEXT}</p></article>", [TEXT, TEXT, TEXT, f"Look {TEXT} there", TEXT]),
+    (f"<article><p>{TEXT} <span hidden>no <span>no</span></span><i style='display:none'>no</i><span class=ad>no</span>yes</p></article>", [f"{TEXT} yes"]),
+    (f"<article><p>{TEXT} <span hidden>no</p><p>{TEXT}</p></article>", [TEXT, TEXT]),
+    (f"<article data-url=/a/b/><p>{TEXT}</p></article><aside/><article><p>{TEXT}</p></article>", [TEXT, TEXT]),
+])
+def test_pages_that_lost_or_kept_wrongly(page, expected):
+    assert extraction.main_text(page, extraction.trained()) == "\n\n".join(expected)
+
+
+def test_unclosed_elements_cost_little():
+    import time
+
+    begun = time.process_time()
+    extraction.main_text("<div>" * 100_000 + "</p>" * 100_000, extraction.trained())
+    assert time.process_time() - begun < 5
+
+
+def test_pages_against_their_article_element(spark):
+    """The given pages, against a plain reading: the paragraphs and headings of the article, without what stands in side matter."""
+    from driftline.llm.common import read
+
+    pages = read(spark, "/root/testdata/sf0.01", "pages")
+    texts = [r["text"] for r in extraction.extract(pages).collect()]
+    assert len(texts) == pages.count() and sum(bool(t) for t in texts) > 0.9 * len(texts)
