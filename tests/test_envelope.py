@@ -67,11 +67,20 @@ def test_widened_fields_are_decoded(spark):
     raw = records(spark, frame(21, b'{"op": "c", "after": {"a": 1, "b": 1.25, "c": 7}}'), frame(22, b'{"op": "c", "after": {"a": 5000000000, "b": 0.1, "c": "x"}}'))
     for decoders in ({21: old, 22: new}, {21: new, 22: old}):
         decoded = wire.decode_frames(wire.split_frames(raw), {i: wire.json_decoder(s) for i, s in decoders.items()})
-        assert [f.dataType for f in decoded.schema["cdc_event"].dataType["after"].dataType] == [LONG, T.DoubleType(), TEXT]
+        assert [f.dataType for f in decoded.schema["cdc_event"].dataType["after"].dataType] == [LONG, TEXT, TEXT]
         assert decoded.count() == 2
     decoded = wire.decode_frames(wire.split_frames(raw), {21: wire.json_decoder(old), 22: wire.json_decoder(new)})
     got = {r["schema_id"]: tuple(r["cdc_event"]["after"]) for r in decoded.collect()}
-    assert got == {21: (1, 1.25, "7"), 22: (5000000000, 0.1, "x")}
+    assert got == {21: (1, "1.25", "7"), 22: (5000000000, "0.1", "x")}
+
+
+def test_no_digit_is_lost_between_unlike_numbers():
+    kinds = {
+        (LONG, T.DoubleType()): TEXT, (T.DecimalType(10, 2), T.DoubleType()): TEXT, (LONG, T.FloatType()): TEXT, (INT, T.DoubleType()): T.DoubleType(),
+        (T.FloatType(), T.DoubleType()): T.DoubleType(), (INT, LONG): LONG, (LONG, T.DecimalType(10, 2)): T.DecimalType(21, 2), (T.DecimalType(38, 0), T.DecimalType(10, 2)): TEXT,
+    }
+    for (a, b), wider in kinds.items():
+        assert wire._wider(a, b) == wire._wider(b, a) == wider
 
 
 def test_records_are_parsed_once(spark):
