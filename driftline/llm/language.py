@@ -122,9 +122,11 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     """The input's other columns, with `lang_pred` and `score` in place of the text.
 
     The language whose prototype has the largest cosine with the document's vector; the score is that language's
-    share among the cosines' sharpened exponentials. Without a letter, or with nothing learned: `und`, 0.
+    share among the cosines' sharpened exponentials. Without a letter, or with nothing learned: `und`, 0. Null and empty texts have
+    no letter; very long texts are read whole; repeated rows have equal results. Input columns of the two names are replaced. An
+    empty table gives no rows.
     """
-    others = [c for c in docs.columns if c != text_col]
+    others = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
     schema = docs.select(*others, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     names = sorted(prototypes)
     matrix = np.array([prototypes[n] for n in names]).reshape(-1, SIZE)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import pkgutil
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -83,60 +84,86 @@ def bigrams(text: str | None) -> list[tuple[str, str]]:
 class Matcher:
     def __init__(self, templates: Mapping[str, str], least: float) -> None:
         self.least = least
-        self.templates = {name: Counter(bigrams(t)) for name, t in templates.items()}
-        self.sizes = {name: c.total() for name, c in self.templates.items()}
-        self.of = defaultdict(list)
-        for name, counts in self.templates.items():
-            for pair in counts:
-                self.of[pair].append(name)
+        counts = {name: Counter(bigrams(t)) for name, t in sorted(templates.items())}
+        self.names, self.sizes = list(counts), [c.total() for c in counts.values()]
+        self.index = {pair: i for i, pair in enumerate(dict.fromkeys(p for c in counts.values() for p in c))}
+        # How often each template has each pair.
+        self.often = np.zeros((len(counts), len(self.index) + 1), np.int32)
+        for t, c in enumerate(counts.values()):
+            for pair, n in c.items():
+                self.often[t, self.index[pair]] = n
+
+    def _common(self, at: np.ndarray, ids: np.ndarray, often: np.ndarray, size: int) -> np.ndarray:
+        """What a window beginning at each of the places shares with a template, pairs counting as often as both have them.
+
+        A pair at a place counts in the windows that hold it and begin after the `often`-th such pair before it: one is added where
+        these beginnings start and taken away where they end.
+        """
+        order = np.lexsort((at, ids))
+        places, own = at[order], ids[order]
+        first = np.searchsorted(own, own)
+        nth = np.arange(len(own))
+        back = nth - often[own]
+        before = np.where(back >= first, places[np.maximum(back, 0)], -1)
+        begin = np.maximum(before, places - size) + 1
+        # Windows begin at places alone, so their numbers stand for the words.
+        change = np.bincount(np.searchsorted(at, begin), minlength=len(at) + 1) - np.bincount(np.searchsorted(at, places, "right"), minlength=len(at) + 1)
+        return np.cumsum(change)[:-1]
 
     def __call__(self, text: str | None) -> list[tuple[str, int, float]]:
         """For each template found: its name, the word at which its best window begins, the coefficient."""
         pairs = bigrams(text)
-        hits = defaultdict(list)
-        for i, pair in enumerate(pairs):
-            for name in self.of.get(pair, ()):
-                hits[name].append(i)
+        ids = np.fromiter((self.index.get(p, -1) for p in pairs), np.int64, len(pairs))
+        places = np.flatnonzero(ids >= 0)
+        ids = ids[places]
         windows = []
-        for name, at in sorted(hits.items()):
-            size, counts = self.sizes[name], self.templates[name]
+        for t, (name, size) in enumerate(zip(self.names, self.sizes, strict=True)):
             # Sizes that differ more than this cannot reach the coefficient, nor can so few common pairs.
             shortest = size * self.least / (2 - self.least)
-            if len(pairs) < shortest or len(at) < self.least * (size + shortest) / 2:
+            least_pairs = self.least * (size + shortest) / 2
+            if len(pairs) < shortest or len(places) < least_pairs:
                 continue
-            own, common, to = Counter(), 0, 0
-            for nth, begin in enumerate(at):
-                if nth:
-                    gone = pairs[at[nth - 1]]
-                    common -= own[gone] <= counts[gone]
-                    own[gone] -= 1
-                end = min(begin + size, len(pairs))
-                while to < len(at) and at[to] < end:
-                    own[pairs[at[to]]] += 1
-                    common += own[pairs[at[to]]] <= counts[pairs[at[to]]]
-                    to += 1
-                dice = 2 * common / (size + end - begin)
-                if dice >= self.least:
-                    windows.append((-dice, -size, begin, at[to - 1] + 1, name))
+            often = self.often[t]
+            held = often[ids] > 0
+            at = places[held]
+            if len(at) < least_pairs:
+                continue
+            common = self._common(at, ids[held], often, size)
+            ends = np.minimum(at + size, len(pairs))
+            dice = 2 * common / (size + ends - at)
+            last = at[np.searchsorted(at, ends) - 1] + 1
+            windows += [(-float(dice[i]), -size, int(at[i]), int(last[i]), name) for i in np.flatnonzero(dice >= self.least)]
         # The best windows first: what they claim is no other template's.
-        found, claimed = {}, set()
+        found, claimed = {}, np.zeros(len(pairs), bool)
         for dice, _, begin, end, name in sorted(windows):
-            held = range(begin, end)
-            if 2 * sum(i in claimed for i in held) <= len(held):
-                claimed.update(held)
+            if 2 * int(np.count_nonzero(claimed[begin:end])) <= end - begin:
+                claimed[begin:end] = True
                 found.setdefault(name, (name, begin, -dice))
         return [found[name] for name in sorted(found)]
 
 
+# Templates of whole texts are named by their version's first number.
+_SAME = {"GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0", "BSD": "BSD-3-Clause"}
+
+
+def licence_of(template: str) -> str:
+    """The licence that a template tells: a notice, header or short form names the same one as the whole text. A header without a version
+    names a licence without one."""
+    name = re.sub(r"-(?:text|header|notice|short|grant|licensed)$", "", template)
+    return _SAME.get(name, name)
+
+
 def find_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """One row per document and licence template found in it: `doc_id`, `licence`, `at_word`, `dice`.
+    """One row per document and licence template found in it: `doc_id`, `licence` (the template's name), `names` (the licence it tells),
+    `at_word`, `dice`.
 
     Text and templates are compared as bags of pairs of neighbouring words, in lower case and without punctuation.
     A window of the text is as long as the template (or what is left of the text) and begins with one of the
     template's pairs; a template matches if its best window has a Dice coefficient of `least` or more. A passage belongs to
     the template of the highest coefficient, the longer of equals: windows that lie in it by more than half are not counted for others.
     Templates too long for the text, or with too few of their pairs in it, are passed over.
-    Null and empty texts match nothing. The templates are small and go to every task.
+    Null and empty texts match nothing, very long ones are read whole, and repeated rows give repeated results; other columns are
+    not looked at. Work grows with the text and the pairs it shares, not with the templates' sizes. The templates are small and go to every task.
     """
     id_type = dict(docs.dtypes)[id_col]
     settings = dict(templates)
@@ -147,7 +174,8 @@ def find_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             found = [(i, m) for i, text in enumerate(batch.column(text_col)) for m in match(text.as_py())]
             yield pa.RecordBatch.from_arrays([
                 batch.column(id_col).take(pa.array([i for i, _ in found], pa.int64())), pa.array([m[0] for _, m in found], pa.string()),
-                pa.array([m[1] for _, m in found], pa.int32()), pa.array([m[2] for _, m in found], pa.float64()),
-            ], names=["doc_id", "licence", "at_word", "dice"])
+                pa.array([licence_of(m[0]) for _, m in found], pa.string()), pa.array([m[1] for _, m in found], pa.int32()),
+                pa.array([m[2] for _, m in found], pa.float64()),
+            ], names=["doc_id", "licence", "names", "at_word", "dice"])
 
-    return docs.select(id_col, text_col).mapInArrow(work, f"doc_id {id_type}, licence string, at_word int, dice double")
+    return docs.select(id_col, text_col).mapInArrow(work, f"doc_id {id_type}, licence string, names string, at_word int, dice double")

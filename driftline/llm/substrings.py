@@ -330,7 +330,8 @@ def remove_repeats(
     size = 1 << (BLOCK_BITS - 3)
     for r in stored(sketch(docs, text_col, window, cell_bits), "sketch").toLocalIterator():
         merged[r["block"] * size : (r["block"] + 1) * size] = r["bits"]
-    buckets = max(64, min(1 << 14, volume // (6 * WORDS_PER_BUCKET)))
+    # As many as the input needs, so that a bucket's hashes fit a task at any size.
+    buckets = max(64, int(volume // (6 * WORDS_PER_BUCKET)))
     looked = stored(_suspects(docs, id_col, text_col, window, cell_bits, bytes(merged), buckets), "suspects")
     untouched = looked.filter("digest IS NOT NULL").select("id", "n_words", F.lit(0).cast("long").alias("n_removed"), "digest")
     bits = stored(_repeated_bits(looked.filter("bucket IS NOT NULL").select("chunk", "bucket", "hashes")), "repeated")

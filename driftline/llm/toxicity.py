@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -11,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.llm.common import identity, text_or_empty
+from driftline.session import stored
+
 # General words of four languages by their part in a clause.
 INSULTS = "idiot moron fool scum loser trash stupid pathetic worthless disgusting dumm trottel abschaum wertlos stupide crétin ordure pathétique estúpido basura escoria patético".split()
 THREATS = "kill hurt destroy beat shoot töten schlagen zerstören tuer frapper détruire matar golpear destruir".split()
@@ -21,7 +24,8 @@ REPORTS = "said says called wrote claims quoted sagte nannte schrieb behauptet d
 CLAUSE = re.compile(r"[.!?;:\n]+")
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 STEM = range(3, 9)
-REACH = 3  # words that a negation reaches
+# Words that a negation, a target and a verb of saying reach.
+REACH, AIM, REPORTED = 3, 8, 8
 PATTERNS = ("insult", "insult_target", "threat", "threat_target", "negated", "reported")
 HOSTILE = PATTERNS[:4]
 FEATURES = len(PATTERNS) + 2
@@ -30,7 +34,7 @@ CACHED = 200_000
 
 @dataclass
 class Lexicon:
-    """The first transducer: words to symbols with weights.
+    """What feeds the machines: words to symbols with weights.
 
     `words` are whole words and `stems` beginnings of words, both of lower-case letters.
     """
@@ -50,31 +54,84 @@ class Lexicon:
         return ("insult", best) if best else None
 
 
+SYMBOLS = ("other", "insult", "threat", "target", "negation", "report")
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """States and symbols to the next state and what is put out, as a table. State `start` is where a clause begins."""
+
+    start: object
+    table: dict[tuple[object, str], tuple[object, object]]
+
+    @staticmethod
+    def of(start: object, step: Callable[[object, str], tuple[object, object]]) -> Transducer:
+        """The table of all states that are reached from the start."""
+        table, todo = {}, [start]
+        while todo:
+            state = todo.pop()
+            for symbol in SYMBOLS:
+                if (state, symbol) not in table:
+                    table[state, symbol] = step(state, symbol)
+                    todo.append(table[state, symbol][0])
+        return Transducer(start, table)
+
+
+def compose(*machines: Transducer) -> Transducer:
+    """One machine that runs them side by side: its state and output are those of all, and only states that are reached are kept."""
+
+    def step(state: tuple, symbol: str) -> tuple[tuple, tuple]:
+        taken = [m.table[s, symbol] for m, s in zip(machines, state, strict=True)]
+        return tuple(t[0] for t in taken), tuple(t[1] for t in taken)
+
+    return Transducer.of(tuple(m.start for m in machines), step)
+
+
+def telling(symbol: str) -> Transducer:
+    """Puts out whether the word itself is of the kind."""
+    return Transducer.of(0, lambda state, x: (0, x == symbol))
+
+
+def reaching(symbol: str, words: int) -> Transducer:
+    """Puts out whether a word of the kind stands at most so many words before."""
+    return Transducer.of(0, lambda state, x: (words if x == symbol else max(0, state - 1), state > 0))
+
+
+def aiming(words: int) -> Transducer:
+    """Puts out "before" if a target stands at most so many words before, "after" at a target that comes so soon after an insult or threat."""
+
+    def step(state: tuple[int, int], x: str) -> tuple[tuple[int, int], str]:
+        seen, pending = state
+        out = "after" if x == "target" and pending else "before" if seen else ""
+        return (words if x == "target" else max(0, seen - 1), words if x in ("insult", "threat") else max(0, pending - 1) * (x != "target")), out
+
+    return Transducer.of((0, 0), step)
+
+
+# Insult, threat, target, negation and reported speech, in this order.
+CLAUSES = compose(telling("insult"), telling("threat"), aiming(AIM), reaching("negation", REACH), reaching("report", REPORTED))
+
+
 def match_clause(symbols: list[tuple[str, float] | None]) -> list[tuple[str, float]]:
-    """The second transducer: a clause's symbols to the patterns it has, with weights.
+    """A clause's symbols to the patterns it has, with weights, by the composed machine.
 
-    Its state is whether the clause is reported speech, addresses somebody, and how far a negation still
-    reaches. An insult or threat is one match of the pattern that the state makes of it.
+    An insult or threat is one match: of what is reported, else negated, else aimed at somebody, else plain. A plain one becomes
+    aimed when a target follows it soon.
     """
-    targeted = any(s and s[0] == "target" for s in symbols)
-    reported, negated, found = False, 0, []
+    state, found = CLAUSES.start, []
     for symbol in symbols:
-        negated = max(0, negated - 1)
-        if symbol is None:
-            continue
-        kind, weight = symbol
-        if kind == "report":
-            reported = True
-        elif kind == "negation":
-            negated = REACH + 1
-        elif kind in ("insult", "threat"):
-            pattern = "reported" if reported else "negated" if negated else f"{kind}_target" if targeted else kind
+        kind, weight = symbol or ("other", 0.0)
+        state, (insult, threat, aim, negated, reported) = CLAUSES.table[state, kind]
+        if insult or threat:
+            pattern = "reported" if reported else "negated" if negated else f"{kind}_target" if aim else kind
             found.append((pattern, weight))
+        elif aim == "after" and found and found[-1][0] in ("insult", "threat"):
+            found[-1] = (f"{found[-1][0]}_target", found[-1][1])
     return found
 
 
 class Grammar:
-    """Both transducers composed, over whole texts; keeps the readings of words it has seen."""
+    """Words to symbols, and clauses of symbols to patterns, over whole texts; keeps the readings of words it has seen."""
 
     def __init__(self, lexicon: Lexicon) -> None:
         self.lexicon = lexicon
@@ -186,7 +243,7 @@ def _fit(features: np.ndarray, labels: np.ndarray, ridge: float = 0.1) -> tuple[
 
 def _featured(docs: DataFrame, lexicon: Lexicon, text_col: str, model: Model | None = None) -> DataFrame:
     """The text replaced by `features`, or with a model by `score`."""
-    others = [c for c in docs.columns if c != text_col]
+    others = [c for c in docs.columns if c != text_col and (model is None or c != "score")]
     schema = docs.select(*others, *([F.array(F.lit(0.0)).alias("features")] if model is None else [F.lit(0.0).alias("score")])).schema
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,19 +259,19 @@ def _featured(docs: DataFrame, lexicon: Lexicon, text_col: str, model: Model | N
 def learn(labelled: DataFrame, *, most_rows: int = 20_000) -> Model:
     """Learn lexicon and pattern weights from `text`, `toxic` (0 or 1) rows, about `most_rows` of them at most.
 
-    That bound is on labelled rows only, drawn by a hash of the text; equal texts count once. Without both labels
+    That bound is on labelled rows only, drawn by a hash of the text. Equal texts count once, as toxic if at least half of their
+    labels say so, so reruns agree. A null text counts as empty; rows with another label or none are left out. Without both labels
     the general words are used with fixed weights.
     """
-    rows = labelled.filter("toxic IN (0, 1)").withColumn("h", F.xxhash64("text"))
+    h1, h2 = identity("text")
+    rows = labelled.filter("toxic IN (0, 1)").select(text_or_empty().alias("text"), F.col("toxic").cast("int").alias("toxic"), h1.alias("h1"), h2.alias("h2"))
     count = rows.count()
     if count > most_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("h", F.lit("toxicity")), F.lit(1 << 30)) < int((1 << 30) * most_rows / count))
-    rows = rows.dropDuplicates(["h"]).select("text", F.col("toxic").cast("int").alias("toxic")).persist()
-    try:
-        lexicon = learn_lexicon(rows)
-        found = _featured(rows, lexicon, "text").collect()
-    finally:
-        rows.unpersist()
+        rows = rows.filter(F.pmod(F.xxhash64("h1", F.lit("toxicity")), F.lit(1 << 30)) < int((1 << 30) * most_rows / count))
+    merged = rows.groupBy("h1", "h2").agg(F.first("text").alias("text"), (2 * F.sum("toxic") >= F.count(F.lit(1))).cast("int").alias("toxic"))
+    rows = stored(merged.select("text", "toxic"), "labelled")
+    lexicon = learn_lexicon(rows)
+    found = _featured(rows, lexicon, "text").orderBy("toxic", "features").collect()
     labels = np.array([r["toxic"] for r in found], np.float64)
     if len(set(labels)) < 2:
         return Model(lexicon, np.full(FEATURES, 0.5), -1.5)
@@ -223,12 +280,16 @@ def learn(labelled: DataFrame, *, most_rows: int = 20_000) -> Model:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The input's other columns, with `score` (0 to 1) in place of the text. Null and empty texts match nothing."""
+    """The input's other columns, with `score` (0 to 1) in place of the text, and of a column of that name.
+
+    Null and empty texts match nothing; very long texts are read whole, clause by clause; repeated rows have equal scores. An empty
+    table gives no rows.
+    """
     return _featured(docs, model.lexicon, text_col, model)
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The input's rows that score below `least`, unchanged."""
+    """The input's rows that score below `least`, unchanged, whatever their other columns. Repeated rows go or stay together."""
     schema = docs.schema
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -463,3 +463,123 @@ def test_pages_against_their_article_element(spark):
     pages = read(spark, "/root/testdata/sf0.01", "pages")
     texts = [r["text"] for r in extraction.extract(pages).collect()]
     assert len(texts) == pages.count() and sum(bool(t) for t in texts) > 0.9 * len(texts)
+
+
+def plain_licences(text, templates, least):
+    """Every window that begins with a pair of the template, counted by itself; the best claim their words first."""
+    pairs = licences.bigrams(text)
+    windows = []
+    for name, template in templates.items():
+        own = Counter(licences.bigrams(template))
+        size = own.total()
+        if len(pairs) < size * least / (2 - least):
+            continue
+        for begin, pair in enumerate(pairs):
+            if pair in own:
+                window = pairs[begin : begin + size]
+                dice = 2 * (Counter(window) & own).total() / (size + len(window))
+                if dice >= least:
+                    last = max(i for i, p in enumerate(window) if p in own)
+                    windows.append((-dice, -size, begin, begin + last + 1, name))
+    found, claimed = {}, set()
+    for dice, _, begin, end, name in sorted(windows):
+        held = set(range(begin, end))
+        if 2 * len(held & claimed) <= len(held):
+            claimed |= held
+            found.setdefault(name, (name, begin, -dice))
+    return sorted(found.values())
+
+
+def test_licences_against_all_windows():
+    rng = np.random.default_rng(12)
+    short = {n: t for n, t in licences.TEMPLATES.items() if not n.endswith("-text")}
+    whole = licences.TEMPLATES["ISC-text"]
+    match = licences.Matcher({**short, "ISC-text": whole}, 0.8)
+    names = list(short)
+    for seed in range(25):
+        parts = []
+        for _ in range(6):
+            w = short[names[rng.integers(len(names))]].split()
+            if rng.random() < 0.5:
+                w[rng.integers(len(w))] = "changed"
+            parts += words(int(rng.integers(0, 9)), seed) + w * int(rng.integers(1, 3))
+        text = " ".join([*parts, whole if seed % 3 == 0 else "the the the the license the license"])
+        got = [(n, a, pytest.approx(d)) for n, a, d in match(text)]
+        assert got == plain_licences(text, {**short, "ISC-text": whole}, 0.8) and got
+
+
+def test_whole_licences_cost_little_and_name_the_licence(spark):
+    import time
+
+    match, text = licences.Matcher(licences.TEMPLATES, licences.LEAST), licences.TEMPLATES["GPL-3-text"]
+    begun = time.process_time()
+    assert [f[:2] for f in match(" ".join([text] * 8))] == [("GPL-3-text", 0)]
+    assert time.process_time() - begun < 2
+    assert [licences.licence_of(t) for t in ("GPL-3-text", "GPL-3.0", "GPL-header", "CC-BY-4.0-short", "CC-BY-NC-4.0-notice", "MIT")] == [
+        "GPL-3.0", "GPL-3.0", "GPL", "CC-BY-4.0", "CC-BY-NC-4.0", "MIT"
+    ]
+    docs = spark.createDataFrame([(1, text, "x"), (1, text, "y"), (None, "", "z"), (2, None, "z")], "doc_id long, text string, names string")
+    found = licences.find_licences(docs).collect()
+    assert [(r["doc_id"], r["licence"], r["names"]) for r in found] == [(1, "GPL-3-text", "GPL-3.0")] * 2
+    assert licences.find_licences(docs.limit(0)).count() == 0
+
+
+def plain_clause(symbols):
+    """What each insult or threat stands under, looked up by distance."""
+    found = []
+    for i, s in enumerate(symbols):
+        if s is None or s[0] not in ("insult", "threat"):
+            continue
+
+        def near(kind, words, i=i):
+            return any(x and x[0] == kind for x in symbols[max(0, i - words) : i])
+
+        # A target that follows belongs to the last insult or threat before it, if that stands under nothing else.
+        after = next((j for j in range(i + 1, min(len(symbols), i + 1 + toxicity.AIM)) if symbols[j] and symbols[j][0] in ("insult", "threat", "target")), None)
+        follows = after is not None and symbols[after][0] == "target"
+        if near("report", toxicity.REPORTED):
+            pattern = "reported"
+        elif near("negation", toxicity.REACH):
+            pattern = "negated"
+        else:
+            pattern = f"{s[0]}_target" if near("target", toxicity.AIM) or follows else s[0]
+        found.append((pattern, s[1]))
+    return found
+
+
+def test_the_composed_machine_against_distances():
+    rng = np.random.default_rng(3)
+    kinds = [None, None, None, None, ("insult", 1.0), ("threat", 2.0), ("target", 1.0), ("negation", 1.0), ("report", 1.0)]
+    for _ in range(3000):
+        clause = [kinds[k] for k in rng.integers(0, len(kinds), rng.integers(0, 25))]
+        assert toxicity.match_clause(clause) == plain_clause(clause)
+    states = {s for s, _ in toxicity.CLAUSES.table}
+    assert len(toxicity.CLAUSES.table) == len(states) * len(toxicity.SYMBOLS)
+
+
+def test_equal_texts_with_unlike_labels(spark):
+    rows = [("you zork person", 1)] * 3 + [("you zork person", 0)] * 2 + [(f"you zork{i} person here", 1) for i in range(30)] + [(f"fine words {i}", 0) for i in range(60)] + [(None, 0), ("", None), ("x", 7)]
+    docs = spark.createDataFrame(rows, "text string, toxic int")
+    models = [toxicity.learn(docs.repartition(n)) for n in (1, 7)]
+    assert models[0].lexicon == models[1].lexicon and np.allclose(models[0].weights, models[1].weights) and models[0].lexicon.stems
+    assert toxicity.learn(docs.filter("toxic = 7")).bias == -1.5
+    scored = toxicity.score(docs.withColumn("score", F.lit("old")), models[0])
+    assert scored.columns == ["toxic", "score"] and scored.count() == len(rows)
+    assert toxicity.score(docs.limit(0), models[0]).count() == 0
+
+
+def test_predictions_of_nothing(spark):
+    docs = spark.createDataFrame([("la niña corre", "es", "old")], "text string, lang string, lang_pred string")
+    learned = language.learn(docs)
+    assert language.predict(docs.limit(0), learned).count() == 0
+    [row] = language.predict(docs, learned).collect()
+    assert (row["lang_pred"], row["lang"]) == ("es", "es")
+
+
+def test_passages_with_very_many_buckets(spark, docs, monkeypatch):
+    monkeypatch.setattr(substrings, "WORDS_PER_BUCKET", 0.001)
+    untouched, checked = substrings.remove_repeats(docs, window=35)
+    got = {(r["id"], r["n_removed"]) for r in checked.collect()} | {(r["id"], 0) for r in untouched.collect()}
+    monkeypatch.undo()
+    untouched, checked = substrings.remove_repeats(docs, window=35)
+    assert got == {(r["id"], r["n_removed"]) for r in checked.collect()} | {(r["id"], 0) for r in untouched.collect()}
