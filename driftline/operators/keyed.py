@@ -29,8 +29,8 @@ class SkewPolicy:
 
     Inputs below `small_bytes` fit one task whole and are not examined. `sample_rows` rows
     at most reach the driver. A key holding more than one `pieces`-th of the sample
-    is cut so that no piece holds much more than that; `pieces` defaults to the number of
-    shuffle partitions, which is the size a task is meant to have anyway.
+    is cut so that no piece holds much more than that; `pieces` defaults to one for each `small_bytes` of the
+    input, and to the number of shuffle partitions at least.
     """
 
     small_bytes: int = 256 << 20
@@ -50,8 +50,9 @@ class Cuts:
     most: int
 
 
-def _piece_count(df: DataFrame, policy: SkewPolicy) -> int:
-    pieces = policy.pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _piece_count(df: DataFrame, policy: SkewPolicy, size: int | None) -> int:
+    by_size = 0 if size is None or not policy.small_bytes else size // policy.small_bytes
+    pieces = policy.pieces or max(by_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return max(2, min(pieces, policy.max_sample_rows // policy.rows_per_piece))
 
 
@@ -70,7 +71,7 @@ def find_cuts(
     size = estimated_bytes(df)
     if size is not None and size <= policy.small_bytes:
         return None
-    pieces = _piece_count(df, policy)
+    pieces = _piece_count(df, policy, size)
     wanted = pieces * policy.rows_per_piece
     rows = df.select(F.xxhash64(*keys).alias(_HASH), *order)
     likely_rows = rows.count() if size is None else max(1, size // (8 * len(df.columns)))

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftline.functions.canonical import canonical
 from driftline.operators import envelope as env
-from driftline.operators import kept, targets
+from driftline.operators import kept, targets, validate
 from driftline.operators.chunks import merge_chunks, state_of
 from driftline.operators.digest_tree import diff_by_tree
 from driftline.operators.relations import Reference, cascade_graph
@@ -177,3 +178,22 @@ def order_item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = env.flatten_image(env.accepted(env.parse_relational(records, ORDER_ITEM_ROW, ["item_id"])))
     rows = targets.shape_order_items(flat, F.lit("2024-02-01").cast("timestamp"))
     return rows.select("item_id", "order_id", "product_name", "quantity", (F.col("price") * 100).cast("bigint").alias("cents"), "created_at", "cdc_lsn")
+
+
+# A price's digits without needless zeros.
+_PRICE_SQL = r"regexp_replace(printf('%.2f', o_totalprice), '\.?0+$', '')"
+
+
+@CATALOG.add("v2_canonical_types", f"""SELECT count(*) AS source_rows, count(*) AS target_rows, true AS matches,
+  {_digest_sql(f"o_orderkey, {_PRICE_SQL}, epoch_us(o_orderdate), {_text_sql('o_orderpriority')}")} AS checksum FROM orders""")
+def canonical_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as one system types them and as another does: equal digests of the same rows."""
+    orders = given.table(spark, sf_dir, "orders")
+    names = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    one = orders.select("o_orderkey", F.col("o_totalprice").cast("double"), F.col("o_orderdate").cast("timestamp_ntz"), "o_orderpriority")
+    other = orders.select(
+        F.col("o_orderkey").cast("decimal(20,2)"), F.round("o_totalprice", 2).cast("decimal(18,4)").alias("o_totalprice"),
+        F.col("o_orderdate").cast("timestamp"), "o_orderpriority",
+    )
+    compared = validate.compare_checksums(one.select(canonical(one, names)), other.select(canonical(other, names)), names)
+    return compared.select("source_rows", "target_rows", "matches", F.col("source_checksum").alias("checksum"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +48,33 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="driftline-")
-    return f"{root.rstrip('/')}/driftline/{purpose}-{uuid.uuid4().hex}"
+    run = _RUN.get()
+    return f"{root.rstrip('/')}/driftline/{f'{run}/' if run else ''}{purpose}-{uuid.uuid4().hex}"
+
+
+# The run whose scratch tables lie together.
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what is stored within: results must have been written or collected by then.
+
+    Of nested contexts the outermost removes everything. A context that fails removes its tables too.
+    """
+    if _RUN.get():
+        yield
+        return
+    run = f"run-{uuid.uuid4().hex}"
+    token = _RUN.set(run)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if root:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/driftline/{run}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

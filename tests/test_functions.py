@@ -47,3 +47,39 @@ def test_digest_tells_null_from_nothing(spark):
     rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), ("a|b", "c"), ("a", "b|c")]
     df = spark.createDataFrame(rows, "x string, y string").select(fn.row_digest([F.col("x"), F.col("y")]).alias("d"))
     assert len({r["d"] for r in df.collect()}) == len(rows)
+
+
+def test_the_same_rows_typed_two_ways_have_one_digest(spark):
+    from datetime import datetime, timezone
+    from decimal import Decimal
+
+    from pyspark.sql import Row
+
+    from driftline.functions.canonical import canonical
+    from driftline.operators.validate import checksum
+
+    one = spark.createDataFrame(
+        [(1, 1.5, 0.1, datetime(2024, 3, 31, 1, 30, 0, 120000), '{"b": 1.50, "a": [1e2, "1.0, x"], "c": null}', "é", b"\x0a\xff"),
+         (2, -0.0, 3.25, None, None, None, None), (3, 1e10, 100.0, datetime(1969, 12, 31), "not json", "plain", b"")],
+        "id int, price double, ratio float, at timestamp_ntz, doc string, name string, raw binary",
+    )
+    other = spark.createDataFrame(
+        [(Decimal("1.00"), Decimal("1.5000"), 0.1, datetime(2024, 3, 31, 1, 30, 0, 120000, timezone.utc), '{ "a":[100,"1.0, x"],"c":null,"b":1.5}', "é", b"\x0a\xff"),
+         (Decimal("2.00"), Decimal("0.0000"), 3.25, None, None, None, None), (Decimal("3.00"), Decimal("10000000000.0000"), 100.0, datetime(1969, 12, 31, tzinfo=timezone.utc), "not json", "plain", b"")],
+        "id decimal(12,2), price decimal(20,4), ratio double, at timestamp, doc string, name string, raw binary",
+    )
+    names = one.columns
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            sums = [checksum(df, canonical(df, names, json=["doc"], compose=True)).first() for df in (one, other)]
+            assert sums[0] == sums[1] and sums[0]["row_count"] == 3
+        assert checksum(one, canonical(one, names)).first() != checksum(other, canonical(other, names)).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    nested = spark.createDataFrame([Row(d=Row(b=Decimal("1.50"), a=["x"], c=None))], "d struct<b: decimal(5,2), a: array<string>, c: int>")
+    text = spark.createDataFrame([('{"c":null,"a":["x"],"b":1.5}',)], "d string")
+    assert nested.select(canonical(nested, ["d"])).first() == text.select(canonical(text, ["d"], json=["d"])).first()
+    numbers = spark.createDataFrame([(1e300, 1e-7, 0.1 + 0.2, float("nan"), 12345678901234567.0)], "a double, b double, c double, d double, e double")
+    assert tuple(numbers.select(canonical(numbers, numbers.columns)).first()) == ("1.0E300", "0.0000001", "0.30000000000000004", "NaN", "12345678901234568")

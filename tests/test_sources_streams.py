@@ -69,6 +69,25 @@ def test_shared_dir_follows_the_session(spark):
     assert estimated_bytes(spark.range(10)) == 80
 
 
+def test_scratch_goes_with_its_run(spark):
+    from pathlib import Path
+
+    from driftline.session import scratch, stored
+
+    with scratch(spark):
+        kept = shared_dir(spark, "x")
+        rows = stored(spark.range(5), "rows")
+        with scratch(spark):
+            stored(spark.range(2), "inner")
+        assert rows.count() == 5 and len(list(Path(kept).parent.iterdir())) == 2
+    assert not Path(kept).parent.exists()
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        kept = shared_dir(spark, "x")
+        stored(spark.range(1), "rows")
+        1 / 0
+    assert not Path(kept).parent.exists() and "/run-" not in shared_dir(spark, "x")
+
+
 def land(spark, path, *offsets, at=datetime(2024, 1, 1)):
     rows = [(b"k", str(o).encode(), "t", 0, o, at) for o in offsets]
     spark.createDataFrame(rows, KAFKA_RECORD).coalesce(1).write.mode("append").parquet(path)
