@@ -185,7 +185,8 @@ def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, taken: Broadca
                 kinds = batch.column("k").slice(begin, 4096).to_numpy(zero_copy_only=False).astype(np.int64)[rows]
                 index = index | (kinds << anchors.index_bits)
                 if bitmap is not None:
-                    near = (bitmap[index >> 3] >> (index & 7).astype(np.uint8)) & 1 == 1
+                    at = (index ^ (index >> _FOLD)) & (8 * len(bitmap) - 1)
+                    near = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
                     rows, index, kinds = rows[near], index[near], kinds[near]
                 kept = [batch.column(c).slice(begin, 4096).take(pa.array(rows)) for c in keep]
                 columns = [pa.array(index), pa.array(kinds.astype(np.int32)), pa.array(values[rows]), *kept]
@@ -195,29 +196,33 @@ def _at_anchors(fps: DataFrame, anchors: Anchors, threshold: int, taken: Broadca
     return fps.select("k", "fp", *keep).mapInArrow(work, f"anchor long, k int, fp long{kinds}")
 
 
-def _occupied(homes: DataFrame, index_bits: int) -> bytes:
-    """The anchors that are nearest to some fingerprint, as a bitmap: 16 MB for an index of 27 bits."""
-    bitmap = bytearray(max(1 << index_bits >> 3, 4096))
-    maps = homes.groupBy(F.bitmap_bucket_number(F.col("anchor") + 1).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("anchor") + 1)).alias("bits")
-    )
+# Anchors are folded onto the bits of a bitmap, a part that differs in many onto one that does not.
+_FOLD = 11
+
+
+def _occupied(homes: DataFrame, bits: int) -> bytearray:
+    """The anchors that are nearest to some fingerprint, folded onto `bits` bits: 16 MB at most."""
+    bitmap = bytearray(bits >> 3)
+    at = F.col("anchor").bitwiseXOR(F.shiftright("anchor", _FOLD)).bitwiseAND(F.lit(bits - 1)) + 1
+    maps = homes.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     for row in maps.toLocalIterator():
-        at = (row["bucket"] - 1) * 4096
-        bitmap[at : at + 4096] = row["bits"]
-    return bytes(bitmap)
+        begin = (row["bucket"] - 1) * 4096
+        bitmap[begin : begin + 4096] = row["bits"]
+    return bitmap
 
 
 def _meeting(
     fps: DataFrame, threshold: int, anchors: Anchors | None = None, keep: Sequence[str] = ("root",), held: list[Broadcast] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The fingerprints at their homes and their copies, see `near_pairs`. The bitmap they need is added to `held`, to be let go after use."""
+    count = fps.count()
     if anchors is None:
         # Past about 2^26 fingerprints, homes get crowded: a third part gives 2^35 anchors.
-        anchors = Anchors((GOLAY, GOLAY) if fps.count() < 1 << 26 else (GOLAY, GOLAY, HAMMING))
+        anchors = Anchors((GOLAY, GOLAY) if count < 1 << 26 else (GOLAY, GOLAY, HAMMING))
     homes = _at_anchors(fps, anchors, 0, keep=keep)
-    bits = anchors.index_bits + (SEARCHES - 1).bit_length()
-    taken = fps.sparkSession.sparkContext.broadcast(_occupied(homes, bits)) if bits <= 27 else None
-    if held is not None and taken is not None:
+    # With 32 bits for each home, an anchor that is nobody's home is taken for one in 1 of 32 cases, which costs a copy only.
+    taken = fps.sparkSession.sparkContext.broadcast(_occupied(homes, bits_for(count, 32, 1 << 27)))
+    if held is not None:
         held.append(taken)
     return homes, _at_anchors(fps, anchors, threshold, taken, keep)
 
@@ -227,7 +232,7 @@ def near_pairs(fps: DataFrame, threshold: int = 2, anchors: Anchors | None = Non
 
     Each fingerprint is at home at the anchor nearest to it, and copied to every anchor within the covering
     radius plus the threshold. If a and b are near, b is among the copies at a's home. Copies are made
-    only for anchors that are somebody's home, told by a bitmap of 16 MB at most. Pairs that
+    only for anchors that are somebody's home, told by a bitmap of 16 MB at most (past 2^22 homes it fills up, and more copies are made). Pairs that
     are too far apart are dropped within the join; skewed anchors are for adaptive execution to split.
     With a column `root`, pairs of equal roots are left out: they are known to belong together.
     """
@@ -352,7 +357,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     longs = ["n", *_SEARCH, *_PARITY]
     # Features are functions of the text, so any copy's will do.
     merged = _featured(docs).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), *[F.min(c).alias(c) for c in longs])
-    return stored(stored(merged, "texts").withColumn("mark", F.monotonically_increasing_id()), "marked")
+    return stored(merged.withColumn("mark", F.monotonically_increasing_id()), "texts")
 
 
 def _shingled(texts: DataFrame) -> DataFrame:
@@ -389,7 +394,7 @@ def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     held = _with_sides(pairs, texts.select("mark", F.struct("n", *_PARITY).alias("held")))
     size, larger = F.col("x.n") + F.col("y.n"), F.greatest("x.n", "y.n")
     near = stored(held.select("a", "b", ((9 * _apart("x", "y") <= size) & (5 * F.least("x.n", "y.n") >= 4 * larger)).alias("near")), "judged")
-    close = stored(near.filter("near").select("a", "b"), "close")
+    close = near.filter("near").select("a", "b")
     marks = close.select(F.explode(F.array("a", "b")).alias("mark")).distinct()
     wanted = stored(texts.select("mark", "h1", "h2").join(marks, "mark"), "wanted")
     bits = bits_for(wanted.count())
@@ -546,7 +551,6 @@ def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> Data
     within, most, among = True, FIRST_LINKS, texts
     while True:
         held: list[Broadcast] = []
-        links = stored(links, "links")
         roots = stored(components(links), "roots")
         rooted = among.join(roots.withColumnRenamed("node", "mark"), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
         spread = rooted.select("mark", "root", F.posexplode(F.array(*_SEARCH)).alias("k", "fp"))
@@ -565,14 +569,14 @@ def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> Data
         buckets, everything = _buckets(homes, copies, rejected, within)
         tried = stored(_links_to_try(buckets, threshold, most), "tries")
         for bitmap in held:
-            bitmap.unpersist()
+            bitmap.destroy()
         tries, all_of_them = _few_for_each(tried, most)
         everything = everything and all_of_them
         if not tries.isEmpty():
             judged = verified(tries.select("a", "b"), texts, docs)
             links = links.unionByName(judged.filter("alike").select("a", "b"))
-            false = stored(judged.filter("NOT alike").select("a", "b"), "false")
-            rejected = stored(rejected.unionByName(false).distinct(), "rejected")
+            false = judged.filter("NOT alike").select("a", "b")
+            rejected = rejected.unionByName(false)
             # Other links may have to take the place of likely ones that do not hold.
             everything = everything and false.join(tries.filter("likely"), ["a", "b"], "left_semi").isEmpty()
         # All other candidates lie within what the tried links join.
