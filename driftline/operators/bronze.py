@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftline.operators.files import completed, expire_notes, located, newest_note, publish_note, remove, table_exists
+
 
 def stamp(changes: DataFrame, run_ts: Column | None = None, migration_ts: bool = False) -> DataFrame:
     """Add ingestion time, source topic and the day the table is partitioned by.
@@ -44,6 +46,9 @@ def write_batch(changes: DataFrame, path: str, batch_id: int, rebalance: bool =
     `rebalance` evens out files where a batch mixes many days, splitting days that are large.
     """
     spark = changes.sparkSession
+    if batch_id <= compacted_up_to(spark, path).get(stream, -1):
+        # Its files have been put together with others; a batch that is written again is the same.
+        return
     out = changes.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")})
     earlier = _day_folders(spark, path, stream, batch_id)
     if rebalance:
@@ -115,7 +120,7 @@ def _with_totals(per_batch: DataFrame) -> DataFrame:
 
 def _day_folders(spark: SparkSession, path: str, stream: str, batch_id: int) -> set[str]:
     """Names of the day folders that hold the batch."""
-    fs, folder = _located(spark, f"{path}/event_date=*/stream={stream}/batch_id={batch_id}")
+    fs, folder = located(spark, f"{path}/event_date=*/stream={stream}/batch_id={batch_id}")
     return {s.getPath().getParent().getParent().getName() for s in fs.globStatus(folder) or ()}
 
 
@@ -123,42 +128,95 @@ def read_bronze(
     spark: SparkSession, path: str, days: Sequence[date | None] | None = None, columns: T.StructType | None = None,
     with_stream: bool = True,
 ) -> DataFrame | None:
-    """The audit table, or only some days of it, whose folders alone are then listed.
+    """The audit table, or only some days of it, whose folders alone are then listed; batches put together by `compact_batches` included.
 
     Giving the columns spares looking them up in the files. None where there is nothing yet.
     """
-    paths = [path] if days is None else [f"{path}/event_date={NO_DAY if day is None else day}" for day in days]
-    paths = [p for p in paths if table_exists(spark, p)]
-    if not paths:
+    folders = [f"event_date={NO_DAY if day is None else day}" for day in days or ()]
+    paths = [p for p in ([path] if days is None else [f"{path}/{f}" for f in folders]) if table_exists(spark, p)]
+    stored = None
+    if days is not None or _has_days(spark, path):
+        stored = _read_days(spark, path, paths, columns)
+    _, note = newest_note(spark, f"{path}/{COMPACTED}")
+    if note is not None:
+        root = f"{path}/{COMPACTED}/data"
+        wanted = ["event_date=*"] if days is None else folders
+        own = [p for part in note["parts"] for f in wanted if _globbed(spark, p := f"{root}/part={part}/{f}")]
+        if stored is not None:
+            # What lies in both until the old files are removed counts once.
+            for stream, last in note["up_to"].items():
+                stored = stored.filter(~((F.col("stream") == stream) & (F.col("batch_id") <= last)))
+        if own:
+            together = _read_days(spark, root, own, columns, compacted=True)
+            stored = together if stored is None else stored.unionByName(together, allowMissingColumns=True)
+    if stored is None:
         return None
-    reader = spark.read.schema(columns) if columns else spark.read
-    stored = reader.option("basePath", path).parquet(*paths)
-    stored = stored.withColumns({"batch_id": F.col("batch_id").cast("bigint"), "stream": F.col("stream").cast("string")})
     return stored if with_stream else stored.drop("stream")
 
 
-def _located(spark: SparkSession, path: str) -> tuple:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+def _has_days(spark: SparkSession, path: str) -> bool:
+    return bool(_globbed(spark, f"{path}/event_date=*"))
+
+
+def _globbed(spark: SparkSession, pattern: str) -> list[str]:
+    fs, folder = located(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(folder) or ()]
+
+
+def _read_days(spark: SparkSession, base: str, paths: Sequence[str], columns: T.StructType | None, compacted: bool = False) -> DataFrame | None:
+    if not paths:
+        return None
+    if columns is not None and compacted:
+        columns = T.StructType([*columns.fields, T.StructField("batch_id", T.LongType())])
+    reader = spark.read.schema(columns) if columns is not None else spark.read
+    found = reader.option("basePath", base).parquet(*paths)
+    found = found.drop("part") if compacted else found
+    return found.withColumns({"batch_id": F.col("batch_id").cast("bigint"), "stream": F.col("stream").cast("string")})
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _located(spark, path)
-    return fs.exists(folder)
+COMPACTED = "_compacted"
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    fs, folder = _located(spark, path)
-    fs.delete(folder, True)
+def compacted_up_to(spark: SparkSession, path: str) -> dict[str, int]:
+    """By stream, the last batch whose files have been put together."""
+    _, note = newest_note(spark, f"{path}/{COMPACTED}")
+    return {} if note is None else note["up_to"]
 
 
-def completed(spark: SparkSession, path: str, skip: Collection[str] = ()) -> list[str]:
-    """Names of the folders below a path, but for those to skip, whose write has finished."""
-    if not table_exists(spark, path):
-        return []
-    fs, folder = _located(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-    return [n for n in names if n not in skip and table_exists(spark, f"{path}/{n}/_SUCCESS")]
+def compact_batches(spark: SparkSession, path: str, up_to: dict[str, int]) -> None:
+    """Put the small files of each stream's batches up to a number together, into few files a day.
+
+    A row keeps its day, stream and batch, so what was read by them still is; within a file rows lie by batch. What is compacted
+    counts from the moment a note says so, which is published last; until `expire_compacted` removes the old files, readers
+    leave them out. Give only batches that are committed and will not change: one written again afterwards is passed over.
+    """
+    version, note = newest_note(spark, f"{path}/{COMPACTED}")
+    before = note or {"up_to": {}, "parts": []}
+    chosen = F.lit(False)
+    for stream, last in up_to.items():
+        chosen |= (F.col("stream") == stream) & (F.col("batch_id") <= last) & (F.col("batch_id") > before["up_to"].get(stream, -1))
+    if not _has_days(spark, path):
+        return
+    rows = _read_days(spark, path, [path], None).filter(chosen)
+    part = version + 1
+    folder = f"{path}/{COMPACTED}/data/part={part}"
+    remove(spark, folder)
+    # Large days come as several files; a day's rows of one stream lie by batch.
+    spread = rows.hint("rebalance", "event_date", "stream").sortWithinPartitions("event_date", "stream", "batch_id")
+    spread.write.partitionBy("event_date", "stream").parquet(folder)
+    publish_note(spark, f"{path}/{COMPACTED}", part, {"up_to": {**before["up_to"], **up_to}, "parts": [*before["parts"], part]})
+
+
+def expire_compacted(spark: SparkSession, path: str) -> None:
+    """Remove the files that have been put together. Readers that began before must have finished."""
+    for stream, last in compacted_up_to(spark, path).items():
+        for folder in _globbed(spark, f"{path}/event_date=*/stream={stream}/batch_id=*"):
+            if int(folder.rsplit("=", 1)[1]) <= last:
+                remove(spark, folder)
+                for parent in (folder.rsplit("/", 1)[0], folder.rsplit("/", 2)[0]):
+                    if not _globbed(spark, f"{parent}/*"):
+                        remove(spark, parent)
+    expire_notes(spark, f"{path}/{COMPACTED}")
 
 
 def unseen(
@@ -187,10 +245,20 @@ def unseen(
     meets = logged["topic"].eqNullSafe(own["topic"]) & logged["partition"].eqNullSafe(own["partition"])
     meets &= (F.col("first_offset") <= F.col("_high")) & (F.col("last_offset") >= F.col("_low"))
     near = logged.join(F.broadcast(own), meets, "left_semi").filter((F.col("batch_id") != batch_id) | (F.col("stream") != stream))
-    folders = [f"{path}/event_date=*/stream={r['stream']}/batch_id={r['batch_id']}" for r in near.select("stream", "batch_id").distinct().collect()]
-    if not folders:
+    near = [(r["stream"], r["batch_id"]) for r in near.select("stream", "batch_id").distinct().collect()]
+    if not near:
         return once
-    others = spark.read.schema(columns).parquet(*folders)
+    done = compacted_up_to(spark, path)
+    apart = [(s, b) for s, b in near if b > done.get(s, -1)]
+    others = None
+    if apart:
+        others = spark.read.schema(columns).parquet(*[f"{path}/event_date=*/stream={s}/batch_id={b}" for s, b in apart])
+    if len(apart) < len(near):
+        numbers = [b for s, b in near if b <= done.get(s, -1)]
+        root = f"{path}/{COMPACTED}/data"
+        together = _read_days(spark, root, _globbed(spark, f"{root}/part=*/event_date=*"), columns, compacted=True)
+        together = together.filter(F.col("batch_id").between(min(numbers), max(numbers))).select(*identity)
+        others = together if others is None else others.select(*identity).unionByName(together)
     return once.join(others.select(*identity), list(identity), "left_anti")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.operators.bronze import _located, remove, table_exists
+from driftline.operators.files import expire_notes, located, newest_note, publish_note, remove, table_exists
 
 BUCKET = "_bucket"
 
@@ -45,19 +45,16 @@ class BucketTable:
     buckets: int = 16
 
     def manifest(self) -> Manifest:
-        numbers = self._numbers()
-        if not numbers:
+        _, found = newest_note(self.spark, self._notes)
+        if found is None:
             return Manifest(buckets=self.buckets)
-        fs, path = _located(self.spark, self._name(max(numbers)))
-        stream = fs.open(path)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        found = json.loads(text)
         versions = {int(k): v for k, v in found["versions"].items()}
         return Manifest(found["version"], found["buckets"], versions, T.StructType.fromJson(found["columns"]), found["notes"])
 
+    @property
+    def _notes(self) -> str:
+        return f"{self.path}/manifest"
+
     def read(self, manifest: Manifest | None = None, only: Collection[int] | None = None) -> DataFrame | None:
         """The rows with `_bucket`, or those of some buckets alone; None where there are none."""
         manifest = manifest or self.manifest()
@@ -93,9 +90,9 @@ class BucketTable:
     def expire(self) -> None:
         """Delete versions of buckets that the manifest has replaced, and older manifests. Readers that began before must have finished."""
         now = self.manifest()
-        fs, root = _located(self.spark, f"{self.path}/data")
+        fs, root = located(self.spark, f"{self.path}/data")
         held = {(v, k) for k, v in now.versions.items()}
-        for folder in fs.globStatus(_located(self.spark, f"{self.path}/data/v=*/{BUCKET}=*")[1]) or ():
+        for folder in fs.globStatus(located(self.spark, f"{self.path}/data/v=*/{BUCKET}=*")[1]) or ():
             at = folder.getPath()
             v, k = int(at.getParent().getName()[2:]), int(at.getName().split("=")[1])
             if v <= now.version and (v, k) not in held:
@@ -103,32 +100,10 @@ class BucketTable:
         for version in fs.listStatus(root) if fs.exists(root) else ():
             if int(version.getPath().getName()[2:]) not in {v for v, _ in held}:
                 fs.delete(version.getPath(), True)
-        for number in self._numbers():
-            if number < now.version:
-                remove(self.spark, self._name(number))
-
-    def _name(self, number: int) -> str:
-        return f"{self.path}/manifest/v={number}.json"
-
-    def _numbers(self) -> list[int]:
-        if not table_exists(self.spark, f"{self.path}/manifest"):
-            return []
-        fs, folder = _located(self.spark, f"{self.path}/manifest")
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return [int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json")]
+        expire_notes(self.spark, self._notes)
 
     def _publish(self, manifest: Manifest) -> None:
-        text = json.dumps({
+        publish_note(self.spark, self._notes, manifest.version, {
             "version": manifest.version, "buckets": manifest.buckets, "versions": manifest.versions,
             "columns": json.loads(manifest.columns.json()), "notes": manifest.notes,
         })
-        name = self._name(manifest.version)
-        fs, path = _located(self.spark, name)
-        _, draft = _located(self.spark, f"{name}.draft")
-        stream = fs.create(draft, True)
-        try:
-            stream.write(bytearray(text.encode("utf-8")))
-        finally:
-            stream.close()
-        if not fs.rename(draft, path):
-            raise RuntimeError(f"cannot publish {name}: another writer has done so")

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import from_millis
-from driftline.operators.bronze import completed, remove
 from driftline.operators.buckets import BUCKET, BucketTable
+from driftline.operators.files import completed, remove
 from driftline.operators.keyed import DEFAULT_POLICY, SkewPolicy, latest_per_key, over_key
 from driftline.schemas import DELETE, UPSERTS
 from driftline.session import if_small, stored

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.operators.bronze import table_exists
+from driftline.operators.files import table_exists
 from driftline.operators.keyed import latest_per_key
 from driftline.operators.targets import ORDER
 from driftline.operators.validate import digest_parts, whole_checksum

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import clamp_at_zero, document_time, from_micros, map_values
-from driftline.operators.bronze import _located, completed, remove
 from driftline.operators.buckets import BUCKET, BucketTable, Manifest
+from driftline.operators.files import completed, located, remove
 from driftline.operators.keyed import latest_per_key
 from driftline.schemas import (
     DELETE,
@@ -255,7 +255,7 @@ class TargetTable:
         """Buckets that the batches have rows of, by the names of their folders."""
         found = set()
         for name in names:
-            fs, folder = _located(self.spark, f"{self.path}/delta/batch={name}/{BUCKET}=*")
+            fs, folder = located(self.spark, f"{self.path}/delta/batch={name}/{BUCKET}=*")
             found |= {int(s.getPath().getName().split("=")[1]) for s in fs.globStatus(folder) or ()}
         return sorted(found)
 

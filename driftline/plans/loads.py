@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from driftline.plans.given import CHANGES_SQL
 from driftline.plans.records import _DOC_SQL, INVENTORY_SQL
 from driftline.plans.registry import Catalog
 from driftline.session import shared_dir
+from driftline.sources import tables
 
 CATALOG = Catalog()
 RUN_TS = "2024-02-01 00:00:00"
@@ -113,6 +116,27 @@ def partitioned_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_key.groupBy("is_current").agg(F.sum("n").alias("versions"), F.count("*").alias("customers"))
 
 
+@CATALOG.add("s13_table_lifecycle", """SELECT o_orderstatus, count(*) * 2 AS orders, CAST(sum(o_custkey) * 2 AS BIGINT) AS custkeys, 3::BIGINT AS columns, 1::BIGINT AS tables
+FROM orders GROUP BY o_orderstatus""")
+def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table created if it is not there, filled by position twice, replaced, dropped beside another, listed and described."""
+    database = f"lifecycle_{uuid.uuid4().hex[:12]}"
+    tables.ensure_database(spark, database, shared_dir(spark, "database"))
+    orders = given.table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("long"), "o_orderstatus", F.col("o_orderkey").cast("long"))
+    name, other = f"{database}.orders", f"{database}.other"
+    for _ in range(2):
+        tables.ensure_table(spark, name, orders.select("o_orderkey", "o_custkey", "o_orderstatus").schema, ["o_orderstatus"])
+        # The columns come in another order, and go where their names are.
+        tables.append_table(orders, name)
+    tables.replace_table(orders.limit(1), other)
+    tables.drop_table(spark, other)
+    columns = tables.describe_table(spark, name).filter("NOT col_name LIKE '#%'").select("col_name").distinct().agg(F.count("*").alias("columns"))
+    listed = tables.list_tables(spark, database).agg(F.count("*").alias("tables"))
+    counts = tables.read_table(spark, name).groupBy("o_orderstatus").agg(F.count("*").alias("orders"), F.sum("o_custkey").alias("custkeys"))
+    # Two single rows beside the counts.
+    return counts.withColumn("one", F.lit(1)).join(columns.withColumn("one", F.lit(1)), "one").join(listed.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 @CATALOG.add("u1_blind_append", f"""WITH {CHANGES_SQL} SELECT customer_id, count(*) * 2 AS copies FROM changes WHERE operation <> 'd' GROUP BY customer_id""")
 def blind_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loading the same rows twice by plain append leaves two copies of each."""

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the database unless it is there; its tables lie at `location`, or in the session's warehouse."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{at}")
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:

@@ -292,6 +292,46 @@ def test_only_batches_of_the_same_offsets_are_compared(spark, tmp_path):
     assert sorted(r["offset"] for r in bronze.unseen(batch(0, 11, 20), path, 9, records=batch(0, 11, 20)).collect()) == [20]
 
 
+def test_small_files_of_batches_are_put_together(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    schema = "topic string, partition int, offset long, kafka_timestamp timestamp, operation string"
+
+    def batch(offsets, days):
+        rows = spark.createDataFrame([("t", 0, o, datetime(2024, 1, d) if d else None, "c") for o, d in zip(offsets, days, strict=True)], schema)
+        return bronze.stamp(rows, run_ts=F.lit("2024-01-02").cast("timestamp"))
+
+    for number in range(6):
+        bronze.write_batch(batch(range(4 * number, 4 * number + 4), [1, 1, 2, None]), path, number, stream="a")
+    bronze.write_batch(batch([100, 101], [1, 3]), path, 0, stream="b")
+
+    def rows(df):
+        return sorted((r["stream"], r["batch_id"], r["offset"], str(r["event_date"])) for r in df.collect())
+
+    before = rows(bronze.read_bronze(spark, path))
+    files = len(list((tmp_path / "bronze").rglob("event_date=*/**/*.parquet")))
+    bronze.compact_batches(spark, path, {"a": 3})
+    # Old files and new ones are both there; rows count once.
+    assert rows(bronze.read_bronze(spark, path)) == before
+    bronze.expire_compacted(spark, path)
+    assert rows(bronze.read_bronze(spark, path)) == before
+    bronze.compact_batches(spark, path, {"a": 4, "b": 0})
+    bronze.expire_compacted(spark, path)
+    table = bronze.read_bronze(spark, path)
+    assert rows(table) == before and len(list((tmp_path / "bronze").rglob("event_date=*/**/*.parquet"))) < files / 2
+    assert rows(bronze.read_bronze(spark, path, [datetime(2024, 1, 1).date(), None])) == [r for r in before if r[3] in ("2024-01-01", "None")]
+    assert rows(history.as_of_batch(table, 2, "a")) == [r for r in before if r[0] == "a" and r[1] <= 2]
+    assert bronze.read_batch_log(spark, path).count() == 7
+    # A compacted batch that is written again is passed over; repeats in compacted batches are found.
+    bronze.write_batch(batch([5], [1]), path, 1, stream="a")
+    assert rows(bronze.read_bronze(spark, path)) == before
+    assert sorted(r["offset"] for r in bronze.unseen(batch([3, 9, 21, 50, 101], [None, 1, 1, 1, 3]), path, 9, stream="c").collect()) == [50]
+    bronze.compact_batches(spark, path, {"a": 5})
+    bronze.expire_compacted(spark, path)
+    assert rows(bronze.read_bronze(spark, path)) == before and not list((tmp_path / "bronze").glob("event_date=*"))
+    bronze.write_batch(batch([200], [5]), path, 6, stream="a")
+    assert len(rows(bronze.read_bronze(spark, path))) == len(before) + 1
+
+
 def test_readiness_of_samples():
     known, told = (None, None, False), []
     for at, lagging in [(0, True), (10, False), (60, False), (70, False), (80, False), (90, True), (100, False), (300, False), (365, False)]:
