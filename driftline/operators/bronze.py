@@ -56,7 +56,7 @@ def write_batch(changes: DataFrame, path: str, batch_id: int, rebalance: bool =
     # What was written is observed on the way, so nothing is evaluated again for it.
     seen = Observation()
     day = F.coalesce(F.col("event_date").cast("string"), F.lit(NO_DAY))
-    committed = F.max("ingestion_time") if "ingestion_time" in changes.columns else F.current_timestamp()
+    committed = F.max(F.col("ingestion_time") if "ingestion_time" in changes.columns else F.current_timestamp())
     out = out.observe(seen, F.collect_set(day).alias("days"), F.count(F.lit(1)).alias("rows"), committed.alias("committed_at"))
     (
         out.write.mode("overwrite")
