@@ -21,12 +21,13 @@ def components(links: DataFrame) -> DataFrame:
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
     total = labels.count()
     while total:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        nearer = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        # Tables of a loop are joined by a shuffle, small or not: what a broadcast leaves in the driver adds up.
+        near = both.join(labels.withColumnRenamed("node", "b").hint("merge"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        nearer = labels.join(near.hint("merge"), "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         nearer = stored(nearer, "labels")
         used = nearer.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-        next_of = used.join(nearer.select(F.col("node").alias("root"), F.col("root").alias("next")), "root")
-        jumped = attach(nearer, stored(next_of, "labels"), ["root"], "members", total)
+        next_of = used.join(nearer.select(F.col("node").alias("root"), F.col("root").alias("next")).hint("merge"), "root")
+        jumped = attach(nearer, stored(next_of, "labels").hint("merge"), ["root"], "members", total)
         jumped = stored(jumped.select("node", "old", F.col("next").alias("root")), "labels")
         labels = jumped.select("node", "root")
         if jumped.filter("old <> root").isEmpty():

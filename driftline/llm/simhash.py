@@ -377,7 +377,7 @@ def _with_sides(pairs: DataFrame, of: DataFrame) -> DataFrame:
 
     def side(key: str, name: str) -> DataFrame:
         used = pairs.groupBy(key).agg(F.count(F.lit(1)).alias(f"of_{key}"))
-        return stored(of.select(F.col("mark").alias(key), F.col("held").alias(name)).join(used, key), "sides")
+        return stored(of.select(F.col("mark").alias(key), F.col("held").alias(name)).join(used.hint("merge"), key), "sides").hint("merge")
 
     return attach(attach(pairs, side("a", "x"), ["a"], "of_a", total), side("b", "y"), ["b"], "of_b", total)
 
@@ -396,11 +396,11 @@ def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     near = stored(held.select("a", "b", ((9 * _apart("x", "y") <= size) & (5 * F.least("x.n", "y.n") >= 4 * larger)).alias("near")), "judged")
     close = near.filter("near").select("a", "b")
     marks = close.select(F.explode(F.array("a", "b")).alias("mark")).distinct()
-    wanted = stored(texts.select("mark", "h1", "h2").join(marks, "mark"), "wanted")
+    wanted = stored(texts.select("mark", "h1", "h2").join(marks.hint("merge"), "mark"), "wanted")
     bits = bits_for(wanted.count())
     filters = stored(packed(wanted.select(position(F.col("h1"), bits).alias("position")).distinct()), "filter")
     few = with_maybe(docs, "h1", filters, bits).filter("maybe").groupBy("h1", "h2").agg(F.first("text").alias("text"))
-    shingles = stored(_shingled(few.join(wanted, ["h1", "h2"]).select("mark", "text")).withColumnRenamed("shingles", "held"), "shingles")
+    shingles = stored(_shingled(few.join(wanted.hint("merge"), ["h1", "h2"]).select("mark", "text")).withColumnRenamed("shingles", "held"), "shingles")
     alike = 9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))
     judged = _with_sides(close, shingles).select("a", "b", alike.alias("alike"))
     return stored(judged.unionByName(near.filter("NOT near").select("a", "b", F.lit(False).alias("alike"))), "verified")
@@ -515,10 +515,10 @@ def _buckets(homes: DataFrame, copies: DataFrame, rejected: DataFrame, within: b
     def parted(df: DataFrame, name: str) -> DataFrame:
         part = F.pmod(F.xxhash64("mark"), F.col("parts")).cast("int").alias(f"{name}_part")
         member = F.struct("mark", "root", "fp", "n", *_PARITY)
-        return df.join(open_ones, "anchor").groupBy("anchor", part).agg(F.collect_list(member).alias(name))
+        return df.join(open_ones.hint("merge"), "anchor").groupBy("anchor", part).agg(F.collect_list(member).alias(name))
 
     keys = (F.col("l.anchor") == F.col("r.anchor")) & ((F.col("one_part") == F.col("other_part")) if within else F.lit(True))
-    both = parted(homes, "one").alias("l").join(parted(copies, "other").alias("r"), keys).select("l.anchor", "one_part", "other_part", "one", "other")
+    both = parted(homes, "one").alias("l").join(parted(copies, "other").alias("r").hint("merge"), keys).select("l.anchor", "one_part", "other_part", "one", "other")
     everything = not within or open_ones.filter("parts > 1").isEmpty()
     if rejected.isEmpty():
         return both.withColumn("rejected", F.lit(None).cast("array<struct<a:long,b:long>>")), everything
@@ -552,7 +552,7 @@ def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> Data
     while True:
         held: list[Broadcast] = []
         roots = stored(components(links), "roots")
-        rooted = among.join(roots.withColumnRenamed("node", "mark"), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
+        rooted = among.join(roots.withColumnRenamed("node", "mark").hint("merge"), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
         spread = rooted.select("mark", "root", F.posexplode(F.array(*_SEARCH)).alias("k", "fp"))
         # Fingerprints with the root that all their texts have; null if they have several.
         nodes = spread.groupBy("k", "fp").agg(F.min("root").alias("least"), F.max("root").alias("most"))
@@ -563,7 +563,7 @@ def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> Data
         meets = (one["anchor"] == other["anchor"]) & (F.col("a") != F.col("b")) & near & F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True))
         open_ones = one.join(other, meets, "left_semi").select("k", F.col("a").alias("fp")).unionByName(nodes.filter("root IS NULL").select("k", "fp"))
         open_ones = stored(open_ones.distinct(), "open")
-        members = rooted.select("mark", "root", "n", *_PARITY, F.posexplode(F.array(*_SEARCH)).alias("k", "fp")).join(open_ones, ["k", "fp"])
+        members = rooted.select("mark", "root", "n", *_PARITY, F.posexplode(F.array(*_SEARCH)).alias("k", "fp")).join(open_ones.hint("merge"), ["k", "fp"])
         members = stored(members, "members")
         homes, copies = _meeting(members, threshold, keep=["mark", "root", "n", *_PARITY], held=held)
         buckets, everything = _buckets(homes, copies, rejected, within)
@@ -583,7 +583,7 @@ def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> Data
         if everything and tried.filter("a < 0").isEmpty():
             return links
         # Texts without an open fingerprint have nothing left to meet.
-        among = stored(among.join(members.select("mark").distinct(), "mark", "left_semi"), "among")
+        among = stored(among.join(members.select("mark").distinct().hint("merge"), "mark", "left_semi"), "among")
         within, most = False, most if within else most * MORE_LINKS
 
 
