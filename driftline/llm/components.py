@@ -6,17 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.llm.common import attach
-from driftline.session import stored
+from driftline.session import settled, stored
 
 
 def components(links: DataFrame) -> DataFrame:
-    """`node` and `root` (the smallest node reachable) for the ends of the links `a`, `b`.
+    """A stored table of `node` and `root` (the smallest node reachable) for the ends of the links `a`, `b`.
 
     Each round takes the smallest label among a node's neighbours, then the label of that label,
     so rounds grow with the logarithm of a component's length. Each round's labels are
-    a table in the shared folder, which also cuts the plan. A component's label can be that of very
+    a table in the shared folder, which also cuts the plan, and are removed at the end. A component's label can be that of very
     many nodes: labels are looked up once each, and `attach` spreads the popular ones.
     """
+    return settled(links.sparkSession, "roots", lambda: _labelled(links))
+
+
+def _labelled(links: DataFrame) -> DataFrame:
+    """`node` and `root`, as `components` stores them."""
     both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
     total = labels.count()

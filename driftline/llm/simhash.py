@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from driftline.llm.bitmaps import bits_for, packed, position, with_maybe
 from driftline.llm.common import attach, identity, unused
 from driftline.llm.components import components
-from driftline.session import stored
+from driftline.session import settled, stored
 
 SEED = 42
 CHUNK = 1 << 15
@@ -391,6 +391,10 @@ def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
 
     Pairs that differ in too many parities or in size for that are told so at once; only the texts of the others are read into shingles.
     """
+    return settled(docs.sparkSession, "verified", lambda: _verified(pairs, texts, docs))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     held = _with_sides(pairs, texts.select("mark", F.struct("n", *_PARITY).alias("held")))
     size, larger = F.col("x.n") + F.col("y.n"), F.greatest("x.n", "y.n")
     near = stored(held.select("a", "b", ((9 * _apart("x", "y") <= size) & (5 * F.least("x.n", "y.n") >= 4 * larger)).alias("near")), "judged")
@@ -403,7 +407,7 @@ def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     shingles = stored(_shingled(few.join(wanted.hint("merge"), ["h1", "h2"]).select("mark", "text")).withColumnRenamed("shingles", "held"), "shingles")
     alike = 9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))
     judged = _with_sides(close, shingles).select("a", "b", alike.alias("alike"))
-    return stored(judged.unionByName(near.filter("NOT near").select("a", "b", F.lit(False).alias("alike"))), "verified")
+    return judged.unionByName(near.filter("NOT near").select("a", "b", F.lit(False).alias("alike")))
 
 
 def _forest(edges: np.ndarray, likely: np.ndarray, most: int) -> tuple[list[int], bool]:
@@ -523,9 +527,13 @@ def _buckets(homes: DataFrame, copies: DataFrame, rejected: DataFrame, within: b
     if rejected.isEmpty():
         return both.withColumn("rejected", F.lit(None).cast("array<struct<a:long,b:long>>")), everything
     both = stored(both.withColumn("bucket", F.monotonically_increasing_id()), "buckets")
-    marks = both.select("bucket", F.explode("one.mark").alias("mark"))
-    ways = rejected.select(F.col("a").alias("mark"), "a", "b").unionByName(rejected.select(F.col("b").alias("mark"), "a", "b"))
-    known = marks.join(ways, "mark").groupBy("bucket").agg(F.collect_set(F.struct("a", "b")).alias("rejected"))
+    marks = both.select("bucket", F.col("other.mark").alias("others"), F.explode("one.mark").alias("mark"))
+    ways = rejected.select(F.col("a").alias("end"), F.col("b").alias("partner"), "a", "b").unionByName(
+        rejected.select(F.col("b").alias("end"), F.col("a").alias("partner"), "a", "b")
+    )
+    # Only pairs with both ends in the bucket come out of the join.
+    here = (F.col("mark") == F.col("end")) & F.array_contains("others", F.col("partner"))
+    known = marks.join(ways, here).groupBy("bucket").agg(F.collect_set(F.struct("a", "b")).alias("rejected"))
     return both.join(known, "bucket", "left"), everything
 
 
@@ -551,7 +559,7 @@ def similar_texts(texts: DataFrame, docs: DataFrame, threshold: int = 2) -> Data
     within, most, among = True, FIRST_LINKS, texts
     while True:
         held: list[Broadcast] = []
-        roots = stored(components(links), "roots")
+        roots = components(links)
         rooted = among.join(roots.withColumnRenamed("node", "mark").hint("merge"), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
         spread = rooted.select("mark", "root", F.posexplode(F.array(*_SEARCH)).alias("k", "fp"))
         # Fingerprints with the root that all their texts have; null if they have several.
