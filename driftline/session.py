@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -101,6 +101,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, purpose: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What `build` gives, stored; the tables that it stores on the way are removed."""
+    path = shared_dir(spark, purpose)
+    with scratch(spark):
+        rows = build()
+        rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The frame marked for broadcast if its size is known to be small, else as it is."""
     size = estimated_bytes(df)
