@@ -390,6 +390,21 @@ def test_links_grow_with_the_texts_not_the_pairs(spark):
     assert counts[300] <= 2.2 * counts[150] and counts[300] < 8 * 300
 
 
+def test_members_of_a_dense_group_are_not_copied_to_each_other(spark, monkeypatch):
+    base, seen, plain = words(60, 81), [], simhash._links_to_try
+
+    def counted(buckets, threshold, most):
+        seen.append(buckets.agg(F.sum(F.size("one") + F.size("other"))).first()[0] or 0)
+        return plain(buckets, threshold, most)
+
+    monkeypatch.setattr(simhash, "_links_to_try", counted)
+    texts = [" ".join([*base[: i % 60], f"new{i}", *base[i % 60 + 1 :]]) for i in range(150)]
+    links = links_of(spark, texts)
+    assert len(set(components_of(range(150), links).values())) == 1
+    # At home and as a visitor once for each search, and few after that.
+    assert sum(seen) <= 3 * simhash.SEARCHES * 150
+
+
 def test_rejected_links_are_replaced(spark):
     # Many orders of the same words, most of them unlike, and a few pairs alike among them: the first tries fail.
     base = words(200, 91)
