@@ -46,16 +46,17 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(folds))
 
 
-def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], members: str, total: int) -> DataFrame:
+def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], members: str, total: int, most: int | None = None) -> DataFrame:
     """Rows joined with the one row that `groups` has for their key, hot keys included.
 
     `members` counts a group's rows, which sum up to `total` at most. Groups above a 1024th of
     that are therefore fewer than 1024: they are broadcast, and their rows never meet in one
-    task. All other groups are joined by a shuffle. `groups` should be stored, since it is first asked for the largest group; if that is
-    not above the limit, one plain join is all, else both inputs are read twice.
+    task. All other groups are joined by a shuffle. `groups` should be stored, since it is first asked for the largest group, unless `most` tells it;
+    if that is not above the limit, one plain join is all, else both inputs are read twice.
     """
     limit = max(1000, total // HOT_PARTS)
-    most = groups.agg(F.max(members)).first()[0]
+    if most is None:
+        most = groups.agg(F.max(members)).first()[0]
     if most is None or most <= limit:
         return rows.join(groups, list(keys))
     (flag,) = unused(rows, "_hot")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.llm.common import attach
-from driftline.session import settled, stored
+from driftline.session import measured, settled, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,18 +23,19 @@ def components(links: DataFrame) -> DataFrame:
 def _labelled(links: DataFrame) -> DataFrame:
     """`node` and `root`, as `components` stores them."""
     both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
-    total = labels.count()
+    labels, seen = measured(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels", nodes=F.count(F.lit(1)))
+    total = seen["nodes"]
     while total:
         # Tables of a loop are joined by a shuffle, small or not: what a broadcast leaves in the driver adds up.
         near = both.join(labels.withColumnRenamed("node", "b").hint("merge"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         nearer = labels.join(near.hint("merge"), "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        nearer = stored(nearer, "labels")
+        nearer, seen = measured(nearer, "labels", changed=F.count_if(F.col("old") != F.col("root")))
+        # No label differs from a neighbour's.
+        if not seen["changed"]:
+            break
         used = nearer.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
         next_of = used.join(nearer.select(F.col("node").alias("root"), F.col("root").alias("next")).hint("merge"), "root")
-        jumped = attach(nearer, stored(next_of, "labels").hint("merge"), ["root"], "members", total)
-        jumped = stored(jumped.select("node", "old", F.col("next").alias("root")), "labels")
-        labels = jumped.select("node", "root")
-        if jumped.filter("old <> root").isEmpty():
-            break
+        next_of, seen = measured(next_of, "labels", most=F.max("members"))
+        jumped = attach(nearer.drop("old"), next_of.hint("merge"), ["root"], "members", total, seen["most"])
+        labels = stored(jumped.select("node", F.col("next").alias("root")), "labels")
     return labels

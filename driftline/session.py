@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +103,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, purpose: str, **of: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """`stored`, and what the aggregates `of` give for its rows, taken as they are written: loops need no further queries for them.
+
+    Where Spark leaves them out, as it may for plans found to be empty, the stored rows are asked.
+    """
+    wanted = [c.alias(name) for name, c in of.items()]
+    seen = Observation()
+    rows = stored(df.observe(seen, *wanted), purpose)
+    return rows, seen.get or rows.agg(*wanted).first().asDict()
+
+
 def settled(spark: SparkSession, purpose: str, build: Callable[[], DataFrame]) -> DataFrame:
     """What `build` gives, stored; the tables that it stores on the way are removed."""
     path = shared_dir(spark, purpose)
@@ -110,6 +123,16 @@ def settled(spark: SparkSession, purpose: str, build: Callable[[], DataFrame]) -
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Collect the driver's garbage, Python's first, which holds frames of the JVM's.
+
+    Spark removes shuffles and broadcasts of frames that are no longer used only after that. A loop of many small queries
+    would else let the heap grow to its limit before.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The frame marked for broadcast if its size is known to be small, else as it is."""
     size = estimated_bytes(df)

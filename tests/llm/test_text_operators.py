@@ -405,6 +405,18 @@ def test_members_of_a_dense_group_are_not_copied_to_each_other(spark, monkeypatc
     assert sum(seen) <= 3 * simhash.SEARCHES * 150
 
 
+def test_rounds_of_components_ask_nothing_but_what_they_store(spark, monkeypatch):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
+    asked = []
+    for name in ("count", "first", "isEmpty"):
+        plain = getattr(type(links), name)
+        monkeypatch.setattr(type(links), name, lambda df, *a, plain=plain, name=name: asked.append(name) or plain(df, *a))
+    found = simhash.components(links).collect()
+    assert {r["node"]: r["root"] for r in found} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100} and len(found) == 43
+    assert simhash.components(links.filter("a < 0")).collect() == []
+    assert asked == []
+
+
 def test_rejected_links_are_replaced(spark):
     # Many orders of the same words, most of them unlike, and a few pairs alike among them: the first tries fail.
     base = words(200, 91)
